@@ -655,10 +655,10 @@ def diff_top_gaps(spark, sf):
 
 # Live records -------------------------------------------------------------------------------
 
-KINDS = E + """, seen as (select *, row_number() over w as at, lag(magnitude) over w as pm,
+KINDS = E + """, seen as (select *, row_number() over w as pos, lag(magnitude) over w as pm,
   lag(status) over w as ps from e window w as (partition by user_id order by ts, event_id)),
 tracked as (select user_id, event_id, ts, magnitude, status,
-  case when at = 1 then 'nouveau' when magnitude is not distinct from pm
+  case when pos = 1 then 'nouveau' when magnitude is not distinct from pm
     and status is not distinct from ps then 'repete' else 'revise' end as kind, pm, ps
   from seen),
 k as (select user_id, event_id, ts, magnitude, status, kind,
@@ -748,10 +748,10 @@ def alarm_flags(spark, sf):
 
 
 @query("compact_rings", f"""with {G}, s as (select *, lag(x) over w as px, lag(y) over w as py,
-  row_number() over w as at from g window w as (partition by user_id order by ts, event_id)),
-kept as (select *, row_number() over (partition by user_id order by at) as point,
+  row_number() over w as pos from g window w as (partition by user_id order by ts, event_id)),
+kept as (select *, row_number() over (partition by user_id order by pos) as point,
   count(*) over (partition by user_id) as points from s
-  where at = 1 or x is distinct from px or y is distinct from py)
+  where pos = 1 or x is distinct from px or y is distinct from py)
 select user_id, point, x, y, points from kept where points >= 4""")
 def compact_rings_query(spark, sf):
     return compact_rings(spark_view(spark, sf, rings_sql), ["user_id"],
