@@ -69,6 +69,8 @@ class BatchLanding:
 
     def landed(self) -> DataFrame:
         """Lines of batches that have a manifest row, and only those."""
+        if self.manifest().isEmpty():
+            return self.spark.createDataFrame([], f"{self.batch} string, value string")
         return self._files().join(self.manifest().select(self.batch), self.batch, "left_semi")
 
     def ingest(self, lines: DataFrame) -> None:
