@@ -40,11 +40,25 @@ def ranked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dataset(spark: SparkSession, sf: str) -> DataFrame:
-    """Revision pairs, by the form without windows."""
+    """Revision pairs with all columns, by the form without windows."""
     return pairing.revision_columns(
         pairing.pairs_by_aggregate(versions(spark, sf), VERSION_ORDER))
 
 
+REVISED = ("magnitude", "magnitude_type", "station_count", "minutes_since_quake")
+
+
+def shifts(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    """The pairs with what the reports read: an aggregate carries every column it is given."""
+    return pairing.revision_columns(pairing.pairs_by_aggregate(
+        versions(spark, sf), VERSION_ORDER, ("cohort",), (*REVISED, *more), REVISED))
+
+
+def magnitude_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return pairing.pairs_by_aggregate(versions(spark, sf), VERSION_ORDER, (), ("magnitude",),
+                                      ("magnitude",))
+
+
 @functools.lru_cache(maxsize=None)
 def _landed(application: str, sf: str, spark: SparkSession) -> DataFrame:
     return materialise(_published(spark, sf), "landed")
@@ -85,7 +99,8 @@ def flat_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def events_timeline(spark: SparkSession, sf: str) -> DataFrame:
-    return timeline.version_timeline(timeline.first_copies(flat_events(spark, sf)))
+    events = flat_events(spark, sf)
+    return timeline.version_timeline(timeline.first_copies(events), keys_of=events)
 
 
 def current_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,7 +108,7 @@ def current_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def witness_rows(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = dataset(spark, sf).select("event_id", "first_magnitude", "final_magnitude", "shift",
+    pairs = shifts(spark, sf).select("event_id", "first_magnitude", "final_magnitude", "shift",
                                       "shift_abs", "direction", "cohort")
     return reports.witness_columns(
         reports.join_reports(pairs, spark_view(spark, sf, reports_sql), "event_id"))
@@ -200,7 +215,7 @@ select event_id, round(-1.005 * sin(phi) * cos(theta), 6) as x, round(1.005 * co
   round(1.005 * sin(phi) * sin(theta), 6) as z, round(height, 6) as height from p""")
 def sphere_points(spark, sf):
     point = sphere_point(F.col("first_latitude"), F.col("first_longitude"), F.lit(1.005))
-    return dataset(spark, sf).select(
+    return shifts(spark, sf, "latitude", "longitude").select(
         "event_id", *[F.round(value, 6).alias(name) for name, value in point.items()],
         F.round(bar_height(F.col("shift")), 6).alias("height"))
 
@@ -318,7 +333,7 @@ def revision_dataset(spark, sf):
   round(quantile_disc(shift_abs, 0.5), 2) as ecart_abs_median,
   round(max(shift_abs), 2) as ecart_abs_max from revised group by cohort""")
 def cohort_report(spark, sf):
-    return pairing.cohort_report(dataset(spark, sf), exact=True)
+    return pairing.cohort_report(shifts(spark, sf), exact=True)
 
 
 @query("family_report", f"""with {PAIRED} select first_family, count(*) as seismes,
@@ -326,7 +341,7 @@ def cohort_report(spark, sf):
   round(avg(scale_changed::int) * 100, 1) as pct_changement_echelle
   from revised group by first_family""")
 def family_report(spark, sf):
-    return pairing.family_report(dataset(spark, sf))
+    return pairing.family_report(shifts(spark, sf))
 
 
 @query("cohort_comparison", f"""with {PAIRED} select cohort, count(*) as seismes,
@@ -334,14 +349,14 @@ def family_report(spark, sf):
   round(avg(scale_changed::int) * 100, 1) as pct_changement_echelle
   from revised group by cohort""")
 def cohort_comparison(spark, sf):
-    return pairing.cohort_comparison(dataset(spark, sf))
+    return pairing.cohort_comparison(shifts(spark, sf))
 
 
 @query("family_transitions", f"""with {PAIRED} select first_family, final_family,
   count(*) as seismes, round(avg(shift), 3) as ecart_moyen from revised group by all
   order by seismes desc, first_family, final_family limit 20""")
 def family_transitions(spark, sf):
-    return pairing.family_transitions(dataset(spark, sf))
+    return pairing.family_transitions(shifts(spark, sf))
 
 
 @query("overview", f"""with {PAIRED}, {I} select count(*) as apparies,
@@ -355,7 +370,7 @@ def family_transitions(spark, sf):
   (select count(*) from i) as catalogue,
   (select count(*) from i where ids like '%,usauto%') as identite_changee from revised""")
 def overview(spark, sf):
-    return pairing.overview(dataset(spark, sf), versions(spark, sf), identity_rows(spark, sf),
+    return pairing.overview(shifts(spark, sf), versions(spark, sf), identity_rows(spark, sf),
                             exact=True)
 
 
@@ -363,7 +378,7 @@ def overview(spark, sf):
   final_magnitude, shift, shift_abs, direction from revised
   order by shift_abs desc, event_id limit 160""")
 def top_shifts(spark, sf):
-    return pairing.top_shifts(dataset(spark, sf)).select(
+    return pairing.top_shifts(shifts(spark, sf)).select(
         "event_id", "cohort", "first_magnitude", "final_magnitude", "shift", "shift_abs",
         "direction")
 
@@ -375,14 +390,14 @@ select event_id, version_rank, published_at, contributor, magnitude, magnitude_t
 from ranked where event_id in (select event_id from top)""")
 def featured_timelines(spark, sf):
     lines = ranked(spark, sf)
-    return pairing.featured_timelines(lines, dataset(spark, sf), (
+    return pairing.featured_timelines(lines, shifts(spark, sf), (
         "version_rank", "published_at", "contributor", "magnitude", "magnitude_type",
         "review_status", "station_count", "azimuthal_gap", "minutes_since_quake", "depth_km"))
 
 
 @query("report_bundle")
 def report_bundle(spark, sf):
-    pairs = dataset(spark, sf)
+    pairs = shifts(spark, sf)
     lines = pairing.featured_timelines(ranked(spark, sf), pairs, (
         "version_rank", "published_at", "contributor", "magnitude", "magnitude_type"))
     return build_bundle({
@@ -419,12 +434,12 @@ FINE = "select round(unnest(range(30, 71)) / 10.0::double, 1)::double as thresho
 
 @query("alert_curve", curve_sql(COARSE, "", "select * from curve"))
 def alert_curve(spark, sf):
-    return thresholds.alert_curve(dataset(spark, sf), thresholds=THRESHOLDS)
+    return thresholds.alert_curve(magnitude_pairs(spark, sf), thresholds=THRESHOLDS)
 
 
 @query("alert_curve_tenths", curve_sql(FINE, " / 5", "select * from curve"))
 def alert_curve_tenths(spark, sf):
-    scaled = dataset(spark, sf).select((F.col("first_magnitude") / 5).alias("announced"),
+    scaled = magnitude_pairs(spark, sf).select((F.col("first_magnitude") / 5).alias("announced"),
                                        (F.col("final_magnitude") / 5).alias("confirmed"))
     return thresholds.alert_curve(scaled, "announced", "confirmed")
 
@@ -433,7 +448,7 @@ def alert_curve_tenths(spark, sf):
   round(abs(taux_fausse_alerte_pct - taux_manque_pct), 2) as ecart, threshold,
   taux_fausse_alerte_pct, taux_manque_pct from curve order by ecart, threshold limit 1"""))
 def alert_crossing(spark, sf):
-    return thresholds.crossing(thresholds.alert_curve(dataset(spark, sf),
+    return thresholds.crossing(thresholds.alert_curve(magnitude_pairs(spark, sf),
                                                       thresholds=THRESHOLDS))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.batch import dataset, nested_features, versions
+from catalogue.batch import nested_features, shifts, versions
 from catalogue.registry import query, table
 from catalogue.views import FLAT, I, L, PAIRED, V, identities_sql, landed_sql, spark_view
 from palimpsest.operators import timeline
@@ -373,7 +373,7 @@ def snapshot_as_of(spark, sf):
 @query("gold_roundtrip", f"with {PAIRED} select event_id, shift, direction from revised")
 def gold_roundtrip(spark, sf):
     folder = new_folder(spark, "gold")
-    write_table(dataset(spark, sf).select("event_id", "shift", "direction"), folder,
+    write_table(shifts(spark, sf).select("event_id", "shift", "direction"), folder,
                 "magnitude_revision")
     return load_table(spark, folder, "magnitude_revision")
 

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.batch import dataset
+from catalogue.batch import dataset, shifts
 from catalogue.landing import FETCHED, origin_features
 from catalogue.registry import query
 from catalogue.views import PAIRED
@@ -95,7 +95,7 @@ def chain(spark: SparkSession, sf: str) -> Chain:
   select 'first_magnitude_error', 0 from revised group by 1)
 select variable, renseignees, renseignees > 0 as utilisable from c""")
 def usable_columns_query(spark, sf):
-    return usable_columns(dataset(spark, sf), (
+    return usable_columns(shifts(spark, sf, "horizontal_error", "magnitude_error"), (
         "first_magnitude", "first_station_count", "first_horizontal_error",
         "first_magnitude_error"))
 
@@ -114,7 +114,7 @@ def missing_indicators_query(spark, sf):
 @query("label", f"""with {PAIRED} select event_id, (shift >= 0.2)::int::double as sous_estime
   from revised""")
 def label(spark, sf):
-    return add_label(dataset(spark, sf)).select("event_id", "sous_estime")
+    return add_label(shifts(spark, sf)).select("event_id", "sous_estime")
 
 
 SPLIT = PAIRED + """, cut as (select quantile_disc(epoch_ms(event_time) // 1000, 0.7) as cut
@@ -123,7 +123,7 @@ SPLIT = PAIRED + """, cut as (select quantile_disc(epoch_ms(event_time) // 1000,
 
 
 def parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    train, test, _ = split_by_time(add_label(dataset(spark, sf)), exact=True)
+    train, test, _ = split_by_time(chain(spark, sf).prepared, exact=True)
     return train, test
 
 

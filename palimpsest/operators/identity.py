@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,8 +58,11 @@ def resolve_identities(records: DataFrame, identifier: str, aliases: str,
     seen = None
     while (mark := _signature(edges)) != seen:
         seen = mark
-        edges = materialise(_small_star(_large_star(edges, rows_per_task), rows_per_task),
-                            "edges")
+
+        def meet(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+            return lookup(rows, facts, [key], "inner", rows_per_task, at_most=mark[0])
+
+        edges = materialise(_small_star(_large_star(edges, meet), meet), "edges")
     labels = edges.select(F.col("hi").alias("_root"), F.col("lo").alias("_label"))
     return (lookup(rooted, labels, ["_root"], "left", rows_per_task)
             .withColumn("resolved_key", F.coalesce("_label", "_root"))
@@ -69,20 +74,20 @@ def _signature(edges: DataFrame) -> tuple:
         F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
 
 
-def _large_star(edges: DataFrame, rows_per_task: int) -> DataFrame:
+def _large_star(edges: DataFrame, meet: Callable[..., DataFrame]) -> DataFrame:
     """Every larger neighbour of a node moves to the node's smallest neighbour or itself."""
     ends = edges.select(F.explode(F.array(
         F.struct(F.col("lo").alias("lo"), F.col("lo").alias("near")),
         F.struct(F.col("hi").alias("lo"), F.col("lo").alias("near")))).alias("end"))
     nearest = ends.groupBy("end.lo").agg(F.min("end.near").alias("least"))
-    moved = lookup(edges, nearest, ["lo"], "inner", rows_per_task)
+    moved = meet(edges, nearest, "lo")
     return moved.select("hi", F.col("least").alias("lo")).distinct()
 
 
-def _small_star(edges: DataFrame, rows_per_task: int) -> DataFrame:
+def _small_star(edges: DataFrame, meet: Callable[..., DataFrame]) -> DataFrame:
     """Every smaller neighbour of a node, and the node, move to its smallest neighbour."""
     nearest = edges.groupBy("hi").agg(F.min("lo").alias("least"))
-    moved = lookup(edges, nearest, ["hi"], "inner", rows_per_task)
+    moved = meet(edges, nearest, "hi")
     pairs = moved.select(F.explode(F.array(
         F.struct(F.col("hi"), F.col("least").alias("lo")),
         F.struct(F.col("lo").alias("hi"), F.col("least").alias("lo")))).alias("edge"))

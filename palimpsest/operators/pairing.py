@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.moments import minutes_after
 from palimpsest.functions.scales import family_of, saturation_of
-from palimpsest.operators.quantiles import approximate, exact_quantiles
+from palimpsest.operators.quantiles import approximate, exact_quantiles_of
 
 MOVEMENT_THRESHOLD = 0.05
 SATURATION_MARGIN = 1.0
@@ -118,14 +118,17 @@ def _with_median(frame: DataFrame, groups: Sequence[str], columns: Sequence[Colu
         return frame.groupBy(*groups).agg(*columns, *[
             F.round(approximate(F.col(source), 0.5), digits).alias(name)
             for name, (source, digits) in medians.items()])
+    # The rows are read twice, once for the sums and once for the counts of values.
     result = frame.groupBy(*groups).agg(*columns)
-    for name, (source, digits) in medians.items():
-        median = (exact_quantiles(frame, groups, source, {name: 0.5})
-                  .withColumn(name, F.round(name, digits)))
+    marks = exact_quantiles_of(frame, groups, {
+        name: (source, 0.5) for name, (source, _) in medians.items()})
+    rounded = marks.select(*groups, *[F.round(name, digits).alias(name)
+                                      for name, (_, digits) in medians.items()])
+    if groups:
         # Report sized: one row per group on both sides.
-        result = (result.join(median, list(groups), "left") if groups
-                  else result.withColumn(name, F.lit(median.first()[name])))
-    return result
+        return result.join(rounded, list(groups), "left")
+    found = rounded.first()
+    return result.withColumns({name: F.lit(found[name]).cast("double") for name in medians})
 
 
 def cohort_report(dataset: DataFrame, exact: bool = False) -> DataFrame:

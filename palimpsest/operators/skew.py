@@ -55,13 +55,15 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def lookup(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "left",
-           rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+           rows_per_task: int = ROWS_PER_TASK, at_most: int | None = None) -> DataFrame:
     """Join ``rows`` (any number per key) to ``facts`` (one row per key).
 
     Rows of hot keys are not shuffled: the facts of those keys, at most MAX_HOT rows by the
-    sketch's own bound, are broadcast to them.
+    sketch's own bound, are broadcast to them. With ``at_most`` rows known to be few enough for
+    one task no key can be hot, and none is looked for.
     """
-    hot = find_hot_keys(rows, keys, rows_per_task)
+    few = at_most is not None and at_most <= rows_per_task
+    hot = None if few else find_hot_keys(rows, keys, rows_per_task)
     if not hot:
         return rows.join(facts, list(keys), how)
     cold_part = rows.filter(~hot.condition).join(facts.filter(~hot.condition), list(keys), how)

@@ -33,18 +33,20 @@ def first_copies(events: DataFrame, content: Sequence[str] | None = None) -> Dat
             .filter("_copy = 1").drop("_copy"))
 
 
-def version_timeline(events: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def version_timeline(events: DataFrame, keys_of: DataFrame | None = None,
+                     rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Slowly changing dimension: number, validity, current flag and previous values.
 
     The order ends with the fingerprint and is total, so exactly one row per key is current,
-    also when times are null.
+    also when times are null. Give the events before deduplication as ``keys_of``: looking for
+    hot keys among them costs one column, and not a second deduplication.
     """
     ordered = order_rows(
         events, ["event_key"],
         [*nulls_last("updated_time"), F.col("usgs_id"), F.col("fingerprint")],
         rank="version", count="_versions", lead={"valid_to": "updated_time"},
         lag={"previous_magnitude": "magnitude", "previous_status": "review_status"},
-        rows_per_task=rows_per_task)
+        keys_of=keys_of, rows_per_task=rows_per_task)
     return ordered.select(
         *events.columns, "version", F.col("updated_time").alias("valid_from"), "valid_to",
         (F.col("version") == F.col("_versions")).alias("is_current"), "previous_magnitude",

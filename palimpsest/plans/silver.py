@@ -18,7 +18,8 @@ def events_timeline(spark: SparkSession, catalog: str | Sequence[str] | None,
     """Timeline of every event seen in catalogue documents or live envelopes."""
     frames = [flatten_features(read_documents(spark, catalog), "catalog") if catalog else None,
               flatten_features(read_envelopes(spark, live), "live") if live else None]
-    return version_timeline(first_copies(union_sources(frames)))
+    events = union_sources(frames)
+    return version_timeline(first_copies(events), keys_of=events)
 
 
 def store_events(timeline: DataFrame, table: SnapshotTable) -> int:

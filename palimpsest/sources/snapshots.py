@@ -48,30 +48,31 @@ class SnapshotTable:
 
     def overwrite(self, frame: DataFrame) -> int:
         """Replace rows and schema."""
-        return self._commit(frame, "WRITE", updated=None)
+        return self._commit(frame, "WRITE")
 
     def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
         """Rows with a known key replace it, the others are added; ``source`` holds a key once."""
         if self.current_version() is None:
             return self.overwrite(source)
-        target = self.read()
-        matched = source.join(target, list(keys), "left_semi").count()
-        kept = target.join(source, list(keys), "left_anti")
+        kept = self.read().join(source, list(keys), "left_anti")
         merged = kept.unionByName(source, allowMissingColumns=True)
-        return self._commit(merged, "MERGE", updated=matched, inserted=source.count() - matched)
+        return self._commit(merged, "MERGE", source)
 
     def _path(self, version: int) -> str:
         return f"{self.root}/data/snapshot={version}"
 
-    def _commit(self, frame: DataFrame, operation: str, updated: int | None,
-                inserted: int | None = None) -> int:
-        current = self.current_version()
-        version = 0 if current is None else current + 1
+    def _commit(self, frame: DataFrame, operation: str,
+                source: DataFrame | None = None) -> int:
+        last = self.history().first()
+        version = 0 if last is None else last["version"] + 1
         writer = frame.write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(self._path(version))
         rows = self.spark.read.parquet(self._path(version)).count()
+        # A merge adds what the table gained; the other source rows replaced one each.
+        inserted = None if source is None else rows - last["lignes"]
+        updated = None if source is None else source.count() - inserted
         entry = (version, datetime.now(timezone.utc), operation, rows, inserted, updated)
         (self.spark.createDataFrame([entry], MANIFEST_SCHEMA).coalesce(1)
          .write.mode("append").parquet(f"{self.root}/manifest"))
