@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from palimpsest.operators.skew import ROWS_PER_TASK, HotKeys, find_hot_keys, same_keys
 from palimpsest.scratch import materialise
 
+# Ranges a sequence is cut into at most: it bounds the summary that is broadcast.
+MAX_RANGES = 10_000
 RANGE = "_range"
 RANK = "_rank"
 WHOLE = "_whole"
@@ -38,7 +40,8 @@ def order_rows(frame: DataFrame, keys: Sequence[str], order: Sequence[Column], *
                      dict(total or {}))
     if not keys:
         whole = frame.withColumn(WHOLE, F.lit(0))
-        partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = min(MAX_RANGES, int(
+            frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         return _by_ranges(whole, [WHOLE], order, wanted, partitions).drop(WHOLE)
 
     hot = find_hot_keys(frame if keys_of is None else keys_of, keys, rows_per_task)
@@ -73,7 +76,7 @@ class _Wanted:
 
 
 def _range_count(hot: HotKeys, rows_per_task: int) -> int:
-    return max(2, -(-hot.rows // rows_per_task) + len(hot.hashes))
+    return min(MAX_RANGES, max(2, -(-hot.rows // rows_per_task) + len(hot.hashes)))
 
 
 def _by_window(frame, keys, order, wanted: _Wanted) -> DataFrame:
@@ -98,7 +101,7 @@ def _by_ranges(frame, keys, order, wanted: _Wanted, partitions: int) -> DataFram
         *[F.sum(source).alias(f"_sum_{name}")
           for name, source in {**wanted.running, **wanted.total}.items()])
 
-    # One row per range: at most ``partitions`` rows plus one per hot key.
+    # One row per range and key in it: at most MAX_RANGES rows plus one per hot key.
     along = Window.partitionBy(*keys).orderBy(RANGE)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)

@@ -1,4 +1,4 @@
-"""Grouped quantiles: a bounded sketch, or exact by counting values."""
+"""Grouped quantiles: approximate by a bounded sketch, or exact by counting values."""
 
 from __future__ import annotations
 

@@ -1,7 +1,7 @@
-"""Hot keys: finding them with a bounded sketch, and joining around them.
+"""Hot keys: finding them in a sample, and joining around them.
 
-A key may own a third of all rows. Everything here stays exact: the sketch only chooses
-between two ways that give the same rows.
+A key may own a third of all rows. Everything here stays exact: the sample only chooses between
+two ways that give the same rows.
 """
 
 from __future__ import annotations
@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this does not go through one task as a whole.
 ROWS_PER_TASK = 1_000_000
-# The sketch tracks this many candidates and reports at most MAX_HOT of them, whatever the
-# size of the input: both bound the driver's list and every broadcast built on it.
-TRACKED = 65_536
+# The hot keys kept are the largest ones, at most this many whatever the size of the input: the
+# bound of the driver's list and of every broadcast built on it. A key beyond the list has fewer
+# than a MAX_HOT-th of all rows.
 MAX_HOT = 10_000
+# Sampled rows expected of a key of ROWS_PER_TASK rows, and how many of them make it hot: at
+# 1000 expected, fewer than 800 have a chance below 1e-9.
+EXPECTED_HITS, HOT_HITS = 1000, 800
+SEED = 1
 
 
 @dataclass(frozen=True)
@@ -37,13 +41,19 @@ class HotKeys:
 
 def find_hot_keys(frame: DataFrame, keys: Sequence[str],
                   rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
-    """One pass over the key columns, merged as sketches: no shuffle of rows."""
-    top = (frame.select(F.xxhash64(*keys).alias("key_hash"))
-           .agg(F.expr(f"approx_top_k(key_hash, {MAX_HOT}, {TRACKED})").alias("top"))
-           .select(F.filter("top", lambda entry: entry["count"] > rows_per_task).alias("top"))
-           .first()["top"] or [])
-    return HotKeys(tuple(keys), tuple(entry["item"] for entry in top),
-                   sum(entry["count"] for entry in top))
+    """One pass over the key columns; only counts of sampled keys are shuffled.
+
+    The share sampled depends on ``rows_per_task`` alone; small limits count every row.
+    """
+    share = min(1.0, EXPECTED_HITS / rows_per_task)
+    least = HOT_HITS if share < 1.0 else rows_per_task + 1
+    hashes = frame.select(F.xxhash64(*keys).alias("key_hash"))
+    sampled = hashes.sample(share, SEED) if share < 1.0 else hashes
+    top = (sampled.groupBy("key_hash").agg(F.count(F.lit(1)).alias("hits"))
+           .filter(F.col("hits") >= least)
+           .orderBy(F.desc("hits"), "key_hash").limit(MAX_HOT).collect())
+    return HotKeys(tuple(keys), tuple(row["key_hash"] for row in top),
+                   int(sum(row["hits"] for row in top) / share))
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -58,8 +68,8 @@ def lookup(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "l
            rows_per_task: int = ROWS_PER_TASK, at_most: int | None = None) -> DataFrame:
     """Join ``rows`` (any number per key) to ``facts`` (one row per key).
 
-    Rows of hot keys are not shuffled: the facts of those keys, at most MAX_HOT rows by the
-    sketch's own bound, are broadcast to them. With ``at_most`` rows known to be few enough for
+    Rows of hot keys are not shuffled: the facts of those keys, MAX_HOT rows at most but for
+    hash collisions, are broadcast to them. With ``at_most`` rows known to be few enough for
     one task no key can be hot, and none is looked for.
     """
     few = at_most is not None and at_most <= rows_per_task

@@ -32,6 +32,16 @@ def test_hot_keys_are_found_and_bounded(spark, skewed):
     assert not find_hot_keys(skewed, ["k"], 5000)
 
 
+def test_large_limits_sample(spark):
+    frame = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    hot = find_hot_keys(frame, ["k"], 2000)
+    assert len(hot.hashes) == 1 and 9000 < hot.rows < 11_000
+    ranked = order_rows(frame, ["k"], [F.col("id")], rank="n", rows_per_task=2000)
+    assert ranked.filter("k = -1").agg(F.max("n"), F.count_distinct("n")).first() == (
+        10_000, 10_000)
+
+
 def test_ranges_give_the_same_as_windows(spark, skewed):
     order = [F.col("t"), F.col("i")]
     plain = order_rows(skewed, ["k"], order, **WANTED, rows_per_task=10_000)
