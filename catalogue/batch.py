@@ -36,7 +36,8 @@ def versions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ranked(spark: SparkSession, sf: str) -> DataFrame:
-    return timeline.rank_versions(versions(spark, sf), VERSION_ORDER)
+    keys = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("event_id"))
+    return timeline.rank_versions(versions(spark, sf), VERSION_ORDER, keys_of=keys)
 
 
 def dataset(spark: SparkSession, sf: str) -> DataFrame:

@@ -14,11 +14,12 @@ from catalogue.landing import FETCHED, origin_features
 from catalogue.registry import query
 from catalogue.views import PAIRED
 from palimpsest.learning import forest, models, scores
-from palimpsest.learning.features import (CATEGORICAL, NUMERIC, TARGET, FeatureSet, add_label,
-                                          missing_indicators, split_by_time)
+from palimpsest.learning.features import (TARGET, FeatureSet, add_label, missing_indicators,
+                                          split_by_time)
 from palimpsest.operators.live import TRAINING_MINIMUM, live_features, parse_messages
 from palimpsest.operators.normalise import to_envelopes
 from palimpsest.operators.profiles import usable_columns
+from palimpsest.plans import training
 from palimpsest.scratch import materialise, new_folder
 from palimpsest.sources.schemas import ENVELOPE
 
@@ -72,9 +73,7 @@ class Chain:
 
     @functools.cached_property
     def forest(self) -> DataFrame:
-        last = len(self.flag.model.stages) - 1
-        uid = self.flag.model.stages[-1].uid
-        return forest.forest_table(self.spark, f"{self.saved}/stages/{last}_{uid}")
+        return forest.forest_table(self.spark, forest.last_stage(self.saved, self.flag.model))
 
 
 @functools.lru_cache(maxsize=None)
@@ -222,37 +221,10 @@ def classify_shift(spark, sf):
         .alias("probability"), "prediction")
 
 
-def report_rows(part: str, row: DataFrame) -> DataFrame:
-    """A one-row frame as (section, measure, value) rows."""
-    entries = F.array(*[F.struct(F.lit(name).alias("mesure"),
-                                 F.col(name).cast("string").alias("valeur"))
-                        for name in row.columns])
-    return row.select(F.lit(part).alias("section"), F.explode(entries).alias("e")).select(
-        "section", "e.*")
-
-
 @query("model_report")
 def model_report(spark, sf):
     made = chain(spark, sf)
-    train, test = made.split
-    area = models.area_under_roc(made.flag_predictions)
-    errors = scores.error_scores(made.shift_predictions)
-    reference = scores.baseline_scores(train, test)
-    gain = reference.select("zero_mae").join(errors.select("mae")).select(
-        F.round(100.0 * F.try_divide(F.col("zero_mae") - F.col("mae"), F.col("zero_mae")), 1)
-        .alias("gain_sur_reference_pct"), (F.col("mae") < F.col("zero_mae"))
-        .alias("bat_la_reference"))
-    rows = report_rows("regression", errors)
-    for part, frame in (
-            ("references", reference), ("gain", gain),
-            ("accord_de_signe", scores.sign_agreement(made.shift_predictions)),
-            ("bande_de_residus", scores.residual_band(made.shift_predictions)),
-            ("matrice", scores.confusion(made.flag_predictions)),
-            ("reference", scores.majority_baseline(train, test)),
-            ("classification", test.agg(F.count(F.lit(1)).alias("taille_test"))
-             .withColumn("aire_sous_roc", F.lit(round(area, 4))))):
-        rows = rows.unionByName(report_rows(part, frame))
-    return rows
+    return training.model_report(*made.split, made.shift, made.flag)
 
 
 @query("importances")

@@ -20,8 +20,8 @@ def whole_second_minutes(later: Column, earlier: Column) -> Column:
     return F.round((later.cast("long") - earlier.cast("long")) / F.lit(60.0), 1)
 
 
-def lag_units(frame_columns: str) -> dict[str, Column]:
+def lag_units(column: str) -> dict[str, Column]:
     """Hours and days of a lag given in minutes."""
-    minutes = F.col(frame_columns)
+    minutes = F.col(column)
     return {"lag_median_hours": F.round(minutes / F.lit(60), 1),
             "lag_median_days": F.round(minutes / F.lit(1440), 1)}

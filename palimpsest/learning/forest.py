@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def last_stage(pipeline_path: str, pipeline: PipelineModel) -> str:
+    """Folder of the last stage of a saved pipeline."""
+    last = len(pipeline.stages) - 1
+    digits = len(str(len(pipeline.stages)))
+    return f"{pipeline_path}/stages/{last:0{digits}d}_{pipeline.stages[-1].uid}"
+
+
 def forest_table(spark: SparkSession, model_path: str) -> DataFrame:
     """Nodes of a saved forest: tree, node, split, children, value, tree weight.
 

@@ -25,6 +25,15 @@ def error_scores(predictions: DataFrame, prediction: str = "prediction") -> Data
     return predictions.agg(*_errors(F.col(TARGET) - F.col(prediction), ""))
 
 
+def gain_over_zero(predictions: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """How much smaller the absolute error is than that of always answering zero."""
+    zero, own = F.col("zero_mae"), F.col("mae")
+    return (predictions.agg(F.avg(F.abs(TARGET)).alias("zero_mae"),
+                            F.avg(F.abs(F.col(TARGET) - F.col(prediction))).alias("mae"))
+            .select(F.round(F.try_divide(100.0 * (zero - own), zero), 1)
+                    .alias("gain_sur_reference_pct"), (own < zero).alias("bat_la_reference")))
+
+
 def baseline_scores(train: DataFrame, test: DataFrame) -> DataFrame:
     """Always zero, and always the mean of the training rows."""
     mean = train.agg(F.avg(TARGET).alias("mean")).first()["mean"] or 0.0

@@ -56,12 +56,16 @@ def version_timeline(events: DataFrame, keys_of: DataFrame | None = None,
 
 def rank_versions(versions: DataFrame, order: Sequence[str] = ("published_epoch_ms",
                                                                "contributor_code"),
+                  keys_of: DataFrame | None = None,
                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Rank of each published version of an event, its step and its distance to the event."""
+    """Rank of each published version of an event, its step and its distance to the event.
+
+    ``keys_of`` may name a frame that is cheaper to search for hot keys (see ``order_rows``).
+    """
     ordered = order_rows(
         versions, ["event_id"], [F.col(name) for name in order],
         rank="version_rank", count="version_count",
-        lag={"previous_magnitude": "magnitude"}, rows_per_task=rows_per_task)
+        lag={"previous_magnitude": "magnitude"}, keys_of=keys_of, rows_per_task=rows_per_task)
     return ordered.select(
         "*",
         (F.col("version_rank") == 1).alias("is_first"),

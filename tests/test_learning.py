@@ -4,6 +4,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from palimpsest.learning import forest, models, scores
+from palimpsest.plans import training
 from palimpsest.learning.features import (CATEGORICAL, NUMERIC, FeatureSet, LeakageDetected,
                                           add_label, missing_indicators, split_by_time)
 
@@ -117,3 +118,18 @@ def test_regression_scores_better_than_nothing(dataset):
     errors = scores.error_scores(fitted.model.transform(dataset)).first()
     zero = scores.baseline_scores(dataset, dataset).first()
     assert errors.mae <= zero.zero_mae
+
+
+def test_a_labelled_run_has_its_own_folders(spark, dataset, tmp_path):
+    pairs = dataset.drop(*[name for name in dataset.columns if name.endswith("_absent")])
+    root = str(tmp_path)
+    full = training.train_and_store(pairs, training.Run(root), boosting=SMALL)
+    before = rows(full)
+    less = training.train_and_store(pairs, training.Run(root, "ablation"),
+                                    excluded=["first_magnitude"], boosting=SMALL)
+    assert rows(spark.read.parquet(f"{root}/model_report")) == before
+    area = {name: float(frame.filter("mesure = 'aire_sous_roc'").first().valeur)
+            for name, frame in (("full", full), ("less", less))}
+    assert area["full"] > area["less"]
+    assert spark.read.parquet(f"{root}/model_export").filter("threshold IS NOT NULL").count() > 0
+    PipelineModel.load(f"{root}/models_ablation/revision_shift")
