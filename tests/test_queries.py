@@ -1,4 +1,6 @@
-"""Every registered query against its SQL, on the smallest tables."""
+"""Every registered query against its SQL, on the smallest tables that give it rows."""
+
+import functools
 
 import duckdb
 import pytest
@@ -8,15 +10,16 @@ from check_queries import TABLES, rows_of
 
 SLOW = ("feature_vectors", "regress_shift", "classify_shift", "model_report", "importances",
         "ablation", "forest_table", "scoring_parity", "score_live")
+# No month of the smallest tables reaches the limit of a batch.
+LARGER = ("truncated_batches", "pending_months")
 
 
-@pytest.fixture(scope="module")
-def duck(sf):
+@functools.lru_cache(maxsize=None)
+def duck(tables):
     connection = duckdb.connect()
     for name in TABLES:
-        connection.execute(f"create view {name} as select * from '{sf}/{name}.parquet'")
-    yield connection
-    connection.close()
+        connection.execute(f"create view {name} as select * from '{tables}/{name}.parquet'")
+    return connection
 
 
 def test_names_match():
@@ -24,12 +27,13 @@ def test_names_match():
 
 
 @pytest.mark.parametrize("name", [name for name in queries() if name not in SLOW])
-def test_query(spark, duck, sf, name):
-    frame = queries()[name](spark, sf)
+def test_query(spark, sf, name):
+    tables = sf.replace("0.001", "0.01") if name in LARGER else sf
+    frame = queries()[name](spark, tables)
     got = rows_of(frame.columns, frame.collect())
     assert got
     if name in oracle_sql():
-        result = duck.execute(oracle_sql()[name])
+        result = duck(tables).execute(oracle_sql()[name])
         names = [column[0] for column in result.description]
         assert sorted(names) == sorted(frame.columns)
         assert got == rows_of(names, result.fetchall())
