@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from palimpsest.llm import decontaminate, near_dedup, substrings  # noqa: F401
+from palimpsest.llm import decontaminate, near_dedup, preferences, sharding, substrings  # noqa: F401
 from palimpsest.llm.registry import ORACLES, QUERIES  # noqa: F401
