@@ -9,7 +9,7 @@ Defined cases. A null or empty text has no words. An item without words has no w
 shorter than a window is one window. An item without id marks words as hit and is not counted as
 an item; repeated items count once. Repeated document rows each get their row. An empty benchmark
 hits nothing. Other columns of the documents are not read by ``find_leaks`` and are kept by
-``remove_leaks``.
+``drop_leaking`` and ``cut_leaks``.
 """
 
 from __future__ import annotations
@@ -147,23 +147,25 @@ def _scan(docs: DataFrame, lookup) -> DataFrame:
     return docs.mapInArrow(scan, schema)
 
 
+def _lookups(benchmark: DataFrame, window: int, block_rows: int, item_id: str, item_text: str) -> list:
+    """One broadcast for each block of the benchmark's windows."""
+    pairs = benchmark_windows(benchmark, window, item_id, item_text)
+    blocks = max(1, -(-pairs.count() // block_rows))
+    block = F.pmod(F.xxhash64("item", "window"), F.lit(blocks))
+    context = benchmark.sparkSession.sparkContext
+    return [context.broadcast(Lookup([(row["item"], row["window"]) for row in pairs.where(block == number).collect()]))
+            for number in range(blocks)]  # about block_rows rows at most
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_rows: int = BLOCK_ROWS,
                doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
                item_text: str = "text") -> DataFrame:
     """One row per document row: doc_id, text_key, n_words, spans of hit words (of one block each;
     they may overlap), items with an occurring window."""
-    spark: SparkSession = docs.sparkSession
-    pairs = benchmark_windows(benchmark, window, item_id, item_text)
-    blocks = max(1, -(-pairs.count() // block_rows))
-    block = F.pmod(F.xxhash64("item", "window"), F.lit(blocks))
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"),
                          F.col(text).alias("text"))
-    scans = []
-    for number in range(blocks):
-        rows = pairs.where(block == number).collect()  # about block_rows at most
-        scans.append(_scan(narrow, spark.sparkContext.broadcast(
-            Lookup([(row["item"], row["window"]) for row in rows]))))
-    if blocks == 1:
+    scans = [_scan(narrow, lookup) for lookup in _lookups(benchmark, window, block_rows, item_id, item_text)]
+    if len(scans) == 1:
         return scans[0]
     found = reduce(DataFrame.unionAll, [
         scan.where((F.size("spans") > 0)).select("doc_id", "text_key", "spans", "items") for scan in scans])
@@ -186,15 +188,35 @@ def leak_report(leaks: DataFrame) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"))
 
 
-def remove_leaks(docs: DataFrame, benchmark: DataFrame, spans_only: bool = False, **options) -> DataFrame:
-    """The documents without contaminated ones, in their own columns. With ``spans_only`` the
-    documents stay and their hit words go, with what stands between words of one span."""
+def drop_leaking(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_rows: int = BLOCK_ROWS,
+                 text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The documents without any hit, in their own columns: one scan for each block."""
+    schema = docs.schema
+
+    def without_hits(lookup) -> callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for piece in slices(batch, text):
+                    words = cut(piece.column(text), ALPHANUMERIC, lower=True)
+                    rows, clean = words.rows(), np.ones(piece.num_rows, bool)
+                    for _, _, at in lookup.value.hits(words):
+                        clean[rows[at]] = False
+                    yield piece.filter(pa.array(clean))
+
+        return run
+
+    for lookup in _lookups(benchmark, window, block_rows, item_id, item_text):
+        docs = docs.mapInArrow(without_hits(lookup), schema)
+    return docs
+
+
+def cut_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The documents in their own columns, their hit words cut out with what stands between words
+    of one span. Options are those of ``find_leaks``."""
     doc_id, text = options.get("doc_id", "doc_id"), options.get("text", "text")
     leaks = find_leaks(docs, benchmark, **options).where(F.size("spans") > 0).groupBy(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.first("spans").alias("__spans"))
     same = docs[doc_id].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__key"))
-    if not spans_only:
-        return docs.join(leaks, same, "left_anti")
     schema = docs.schema
     marked = docs.join(leaks, same, "left").drop("__id", "__key")
 
@@ -206,12 +228,14 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, spans_only: bool = False
                 begin = np.cumsum([0, *(len((x or "").encode()) for x in texts)])
                 for row, spans in enumerate(piece.column("__spans").to_pylist()):
                     raw, base = (texts[row] or "").encode(), int(words.first[row])
-                    for span in sorted(spans or [], key=lambda x: -x["start"]):
-                        low = words.starts[base + span["start"]] - begin[row]
-                        high = words.ends[base + span["stop"] - 1] - begin[row]
-                        raw = raw[:low] + raw[max(low, high):]
+                    kept, at = [], 0
+                    for span in sorted(spans or [], key=lambda x: x["start"]):
+                        low = int(words.starts[base + span["start"]] - begin[row])
+                        high = int(words.ends[base + span["stop"] - 1] - begin[row])
+                        kept.append(raw[at:max(low, at)])
+                        at = max(at, high)
                     if spans:
-                        texts[row] = raw.decode()
+                        texts[row] = b"".join([*kept, raw[at:]]).decode()
                 columns = [pa.array(texts, piece.schema.field(name).type) if name == text else piece.column(name)
                            for name in schema.names]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)

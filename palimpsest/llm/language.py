@@ -246,38 +246,47 @@ def _labelled(piece: pa.RecordBatch, words: LetterWords, scores: np.ndarray, mod
         [pa.array(words.starts[begin].astype(np.int32)), pa.array(words.stops[end].astype(np.int32)),
          pa.array(names[labels[begin]], pa.string())], ["start", "stop", "lang"]))
     return pa.RecordBatch.from_arrays(
-        [piece.column("doc_id"), pa.array(names[best], pa.string()), pa.array(share), spans.cast(_SPAN)],
+        [piece.column(0), pa.array(names[best], pa.string()), pa.array(share), spans.cast(_SPAN)],
         ["doc_id", "lang_pred", "score", "spans"])
 
 
-def _label(model):
+def _label(model, keep_rows: bool = False):
+    """Labels of each row; or, with ``keep_rows``, the rows themselves in which a language is found."""
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Model = model.value
         width = max(1, len(known.names))
         for batch in batches:
             # Texts advance together, so as many as memory allows: scores are 8 bytes a word and language.
-            for held in slices(batch, "text", max(1 << 16, 6 * HELD // width)):
+            for held in slices(batch, "__text", max(1 << 16, 6 * HELD // width)):
                 parts = []
-                for piece in slices(held, "text", max(1 << 14, (8 << 20) // width)):
-                    words = letter_words(piece.column("text"))
+                for piece in slices(held, "__text", max(1 << 14, (8 << 20) // width)):
+                    words = letter_words(piece.column("__text"))
                     parts.append((words, word_scores(words, known), piece.num_rows))
                 base = np.cumsum([0, *(rows for _, _, rows in parts)])
                 words = LetterWords(*(np.concatenate([getattr(part[0], name) for part in parts]) for name in (
                     "starts", "stops", "script")),
                     np.concatenate([part[0].text + low for part, low in zip(parts, base)]),
                     np.zeros(0, np.int64), np.concatenate([part[0].letters for part in parts]), np.zeros(0, np.int64))
-                yield _labelled(held, words, np.concatenate([part[1] for part in parts]), known)
+                labels = _labelled(held, words, np.concatenate([part[1] for part in parts]), known)
+                yield labels if not keep_rows else held.filter(
+                    pc.not_equal(labels.column("lang_pred"), UNKNOWN)).drop_columns(["__text"])
 
     return label
 
 
 def label_languages(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document row: doc_id, lang_pred, score, spans (characters of the text)."""
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("__text")).mapInArrow(
         _label(docs.sparkSession.sparkContext.broadcast(model)),
         f"doc_id long, lang_pred string, score double, spans {SPANS}")
 
 
+def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The documents in which a learned language is found, in their own columns."""
+    return docs.withColumn("__text", F.col(text)).mapInArrow(
+        _label(docs.sparkSession.sparkContext.broadcast(model), keep_rows=True), docs.schema)
+
+
 def training_part(docs: DataFrame, parts: int = 5) -> DataFrame:
     """The labelled documents outside the held-out fold."""
     return docs.where(fold(F.col("doc_id"), parts) != 0).select(
