@@ -182,8 +182,8 @@ def fit(texts: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
 
 
 def word_scores(words: LetterWords, model: Model) -> np.ndarray:
-    if not len(words.starts):
-        return np.zeros((0, len(model.names)))
+    if not len(words.starts) or not model.names:
+        return np.zeros((len(words.starts), len(model.names)))
     begin = np.cumsum(words.letters) - words.letters
     out = np.add.reduceat(model.scores[words.trigrams], begin, axis=0).astype(np.float64) + model.scores[words.whole]
     able = model.candidates[words.script]
