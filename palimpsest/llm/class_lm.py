@@ -168,7 +168,8 @@ def exchange(bigrams: np.ndarray, clustered: int, classes: int, sweeps: int = SW
             table_[own, :] -= after
             table_[:, own] -= before
             table_[own, own] -= self_count
-            rows, columns = table_.sum(axis=1)[:classes], table_.sum(axis=0)[:classes]
+            # Bigrams with the word count for their other side wherever the word goes.
+            rows, columns = (table_.sum(axis=1) + before)[:classes], (table_.sum(axis=0) + after)[:classes]
             out, into = table_[:classes, :], table_[:, :classes].T
             at = np.arange(classes)
             gain = (_xlogx(out + after) - _xlogx(out)).sum(axis=1) + (_xlogx(into + before) - _xlogx(into)).sum(axis=1)

@@ -65,6 +65,27 @@ def test_exchange_finds_the_classes():
     assert (of == true).all() or (of != true).all()
 
 
+def likelihood(bigrams, of):
+    number = of.max() + 1
+    table = np.zeros((number, number))
+    np.add.at(table, (of[:, None], of[None, :]), bigrams)
+    return sum((x * np.log(np.maximum(x, 1))).sum() * sign for x, sign in (
+        (table, 1), (table.sum(axis=0), -1), (table.sum(axis=1), -1)))
+
+
+def test_no_single_move_raises_the_likelihood():
+    rng = np.random.default_rng(6)
+    bigrams = rng.poisson(3.0, (14, 14)).astype(float)
+    of = exchange(bigrams, 12, 3, sweeps=50)
+    assert of[12:].tolist() == [3, 4]
+    best = likelihood(bigrams, of)
+    for word in range(12):
+        for to in range(3):
+            moved = of.copy()
+            moved[word] = to
+            assert likelihood(bigrams, moved) <= best + 1e-6
+
+
 def test_scores_are_probabilities(make_docs):
     # Over one word after the start: all known words and one unseen in each ending sum up to about one.
     docs = [(at, x) for at, x in enumerate(["aa bb", "aa cc", "bb aa dd"] * 6)]
