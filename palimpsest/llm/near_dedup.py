@@ -176,8 +176,9 @@ def near_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = materialise(sorted_orders.mapInArrow(_neighbours, "lo long, hi long").distinct(), "pairs")
     ours = texts.select(F.col("doc_id").alias("lo"), F.col("text").alias("text_lo"))
     theirs = texts.select(F.col("doc_id").alias("hi"), F.col("text").alias("text_hi"))
-    return pairs.join(ours, "lo").join(theirs, "hi").select("lo", "hi", "text_lo", "text_hi").mapInArrow(
-        _confirm, "lo long, hi long")
+    return materialise(
+        pairs.join(ours, "lo").join(theirs, "hi").select("lo", "hi", "text_lo", "text_hi").mapInArrow(
+            _confirm, "lo long, hi long"), "confirmed")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
