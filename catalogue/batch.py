@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +20,7 @@ from palimpsest.operators.normalise import flatten_features, union_sources
 from palimpsest.operators.rings import compact_rings
 from palimpsest.operators.snapshot_diff import compare_snapshots, diff_summary, largest_gaps
 from palimpsest.plans.bundle import build_bundle
-from palimpsest.scratch import materialise
+from palimpsest.scratch import all_files_there, materialise
 from palimpsest.sources.schemas import FEATURE
 from palimpsest.streaming.revisions import batch_revisions
 
@@ -35,15 +33,19 @@ def versions(spark: SparkSession, sf: str) -> DataFrame:
     return spark_view(spark, sf, versions_sql)
 
 
+def version_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("event_id"))
+
+
 def ranked(spark: SparkSession, sf: str) -> DataFrame:
-    keys = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("event_id"))
-    return timeline.rank_versions(versions(spark, sf), VERSION_ORDER, keys_of=keys)
+    return timeline.rank_versions(versions(spark, sf), VERSION_ORDER,
+                                  keys_of=version_keys(spark, sf))
 
 
 def dataset(spark: SparkSession, sf: str) -> DataFrame:
     """Revision pairs with all columns, by the form without windows."""
     return pairing.revision_columns(
-        pairing.pairs_by_aggregate(versions(spark, sf), VERSION_ORDER))
+        pairing.pairs_by_key(versions(spark, sf), VERSION_ORDER, keys_of=version_keys(spark, sf)))
 
 
 REVISED = ("magnitude", "magnitude_type", "station_count", "minutes_since_quake")
@@ -51,24 +53,26 @@ REVISED = ("magnitude", "magnitude_type", "station_count", "minutes_since_quake"
 
 def shifts(spark: SparkSession, sf: str, *more: str) -> DataFrame:
     """The pairs with what the reports read: an aggregate carries every column it is given."""
-    return pairing.revision_columns(pairing.pairs_by_aggregate(
-        versions(spark, sf), VERSION_ORDER, ("cohort",), (*REVISED, *more), REVISED))
+    return pairing.revision_columns(pairing.pairs_by_key(
+        versions(spark, sf), VERSION_ORDER, ("cohort",), (*REVISED, *more), REVISED,
+        version_keys(spark, sf)))
 
 
 def magnitude_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return pairing.pairs_by_aggregate(versions(spark, sf), VERSION_ORDER, (), ("magnitude",),
-                                      ("magnitude",))
+    return pairing.pairs_by_key(versions(spark, sf), VERSION_ORDER, (), ("magnitude",),
+                                ("magnitude",), version_keys(spark, sf))
 
 
-@functools.lru_cache(maxsize=None)
-def _landed(application: str, sf: str, spark: SparkSession) -> DataFrame:
-    return materialise(_published(spark, sf), "landed")
+_LANDED: dict[tuple[str, str], DataFrame] = {}
 
 
 def nested_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Landed features, written once per application: operators start from a scan, as they do
-    behind an ingestion."""
-    return _landed(spark.sparkContext.applicationId, sf, spark)
+    """Landed features, written once per application and again when the files are gone:
+    operators start from a scan, as they do behind an ingestion."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LANDED or not all_files_there(_LANDED[key]):
+        _LANDED[key] = materialise(_published(spark, sf), "landed")
+    return _LANDED[key]
 
 
 def _published(spark: SparkSession, sf: str) -> DataFrame:
@@ -271,7 +275,7 @@ select e.event_key, c.place, c.event_time, e.versions, first_magnitude, final_ma
     as minutes_to_final
 from ends e join current c on e.event_key = c.event_key""")
 def revision_history(spark, sf):
-    return pairing.revision_history(events_timeline(spark, sf))
+    return pairing.revision_history(events_timeline(spark, sf), flat_events(spark, sf))
 
 
 @query("revised_events", f"""with {FLAT}, k as (select event_key, count(*) as n from timeline
@@ -313,7 +317,8 @@ def first_final_join(spark, sf):
 
 @query("first_final_agg", PAIR_SQL)
 def first_final_agg(spark, sf):
-    return pairing.pairs_by_aggregate(versions(spark, sf), VERSION_ORDER).select(*PAIR_COLUMNS)
+    return pairing.pairs_by_key(versions(spark, sf), VERSION_ORDER,
+                                keys_of=version_keys(spark, sf)).select(*PAIR_COLUMNS)
 
 
 @query("revision_dataset", f"""with {PAIRED} select event_id, cohort, place, event_time,
@@ -467,7 +472,7 @@ select threshold, count(*) as events_evaluated,
   round(count(*) filter (a < threshold and c >= threshold) / count(*), 4) as miss_rate
 from p, t where a is not null and c is not null group by threshold""")
 def alert_reliability(spark, sf):
-    return thresholds.alert_reliability(pairing.revision_history(events_timeline(spark, sf)))
+    return thresholds.alert_reliability(pairing.revision_history(events_timeline(spark, sf), flat_events(spark, sf)))
 
 
 # Profiles -----------------------------------------------------------------------------------
@@ -701,7 +706,7 @@ FEED = KINDS + """, feed as (select user_id, arg_max(event_id, (ts, event_id)) a
 
 def feed(spark: SparkSession, sf: str) -> DataFrame:
     return live.feed_groups(tracked(spark, sf), "user_id", ["ts", "event_id"],
-                            ["event_id", "magnitude"])
+                            ["event_id", "magnitude"], table(spark, sf, "events"))
 
 
 @query("feed_groups", f"with {FEED} select * from feed")
@@ -732,13 +737,10 @@ def triage_state(spark, sf):
 
 @query("triage_order", f"""with {SCORED} select user_id, etat, suspicion, kind,
   row_number() over (order by case when in_domain then suspicion else -1 end desc, kind_rank,
-  user_id) as place from scored order by place limit 60""")
+  user_id) as place from scored""")
 def triage_order(spark, sf):
-    first = live.triage_order(scored_feed(spark, sf), "user_id").limit(60)
-    return (first.agg(F.collect_list(F.struct("user_id", "etat", "suspicion", "kind"))
-                      .alias("shown"))
-            .select(F.posexplode("shown").alias("at", "r"))
-            .select("r.*", (F.col("at") + 1).cast("long").alias("place")))
+    return live.triage_order(scored_feed(spark, sf), "user_id").select(
+        "user_id", "etat", "suspicion", "kind", "place")
 
 
 @query("triage_counts", f"""with {SCORED} select count(*) as scored,

@@ -14,13 +14,12 @@ from palimpsest.operators.normalise import (active_versions, explode_versions,
                                             flatten_features, project_products, to_envelopes)
 from palimpsest.scratch import new_folder
 from palimpsest.sources import ingest
-from palimpsest.sources.files import (layer_footprint, load_table, read_completed,
+from palimpsest.sources.files import (load_table, read_completed,
                                       read_documents, read_envelopes, read_versions,
                                       write_table)
 from palimpsest.sources.schemas import ENVELOPE
 from palimpsest.sources.snapshots import SnapshotTable, read_as_of
 
-LIMIT = 200
 PAGE = 1000
 FETCHED = "2024-02-01T00:00:00+00:00"
 
@@ -211,7 +210,14 @@ CALENDAR = """cal as (select strftime(s, '%Y-%m') as period, year(s)::int as yea
     date_trunc('month', max(o_orderdate)), interval 1 month)) as s from orders))"""
 DESCRIBED = L + """, d as (select period, count(*) as events,
   sum(strlen(value) + 1)::bigint as bytes,
-  sum(('0x' || substr(sha256(value), 1, 12))::bigint)::varchar as digest from l group by period)"""
+  sum(('0x' || substr(sha256(value), 1, 12))::bigint)::varchar as digest from l group by period),
+page as (select ceil(avg(events))::bigint as size from d)"""
+
+
+def page_size(spark: SparkSession, sf: str) -> int:
+    """The mean number of events of a month: some months reach it and some do not."""
+    sizes = months(spark, sf).groupBy("period").count()
+    return sizes.agg(F.ceil(F.avg("count"))).first()[0] or 1
 
 
 @query("month_calendar", f"with {CALENDAR} select * from cal")
@@ -219,33 +225,50 @@ def month_calendar(spark, sf):
     return calendar(spark, sf)
 
 
-@query("truncated_batches", f"with {DESCRIBED} select period, events from d where events >= 200")
+@query("truncated_batches", f"""with {DESCRIBED} select period, events from d, page
+  where events >= size""")
 def truncated_batches(spark, sf):
-    return ingest.truncated_batches(months(spark, sf), LIMIT)
+    return ingest.truncated_batches(months(spark, sf), page_size(spark, sf))
 
 
 @query("pending_months", f"""with {DESCRIBED}, {CALENDAR} select period, starts, ends_before
-  from cal where period not in (select period from d where events < 200)""")
+  from cal where period not in (select period from d, page where events < size)""")
 def pending_months(spark, sf):
-    marked = ingest.describe(months(spark, sf), "period").filter(F.col("events") < LIMIT)
-    return ingest.pending(calendar(spark, sf), marked).select("period", "starts", "ends_before")
-
-
-@query("ingest_months", f"with {DESCRIBED} select * from d where events < 200")
-def ingest_months(spark, sf):
-    landing = ingest.BatchLanding(spark, new_folder(spark, "months"), limit=LIMIT)
+    """Months that were refused stay pending."""
+    landing = ingest.BatchLanding(spark, new_folder(spark, "pending"), limit=page_size(spark, sf))
     landing.ingest(months(spark, sf))
-    return landing.manifest().drop("ingested_at")
+    return ingest.pending(calendar(spark, sf), landing.manifest()).select(
+        "period", "starts", "ends_before")
 
 
-@query("completed_batches", f"""with {DESCRIBED} select d.period, events, bytes from d
-  where events < 200""")
+@query("ingest_months", f"with {DESCRIBED} select d.*, 'landed' as outcome from d")
+def ingest_months(spark, sf):
+    landing = ingest.BatchLanding(spark, new_folder(spark, "months"))
+    outcome = ingest.require_landed(landing.ingest(months(spark, sf)))
+    return outcome.join(landing.manifest(), ["period", "events", "bytes", "digest"]).drop("ingested_at")
+
+
+@query("ingest_outcomes", f"""with {DESCRIBED} select d.*, case when events < size then 'landed'
+  else 'rejected' end as outcome, 1 as run from d, page
+  union all select d.*, case when events < size then 'already marked' else 'landed' end, 2
+  from d, page""")
+def ingest_outcomes(spark, sf):
+    """A landing with a limit taken from the data refuses the large months; one without a limit
+    over the same folder lands those and finds the others marked."""
+    lines, folder = months(spark, sf), new_folder(spark, "outcomes")
+    first = ingest.BatchLanding(spark, folder, limit=page_size(spark, sf)).ingest(lines)
+    second = ingest.BatchLanding(spark, folder).ingest(lines)
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+
+
+@query("completed_batches", f"""with {DESCRIBED} select d.period, events, bytes from d, page
+  where events < size""")
 def completed_batches(spark, sf):
     """All months have files; only the marked ones are read."""
     folder = new_folder(spark, "batches")
     lines = months(spark, sf).select("period", "value")
     lines.write.partitionBy("period").text(folder)
-    manifest = ingest.describe(lines, "period").filter(F.col("events") < LIMIT)
+    manifest = ingest.describe(lines, "period").filter(F.col("events") < page_size(spark, sf))
     landed = spark.read.schema("value string, period string").text(folder)
     return (ingest.describe(read_completed(landed, manifest, "period"), "period")
             .drop("digest"))
@@ -257,12 +280,12 @@ REPLAY_DAY = "1998-01"
 @query("replay_check", f"""with {DESCRIBED}, s as (
   select 1 as run, count(*) as batches, sum(events)::bigint as events,
     sum(bytes)::bigint as bytes, sum(digest::hugeint)::varchar as digest
-    from d where events < 2000000 and period < '{REPLAY_DAY}'
+    from d where period < '{REPLAY_DAY}'
   union all select unnest([2, 3]), count(*), sum(events)::bigint, sum(bytes)::bigint,
     sum(digest::hugeint)::varchar from d) select * from s""")
 def replay_check(spark, sf):
     """A run that was cut after some months, a complete run, and a replay of it."""
-    landing = ingest.BatchLanding(spark, new_folder(spark, "replay"), limit=2_000_000)
+    landing = ingest.BatchLanding(spark, new_folder(spark, "replay"))
     lines = months(spark, sf)
     states = []
     for run, seen in enumerate((lines.filter(F.col("period") < REPLAY_DAY), lines, lines), 1):
@@ -274,7 +297,7 @@ def replay_check(spark, sf):
 
 COHORTS = I + """, traced as (select distinct usgs_id as event_id from i
   where ids like '%,usauto%'), control as (select usgs_id as event_id from i
-  where ids not like '%,usauto%' order by sha256(usgs_id || '|20260827'), usgs_id limit 1000),
+  where ids not like '%,usauto%' order by sha256(usgs_id || '|7'), usgs_id limit 1000),
 m as (select event_id, 'traced' as cohort from traced union all select event_id, 'control'
   from control),
 b as (select event_id, cohort, (row_number() over (order by cohort <> 'traced', event_id) - 1)
@@ -376,11 +399,3 @@ def gold_roundtrip(spark, sf):
     write_table(shifts(spark, sf).select("event_id", "shift", "direction"), folder,
                 "magnitude_revision")
     return load_table(spark, folder, "magnitude_revision")
-
-
-@query("layer_footprint")
-def layer_footprint_query(spark, sf):
-    return layer_footprint(spark, {
-        "bronze_flux": f"{sf}/events.parquet", "bronze_catalogue": f"{sf}/orders.parquet",
-        "bronze_versions": f"{sf}/lineitem.parquet", "silver": f"{sf}/documents.parquet",
-        "gold": f"{sf}/labels.parquet"})

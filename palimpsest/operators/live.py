@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions.scales import family_of, saturation_of
+from palimpsest.operators.ordered import order_rows, summarise_keys
 
 # Fixed values.
 TRAINING_MINIMUM = 4.0
@@ -84,22 +85,19 @@ def search_place(frame: DataFrame, text: str, column: str = "place") -> DataFram
     return frame.filter(F.lower(F.coalesce(column, F.lit(""))).contains(needle))
 
 
-def feed_groups(messages: DataFrame, key: str, order: list[str],
-                columns: list[str]) -> DataFrame:
+def feed_groups(messages: DataFrame, key: str, order: list[str], columns: list[str],
+                keys_of: DataFrame | None = None) -> DataFrame:
     """Per identifier: the latest message, how often it came, and whether it was revised.
 
-    The previous magnitude is that of the latest revision. Ends and counts are combined on
-    the map side; no group is gathered.
+    The previous magnitude is that of the latest revision.
     """
-    position = F.struct(*order)
-    revised = F.col("kind") == REVISED
-    grouped = messages.groupBy(key).agg(
-        F.max_by(F.struct(*columns, "kind"), position).alias("latest"),
-        F.count(F.lit(1)).alias("republications"),
-        F.max(F.when(revised, F.struct(position, F.col("previous_magnitude")))).alias("change"))
+    change = F.struct(F.struct(*order).alias("at"), F.col("previous_magnitude"))
+    grouped = summarise_keys(messages, [key], order, [order[0]], [*columns, "kind"], {
+        "republications": F.count(F.lit(1)),
+        "change": F.max(F.when(F.col("kind") == REVISED, change))}, keys_of)
     return grouped.select(
-        key, *[F.col(f"latest.{name}").alias(name) for name in columns], "republications",
-        F.when(F.col("change").isNotNull(), REVISED).otherwise(F.col("latest.kind"))
+        key, *[F.col(f"_last.{name}").alias(name) for name in columns], "republications",
+        F.when(F.col("change").isNotNull(), REVISED).otherwise(F.col("_last.kind"))
         .alias("kind"),
         F.col("change.previous_magnitude").alias("previous_magnitude"))
 
@@ -110,13 +108,13 @@ def kind_rank(kind: Column) -> Column:
 
 
 def triage_order(scored: DataFrame, tie_break: str) -> DataFrame:
-    """Suspicion first, of records the model may judge; then by kind."""
-    return scored.orderBy(*_triage_keys(tie_break))
-
-
-def _triage_keys(tie_break: str) -> list[Column]:
+    """All records with their place: suspicion first, of records the model may judge; then by
+    kind. The numbers come from ranges of the order, not from one task."""
     weight = F.when(F.col("in_domain"), F.col("suspicion")).otherwise(F.lit(-1.0))
-    return [F.desc(weight), kind_rank(F.col("kind")), F.col(tie_break)]
+    keyed = scored.withColumns({"_weight": -weight, "_kind": kind_rank(F.col("kind"))})
+    return order_rows(keyed, [], [
+        F.col("_weight").isNull(), F.col("_weight"), F.col("_kind"), F.col(tie_break)],
+        rank="place").drop("_weight", "_kind")
 
 
 def triage_counts(scored: DataFrame, tie_break: str) -> DataFrame:

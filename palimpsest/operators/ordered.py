@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from palimpsest.operators.skew import ROWS_PER_TASK, HotKeys, find_hot_keys, same_keys
 from palimpsest.scratch import materialise
 
-# Ranges a sequence is cut into at most: it bounds the summary that is broadcast.
-MAX_RANGES = 10_000
 RANGE = "_range"
 RANK = "_rank"
 WHOLE = "_whole"
@@ -40,9 +38,8 @@ def order_rows(frame: DataFrame, keys: Sequence[str], order: Sequence[Column], *
                      dict(total or {}))
     if not keys:
         whole = frame.withColumn(WHOLE, F.lit(0))
-        partitions = min(MAX_RANGES, int(
-            frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        return _by_ranges(whole, [WHOLE], order, wanted, partitions).drop(WHOLE)
+        ranges = max(2, -(-frame.count() // rows_per_task))
+        return _by_ranges(whole, [WHOLE], order, wanted, ranges).drop(WHOLE)
 
     hot = find_hot_keys(frame if keys_of is None else keys_of, keys, rows_per_task)
     if not hot:
@@ -53,6 +50,35 @@ def order_rows(frame: DataFrame, keys: Sequence[str], order: Sequence[Column], *
     return cold_part.unionByName(hot_part)
 
 
+def summarise_keys(frame: DataFrame, keys: Sequence[str], order: Sequence[str],
+                   first: Sequence[str], last: Sequence[str],
+                   folds: Mapping[str, Column] | None = None, keys_of: DataFrame | None = None,
+                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """One row per key: ``_first`` and ``_last``, structs of columns of the key's first and last
+    row in ``order``, and aggregates over all its rows.
+
+    One shuffle, one sort and one window; nothing is aggregated through a sort of its own. Rows
+    of hot keys are combined on the map side instead and never meet in one task.
+    """
+    folds = dict(folds or {})
+    hot = find_hot_keys(frame if keys_of is None else keys_of, keys, rows_per_task)
+    cold = frame.filter(~hot.condition) if hot else frame
+    along = Window.partitionBy(*keys).orderBy(*order)
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    summary = cold.select(
+        *keys, F.row_number().over(along).alias(RANK), F.struct(*first).alias("_first"),
+        F.last(F.struct(*last)).over(whole).alias("_last"),
+        *[fold.over(whole).alias(name) for name, fold in folds.items()]).filter(
+        F.col(RANK) == 1).drop(RANK)
+    if not hot:
+        return summary
+    position = F.struct(*order)
+    return summary.unionByName(frame.filter(hot.condition).groupBy(*keys).agg(
+        F.min_by(F.struct(*first), position).alias("_first"),
+        F.max_by(F.struct(*last), position).alias("_last"),
+        *[fold.alias(name) for name, fold in folds.items()]))
+
+
 class _Wanted:
     def __init__(self, rank, count, lag, lead, running, total):
         self.rank, self.count = rank, count
@@ -76,7 +102,7 @@ class _Wanted:
 
 
 def _range_count(hot: HotKeys, rows_per_task: int) -> int:
-    return min(MAX_RANGES, max(2, -(-hot.rows // rows_per_task) + len(hot.hashes)))
+    return max(2, -(-hot.rows // rows_per_task) + len(hot.hashes))
 
 
 def _by_window(frame, keys, order, wanted: _Wanted) -> DataFrame:
@@ -101,7 +127,7 @@ def _by_ranges(frame, keys, order, wanted: _Wanted, partitions: int) -> DataFram
         *[F.sum(source).alias(f"_sum_{name}")
           for name, source in {**wanted.running, **wanted.total}.items()])
 
-    # One row per range and key in it: at most MAX_RANGES rows plus one per hot key.
+    # One row per range and key in it. It is broadcast only where Spark finds it small.
     along = Window.partitionBy(*keys).orderBy(RANGE)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
@@ -115,7 +141,7 @@ def _by_ranges(frame, keys, order, wanted: _Wanted, partitions: int) -> DataFram
           for name in wanted.running],
         *[F.sum(f"_sum_{name}").over(whole).alias(name) for name in wanted.total])
 
-    joined = local.join(F.broadcast(bridge), same_keys(local, bridge, [*keys, RANGE]))
+    joined = local.join(bridge, same_keys(local, bridge, [*keys, RANGE]))
     columns = [local[name] for name in frame.columns]
     if wanted.rank:
         columns.append((local[RANK] + bridge["_offset"]).alias(wanted.rank))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.moments import minutes_after
 from palimpsest.functions.scales import family_of, saturation_of
+from palimpsest.operators.ordered import summarise_keys
 from palimpsest.operators.quantiles import approximate, exact_quantiles_of
+from palimpsest.operators.skew import ROWS_PER_TASK, same_keys
 
 MOVEMENT_THRESHOLD = 0.05
 SATURATION_MARGIN = 1.0
@@ -35,25 +37,23 @@ def pairs_by_join(ranked: DataFrame, event_columns: Sequence[str] = EVENT_COLUMN
     return left.join(right, "event_id")
 
 
-def pairs_by_aggregate(versions: DataFrame, order: Sequence[str],
-                       event_columns: Sequence[str] = EVENT_COLUMNS,
-                       first: Sequence[str] = FIRST_COLUMNS,
-                       final: Sequence[str] = FINAL_COLUMNS) -> DataFrame:
-    """The same pairs from unranked versions: one shuffle, combined on the map side, and no
-    window, so an event with very many versions costs one row per task."""
+def pairs_by_key(versions: DataFrame, order: Sequence[str],
+                 event_columns: Sequence[str] = EVENT_COLUMNS,
+                 first: Sequence[str] = FIRST_COLUMNS,
+                 final: Sequence[str] = FINAL_COLUMNS, keys_of: DataFrame | None = None,
+                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The same pairs from unranked versions, in one shuffle. ``keys_of`` may name a frame that
+    is cheaper to search for hot keys (see ``order_rows``)."""
     if "minutes_since_quake" not in versions.columns:
         versions = versions.withColumn("minutes_since_quake", minutes_after(
             F.col("published_epoch_ms"), F.col("event_time")))
-    position = F.struct(*order)
-    ends = versions.groupBy("event_id").agg(
-        F.min_by(F.struct(*dict.fromkeys((*event_columns, *first))), position).alias("a"),
-        F.max_by(F.struct(*final), position).alias("z"),
-        F.count(F.lit(1)).alias("version_count"))
+    ends = summarise_keys(versions, ["event_id"], order, list(dict.fromkeys((*event_columns, *first))),
+                          final, {"version_count": F.count(F.lit(1))}, keys_of, rows_per_task)
     return ends.select(
-        "event_id", *[F.col(f"a.{name}").alias(name) for name in event_columns],
+        "event_id", *[F.col(f"_first.{name}").alias(name) for name in event_columns],
         "version_count",
-        *[F.col(f"a.{name}").alias(f"first_{name}") for name in first],
-        *[F.col(f"z.{name}").alias(f"final_{name}") for name in final])
+        *[F.col(f"_first.{name}").alias(f"first_{name}") for name in first],
+        *[F.col(f"_last.{name}").alias(f"final_{name}") for name in final])
 
 
 def direction_of(shift: Column, threshold: float = MOVEMENT_THRESHOLD) -> Column:
@@ -81,17 +81,15 @@ def revision_columns(pairs: DataFrame) -> DataFrame:
                                         - column("first_minutes_since_quake"), 1)})
 
 
-def revision_history(timeline: DataFrame) -> DataFrame:
-    """Keys with several versions: first, last, extent. No frame over a whole key is kept:
-    the ends come from ``min_by`` and ``max_by``, combined on the map side."""
-    position = F.col("version")
-    ends = timeline.groupBy("event_key").agg(
-        F.count(F.lit(1)).alias("versions"),
-        F.min_by(F.struct("magnitude", "review_status"), position).alias("a"),
-        F.max_by(F.struct("magnitude", "review_status", "place", "event_time", "magnitude_type",
-                          "magnitude_family", "station_count", "azimuthal_gap", "residual_rms"),
-                 position).alias("z"),
-        F.min("valid_from").alias("first_seen"), F.max("valid_from").alias("last_seen"))
+def revision_history(timeline: DataFrame, keys_of: DataFrame | None = None) -> DataFrame:
+    """Keys with several versions: first, last, extent."""
+    ends = summarise_keys(
+        timeline, ["event_key"], ["version"], ["magnitude", "review_status"],
+        ["magnitude", "review_status", "place", "event_time", "magnitude_type",
+         "magnitude_family", "station_count", "azimuthal_gap", "residual_rms"],
+        {"versions": F.count(F.lit(1)), "first_seen": F.min("valid_from"),
+         "last_seen": F.max("valid_from")}, keys_of)
+    ends = ends.withColumnsRenamed({"_first": "a", "_last": "z"})
     shift = F.round(F.col("z.magnitude") - F.col("a.magnitude"), 2)
     return ends.filter("versions > 1").select(
         "event_key", "z.place", "z.event_time", "versions",
@@ -125,8 +123,9 @@ def _with_median(frame: DataFrame, groups: Sequence[str], columns: Sequence[Colu
     rounded = marks.select(*groups, *[F.round(name, digits).alias(name)
                                       for name, (_, digits) in medians.items()])
     if groups:
-        # Report sized: one row per group on both sides.
-        return result.join(rounded, list(groups), "left")
+        # Report sized: one row per group on both sides; a null group is a group.
+        return result.join(rounded, same_keys(result, rounded, groups), "left").select(
+            *[result[name] for name in result.columns], *[rounded[name] for name in medians])
     found = rounded.first()
     return result.withColumns({name: F.lit(found[name]).cast("double") for name in medians})
 
@@ -169,17 +168,21 @@ def overview(dataset: DataFrame, versions: DataFrame, identity: DataFrame | None
         {"ecart_median": ("shift_abs", 2),
          "delai_premiere_publication": ("first_minutes_since_quake", 1),
          "delai_stabilisation": ("review_delay_minutes", 1)}, exact)
-    followed = (versions.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n"))
-                .agg(F.sum("_n").alias("versions_totales"),
-                     F.count(F.lit(1)).alias("seismes_suivis")).first())
-    totals = totals.withColumns({name: F.lit(followed[name]).cast("long")
-                                 for name in ("versions_totales", "seismes_suivis")})
+    rows = [totals, versions.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.sum("_n").alias("versions_totales"), F.count(F.lit(1)).alias("seismes_suivis"))]
     if identity is not None:
-        known = identity.agg(F.count(F.lit(1)).alias("catalogue"),
-                             F.count_if("identity_changed").alias("identite_changee")).first()
-        totals = totals.withColumns({name: F.lit(known[name]).cast("long")
-                                     for name in ("catalogue", "identite_changee")})
-    return totals
+        rows.append(identity.agg(F.count(F.lit(1)).alias("catalogue"),
+                                 F.count_if("identity_changed").alias("identite_changee")))
+    return one_row(rows)
+
+
+def one_row(rows: Sequence[DataFrame]) -> DataFrame:
+    """Frames of one row each, side by side."""
+    names = [name for frame in rows for name in frame.columns]
+    stacked = rows[0]
+    for frame in rows[1:]:
+        stacked = stacked.unionByName(frame, allowMissingColumns=True)
+    return stacked.agg(*[F.max(name).alias(name) for name in names])
 
 
 def top_shifts(dataset: DataFrame, top: int = 160) -> DataFrame:

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from palimpsest.operators.normalise import (active_versions, explode_versions,
                                             flatten_features, union_sources)
 from palimpsest.operators.timeline import first_copies, rank_versions, version_timeline
-from palimpsest.sources.files import read_documents, read_envelopes, read_versions
+from palimpsest.sources.files import read_documents, read_envelopes
+from palimpsest.sources.ingest import BatchLanding, EmptyCheck
+from palimpsest.sources.schemas import VERSIONS
 from palimpsest.sources.snapshots import SnapshotTable
 
 
@@ -26,7 +29,13 @@ def store_events(timeline: DataFrame, table: SnapshotTable) -> int:
     return table.merge(timeline, ["event_key", "fingerprint"])
 
 
-def version_history(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Ranked active versions of every event in version documents. The property map is
-    decoded before the shuffle, once."""
-    return rank_versions(active_versions(explode_versions(read_versions(spark, paths))))
+def version_history(landing: BatchLanding) -> DataFrame:
+    """Ranked active versions of every event in the version documents of marked batches; raises
+    when no batch is marked. Hot keys are looked for among the identifiers of the documents, so
+    the property maps are decoded once, before the shuffle."""
+    lines = landing.landed()
+    if landing.manifest().isEmpty():
+        raise EmptyCheck(f"no batch is marked under {landing.root}")
+    documents = lines.select(F.from_json("value", VERSIONS).alias("d")).select("d.*")
+    keys = lines.select(F.get_json_object("value", "$.event_id").alias("event_id"))
+    return rank_versions(active_versions(explode_versions(documents)), keys_of=keys)

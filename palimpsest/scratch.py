@@ -2,33 +2,49 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+SETTING = "spark.checkpoint.dir"
+# Where the tables of the scopes that are open now go, the innermost last.
+_open: list[str] = []
+
 
 class NoSharedFolder(RuntimeError):
     pass
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    A machine-local folder is taken only by a local session in which the setting is absent.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise NoSharedFolder("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="palimpsest-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder that the session names in ``spark.checkpoint.dir``. Nothing is guessed: a folder
+    that only one machine sees would lose tables with it."""
+    configured = spark.conf.get(SETTING, None)
+    if not configured:
+        raise NoSharedFolder(f"set {SETTING} to a folder that all executors can reach")
+    return configured.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/palimpsest/{label}-{uuid.uuid4().hex}"
+    scope = _open[-1] if _open else f"{shared_root(spark)}/palimpsest"
+    return f"{scope}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[str]:
+    """Tables made inside are removed at the end, so results must be written or collected by then.
+
+    Without a scope, tables stay until the cluster expires the folder's content.
+    """
+    folder = new_folder(spark, "scope")
+    _open.append(folder)
+    try:
+        yield folder
+    finally:
+        _open.remove(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(frame: DataFrame, label: str) -> DataFrame:
@@ -37,3 +53,11 @@ def materialise(frame: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def all_files_there(frame: DataFrame) -> bool:
+    """Whether the files of a table that was read back still exist."""
+    spark = frame.sparkSession
+    paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name) for name in frame.inputFiles()]
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    return all(path.getFileSystem(settings).exists(path) for path in paths)

@@ -18,6 +18,10 @@ MANIFEST_SCHEMA = ("version bigint, commit_time timestamp, operation string, lig
                    "inserees bigint, mises_a_jour bigint")
 
 
+class RepeatedKey(ValueError):
+    pass
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str,
                  partition_by: Sequence[str] = ()) -> None:
@@ -51,7 +55,11 @@ class SnapshotTable:
         return self._commit(frame, "WRITE")
 
     def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
-        """Rows with a known key replace it, the others are added; ``source`` holds a key once."""
+        """Rows with a known key replace it, the others are added. A source that holds a key
+        more than once is refused: which of its rows should win is not known."""
+        twice = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+        if found := twice.limit(1).collect():
+            raise RepeatedKey(f"{list(keys)} = {list(found[0])[:-1]} is there {found[0]['_n']} times")
         if self.current_version() is None:
             return self.overwrite(source)
         kept = self.read().join(source, list(keys), "left_anti")

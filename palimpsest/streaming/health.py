@@ -10,9 +10,10 @@ STALL_TOLERANCE_SECONDS = 300
 
 
 class StallListener(StreamingQueryListener):
-    """Remembers when each query last finished a new batch.
+    """Remembers when each query last finished a new batch, or said that there was nothing to do.
 
-    A repeated report of the same batch is no progress.
+    A repeated report of the same batch is no progress. A stream without messages reports that it
+    is idle and is not stalled.
     """
 
     def __init__(self, tolerance: float = STALL_TOLERANCE_SECONDS, clock=time.time) -> None:
@@ -26,7 +27,9 @@ class StallListener(StreamingQueryListener):
         self.record(str(event.progress.runId), event.progress.batchId)
 
     def onQueryIdle(self, event) -> None:
-        pass
+        run = str(event.runId)
+        batch, _ = self.seen.get(run, (-1, 0.0))
+        self.seen[run] = (batch, self.clock())
 
     def onQueryTerminated(self, event) -> None:
         self.seen.pop(str(event.runId), None)

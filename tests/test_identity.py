@@ -44,8 +44,14 @@ def test_random_graphs_against_union_find(spark, limit):
     rng = random.Random(limit)
     data = [(f"r{at:03}", [f"a{rng.randrange(150)}" for _ in range(rng.randrange(3))] or None)
             for at in range(200)]
-    data = [(i, a) for i, a in data if a is not None] + [("lonely", [])]
-    assert resolved(spark, data, rows_per_task=limit) == brute_force(data)
+    data += [("lonely", []), ("holes", [None, "a3"])]
+    assert resolved(spark, data, rows_per_task=limit) == brute_force(
+        [(i, [x for x in a or [] if x]) for i, a in data])
+
+
+def test_a_record_without_identifiers_has_no_key(spark):
+    frame = spark.createDataFrame([(None, None), (None, [None]), (None, ["b"])], "i string, a array<string>")
+    assert [r.resolved_key for r in resolve_identities(frame, "i", "a").collect()] == [None, None, "b"]
 
 
 def test_growing_alias_set_keeps_one_key(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.learning import forest, models, scores
 from palimpsest.plans import training
-from palimpsest.learning.features import (CATEGORICAL, NUMERIC, FeatureSet, LeakageDetected,
+from palimpsest.learning.features import (CATEGORICAL, NUMERIC, FeatureSet, NotKnownYet,
                                           add_label, missing_indicators, split_by_time)
 
 SMALL = {"maxIter": 4, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8}
@@ -30,7 +30,7 @@ def dataset(spark):
 
 
 def test_leakage_is_refused():
-    with pytest.raises(LeakageDetected):
+    with pytest.raises(NotKnownYet):
         FeatureSet(numeric=("first_magnitude", "final_magnitude"))
     reduced = FeatureSet().without(["first_latitude", "first_family"])
     assert "first_latitude" not in reduced.numeric and "first_family" not in reduced.categorical

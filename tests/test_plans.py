@@ -1,9 +1,12 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from palimpsest.plans.bundle import build_bundle, write_bundle
 from palimpsest.plans.gold import event_tables, revision_tables, write_tables
+from palimpsest.sources.ingest import BatchLanding, EmptyCheck
 from palimpsest.plans.silver import events_timeline, store_events, version_history
 from palimpsest.sources.snapshots import SnapshotTable
 
@@ -30,14 +33,24 @@ def test_from_files_to_finished_tables(spark, tmp_path):
     stored = table.read()
     assert stored.count() == 3 and stored.filter("is_current").count() == 2
 
-    (tmp_path / "versions.jsonl").write_text(json.dumps({
+    landing = BatchLanding(spark, str(tmp_path / "versions"), "batch")
+    with pytest.raises(EmptyCheck):
+        version_history(landing)
+    document = json.dumps({
         "event_id": "us1", "event_time": 1_700_000_000_000, "cohort": "traced", "place": "p",
         "products": {"origin": [
             {"source": "us", "code": "c", "status": "UPDATE", "updateTime": 1_700_000_060_000,
              "properties": {"magnitude": "4.0", "magnitude-type": "mb"}},
             {"source": "us", "code": "c", "status": "UPDATE", "updateTime": 1_700_000_180_000,
-             "properties": {"magnitude": "4.6", "magnitude-type": "mww"}}]}}))
-    ranked = version_history(spark, str(tmp_path / "versions.jsonl"))
+             "properties": {"magnitude": "4.6", "magnitude-type": "mww"}}]}})
+    unmarked = document.replace("us1", "us9")
+    spark.createDataFrame([("1", unmarked)], "batch string, value string").write.partitionBy("batch").text(
+        str(tmp_path / "versions/data"))
+    landing.ingest(spark.createDataFrame([("0", document)], "batch string, value string"))
+    ranked = version_history(landing)
+    assert {r.event_id for r in ranked.collect()} == {"us1"}
+    plan = version_history(landing)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1
     tables = {**event_tables(stored), **revision_tables(ranked, stored)}
     paths = write_tables(tables, str(tmp_path / "gold"))
     assert len(paths) == 8

@@ -10,8 +10,6 @@ from check_queries import TABLES, rows_of
 
 SLOW = ("feature_vectors", "regress_shift", "classify_shift", "model_report", "importances",
         "ablation", "forest_table", "scoring_parity", "score_live")
-# No month of the smallest tables reaches the limit of a batch.
-LARGER = ("truncated_batches", "pending_months")
 
 
 @functools.lru_cache(maxsize=None)
@@ -28,7 +26,7 @@ def test_names_match():
 
 @pytest.mark.parametrize("name", [name for name in queries() if name not in SLOW])
 def test_query(spark, sf, name):
-    tables = sf.replace("0.001", "0.01") if name in LARGER else sf
+    tables = sf
     frame = queries()[name](spark, tables)
     got = rows_of(frame.columns, frame.collect())
     assert got

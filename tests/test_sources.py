@@ -1,13 +1,15 @@
+from pathlib import Path
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from palimpsest.operators.snapshot_diff import compare_snapshots, diff_summary, largest_gaps
-from palimpsest.scratch import NoSharedFolder, materialise, shared_root
+from palimpsest.scratch import NoSharedFolder, all_files_there, materialise, scope, shared_root
 from palimpsest.sources import ingest
 from palimpsest.sources.files import (TableMissing, available_tables, layer_footprint,
                                       load_table, read_optional, write_table)
-from palimpsest.sources.snapshots import SnapshotTable, read_as_of
+from palimpsest.sources.snapshots import RepeatedKey, SnapshotTable, read_as_of
 
 LINES = "period string, value string"
 
@@ -35,6 +37,18 @@ def test_cluster_without_shared_folder_is_refused():
         shared_root(Session())
 
 
+def test_a_scope_leaves_its_folder_empty(spark):
+    with scope(spark) as folder:
+        frame = materialise(spark.range(5), "t")
+        assert all_files_there(frame) and frame.inputFiles()[0].split(":", 1)[1].lstrip("/").startswith(
+            folder.split(":", 1)[-1].lstrip("/"))
+        with scope(spark) as inner:
+            materialise(spark.range(2), "u")
+        assert not Path(inner).exists() and frame.count() == 5
+    assert not Path(folder).exists()
+    assert not all_files_there(frame)
+
+
 def test_replay_writes_nothing_twice(spark, tmp_path):
     landing = ingest.BatchLanding(spark, str(tmp_path / "lake"), limit=100)
     lines = lines_of(spark, ["2025-01", "2025-02", "2025-03"])
@@ -59,6 +73,51 @@ def test_interrupted_write_is_invisible_and_replaced(spark, tmp_path):
     assert rows(landing.landed().select("period", "value")) == rows(lines)
 
 
+def outcomes(frame):
+    return sorted((r.period, r.outcome) for r in frame.collect())
+
+
+def test_every_batch_has_an_outcome(spark, tmp_path):
+    lines = lines_of(spark, ["2025-01"], 9).unionByName(lines_of(spark, ["2025-02", "2025-03"], 4))
+    landing = ingest.BatchLanding(spark, str(tmp_path / "lake"), limit=5)
+    first = landing.ingest(lines)
+    assert outcomes(first) == [("2025-01", "rejected"), ("2025-02", "landed"), ("2025-03", "landed")]
+    with pytest.raises(ingest.BatchesRefused, match="2025-01: rejected .9 events"):
+        ingest.require_landed(first)
+    landing = ingest.BatchLanding(spark, landing.root)
+    again = ingest.require_landed(landing.ingest(lines))
+    assert outcomes(again) == [("2025-01", "landed"), ("2025-02", "already marked"), ("2025-03", "already marked")]
+    assert landing.landed().count() == 17 and landing.manifest().count() == 3
+
+
+def test_what_was_written_wrong_is_not_marked(spark, tmp_path, monkeypatch):
+    landing = ingest.BatchLanding(spark, str(tmp_path / "lake"))
+    real = landing.written
+    monkeypatch.setattr(landing, "written", lambda names: real(names).withColumn(
+        "digest", F.when(F.col("period") == "2025-01", "0").otherwise(F.col("digest"))))
+    assert outcomes(landing.ingest(lines_of(spark, ["2025-01", "2025-02"]))) == [
+        ("2025-01", "mismatch"), ("2025-02", "landed")]
+    assert [r.period for r in landing.manifest().collect()] == ["2025-02"]
+
+
+def test_force_lands_a_marked_batch_again(spark, tmp_path):
+    landing = ingest.BatchLanding(spark, str(tmp_path / "lake"))
+    landing.ingest(lines_of(spark, ["2025-01", "2025-02"]))
+    longer = lines_of(spark, ["2025-01"], 8)
+    assert outcomes(landing.ingest(longer)) == [("2025-01", "already marked")]
+    assert outcomes(landing.ingest(longer, force=True)) == [("2025-01", "landed")]
+    assert landing.landed().count() == 13
+    assert {r.period: r.events for r in landing.manifest().collect()} == {"2025-01": 8, "2025-02": 5}
+
+
+def test_the_check_reads_only_what_was_written(spark, tmp_path):
+    landing = ingest.BatchLanding(spark, str(tmp_path / "lake"))
+    landing.ingest(lines_of(spark, ["2025-01", "2025-02", "2025-03"]))
+    plan = landing.written(["2025-02"])._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "2025-02" in scan.split("PartitionFilters")[1]
+
+
 def test_cut_batches_stay_pending(spark, tmp_path):
     landing = ingest.BatchLanding(spark, str(tmp_path / "lake"), limit=5)
     lines = lines_of(spark, ["2025-01"], 5).unionByName(lines_of(spark, ["2025-02"], 4))
@@ -88,7 +147,8 @@ def test_digest_is_free_of_order(spark):
 def test_cohorts_and_batches(spark):
     frame = spark.createDataFrame(
         [(f"t{at}", f",t{at},usauto{at},") for at in range(7)]
-        + [(f"c{at:03}", f",c{at:03},") for at in range(50)] + [(None, ",usauto9,")],
+        + [(f"c{at:03}", f",c{at:03},") for at in range(50)] + [(None, ",usauto9,")]
+        + [(f"t{at}", f",t{at},") for at in range(7)],  # also without the automatic alias
         "id string, ids string")
     chosen = ingest.select_cohorts(frame, "id", "ids", control=20)
     again = ingest.select_cohorts(frame.repartition(7), "id", "ids", control=20)
@@ -121,6 +181,17 @@ def test_snapshots(spark, tmp_path):
         table.as_of(7)
 
 
+def test_a_source_with_a_key_twice_is_refused(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    twice = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    with pytest.raises(RepeatedKey):
+        table.merge(twice, ["k"])
+    table.merge(twice.limit(1), ["k"])
+    with pytest.raises(RepeatedKey):
+        table.merge(twice, ["k"])
+    assert table.read().count() == 1 and table.history().count() == 1
+
+
 def test_interrupted_snapshot_is_not_seen(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"))
     table.overwrite(spark.range(3))

@@ -1,3 +1,4 @@
+import time
 import json
 from datetime import datetime, timedelta
 
@@ -121,3 +122,30 @@ def test_a_repeated_report_of_one_batch_is_a_stall():
     assert not listener.healthy("q")
     listener.record("q", 2)
     assert listener.healthy("q")
+
+
+def test_an_idle_stream_is_healthy_and_a_running_one_is_heard(spark, tmp_path):
+    now = [0.0]
+    listener = StallListener(tolerance=300, clock=lambda: now[0])
+    idle = type("Idle", (), {"runId": "q"})
+    listener.record("q", 1)
+    now[0] = 400.0
+    assert not listener.healthy("q")
+    listener.onQueryIdle(idle)
+    assert listener.healthy("q")
+    spark.streams.addListener(listener)
+    try:
+        spark.range(3).write.parquet(str(tmp_path / "in"))
+        query = (spark.readStream.schema("id long").parquet(str(tmp_path / "in")).writeStream
+                 .format("memory").queryName("heard").trigger(availableNow=True).start())
+        run = str(query.runId)
+        heard = []
+        listener.record = lambda name, batch: heard.append((name, batch))
+        query.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        deadline = time.time() + 20
+        while (run, 0) not in heard and time.time() < deadline:
+            time.sleep(0.2)
+        assert (run, 0) in heard
+    finally:
+        spark.streams.removeListener(listener)

@@ -3,7 +3,7 @@ from datetime import datetime
 from conftest import rows
 from pyspark.sql import functions as F
 
-from palimpsest.operators.pairing import (pairs_by_aggregate, pairs_by_join, revision_columns,
+from palimpsest.operators.pairing import (cohort_report, pairs_by_key, pairs_by_join, revision_columns,
                                           revision_history)
 from palimpsest.operators.timeline import (first_copies, moving_share, rank_versions,
                                            revised_events, version_timeline,
@@ -98,7 +98,7 @@ def test_join_and_aggregate_give_the_same_pairs(spark):
     sides = dict(first=("magnitude", "magnitude_type", "station_count", "minutes_since_quake"),
                  final=("magnitude", "magnitude_type", "station_count", "minutes_since_quake"))
     joined = pairs_by_join(rank_versions(versions(spark)), **sides)
-    grouped = pairs_by_aggregate(versions(spark), ORDER, **sides)
+    grouped = pairs_by_key(versions(spark), ORDER, **sides)
     assert rows(joined) == rows(grouped.select(joined.columns))
     revised = {row.event_id: row for row in revision_columns(grouped).collect()}
     assert revised["one"].direction == "stable" and revised["one"]["shift"] == 0.0
@@ -108,10 +108,17 @@ def test_join_and_aggregate_give_the_same_pairs(spark):
     assert revised["two"].review_delay_minutes == 1.0
 
 
-def test_pairs_by_aggregate_take_one_shuffle(spark):
-    plan = pairs_by_aggregate(versions(spark), ORDER, first=("magnitude",), final=("magnitude",))
+def test_pairs_by_key_take_one_shuffle_and_no_sort_aggregate(spark):
+    plan = pairs_by_key(versions(spark), ORDER, first=("magnitude",), final=("magnitude",))
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange") == 1 and "Window" not in text
+    assert text.count("Exchange") == 1 and "SortAggregate" not in text and text.count("Sort ") == 1
+
+
+def test_pairs_of_hot_keys_are_the_same(spark):
+    sides = dict(first=("magnitude", "magnitude_type"), final=("magnitude", "station_count"))
+    cold = pairs_by_key(versions(spark), ORDER, **sides)
+    hot = pairs_by_key(versions(spark), ORDER, **sides, rows_per_task=1)
+    assert rows(cold) == rows(hot)
 
 
 def test_history_keeps_null_ends(spark):
@@ -126,3 +133,12 @@ def test_history_keeps_null_ends(spark):
     row, = revision_history(timeline).collect()
     assert (row.event_key, row.versions, row.first_magnitude, row.final_magnitude,
             row.magnitude_shift, row.minutes_to_final) == ("a", 2, None, 4.4, None, 120.0)
+
+
+def test_a_null_cohort_has_its_median(spark):
+    rows_ = [("a", 1.0), ("a", 2.0), ("a", 3.0), (None, 5.0), (None, 6.0), (None, 7.0)]
+    frame = spark.createDataFrame([(c, s, abs(s), True) for c, s in rows_],
+                                  "cohort string, shift double, shift_abs double, moved boolean")
+    for exact in (True, False):
+        got = {r.cohort: (r.seismes, r.ecart_abs_median) for r in cohort_report(frame, exact).collect()}
+        assert got == {"a": (3, 2.0), None: (3, 6.0)}
