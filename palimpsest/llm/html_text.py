@@ -4,8 +4,9 @@ Markup is stripped: each block element is a line, inline elements vanish, and wh
 names as no article (menus, footers, forms, scripts and the like, by element, role, class or id)
 goes and leaves a gap. Over the lines, text lengths are summed in sliding windows of ``BLOCK``
 lines; link text does not count. The text surges where a window's sum reaches the threshold, and
-dives where a window has no text. What stands between is the core. A core inside article or main
-elements takes in all lines of them, so short first and last paragraphs stay.
+dives where a window has no text. What stands between is the core. Where the page has article
+elements, or else main elements, or else containers named as content, surges are sought in these,
+and a core takes in all lines of its element, so short first and last paragraphs stay.
 
 Defined cases. A null or empty page has the empty text. The threshold is ``SURGE`` characters, or
 the largest window of the page if that is less, so a short article is found too. An element that
@@ -37,7 +38,7 @@ INLINE = frozenset(
 NO_ARTICLE = frozenset(
     "script style textarea title noscript template iframe xmp noembed noframes head nav footer aside form button "
     "select option menu dialog object svg canvas audio video map datalist".split())
-HOLDERS = frozenset(("article", "main"))
+HOLDERS = ("article", "main")
 NO_ARTICLE_ROLES = frozenset(
     "navigation banner contentinfo complementary search menu menubar dialog alert alertdialog form".split())
 # Words in a class or id that name something else than the article.
@@ -47,6 +48,9 @@ NO_ARTICLE_NAMES = frozenset(
     "footer foot header masthead topbar toolbar notice notices cookie cookies consent gdpr alert popup modal overlay "
     "newsletter subscribe subscription signup login share sharing social related recommended recommendations "
     "comment comments commentlist notification notifications announcement disclaimer disqus reply replies respond discussion form search copyright".split())
+# Words in a class or id that name a container of the article.
+CONTENT_NAMES = frozenset("article content post entry main story".split())
+CONTAINERS = frozenset("div section td".split())
 # Names like with-sidebar tell about the layout, not what the element is.
 ABOUT = frozenset("with has no without".split())
 
@@ -81,20 +85,40 @@ def _aside(name: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, int, int]]:
-    """(text, characters of link text, number of the article or main element or 0) of each line.
-    Gaps are empty lines."""
-    lines: list[tuple[str, int, int]] = []
-    open_: list[tuple[str, bool]] = []  # elements around, and whether each is no article
-    hidden, holder, holders, links, text, linked = 0, [], 0, 0, [], 0
+def _holder(name: str, attributes: str) -> int:
+    """What an element holds, if it is not aside: 0 an article, 1 the main part, 2 what is named
+    content, 3 nothing of these."""
+    if name in HOLDERS:
+        return HOLDERS.index(name)
+    if name not in CONTAINERS or not attributes:
+        return 3
+    named = {key.lower(): a or b or c for key, a, b, c in _ATTRIBUTE.findall(attributes)}
+    if named.get("role", "").strip().lower() == "main":
+        return 1
+    words = [word.lower() for token in (named.get("class", ""), named.get("id", ""), named.get("itemprop", ""))
+             for word in _WORD.findall(token)]
+    return 2 if CONTENT_NAMES.intersection(words) else 3
+
+
+NOWHERE = (0, 0, 0)
+GAP = ("", 0, NOWHERE)
+
+
+def lines_of(page: str) -> list[tuple[str, int, tuple[int, int, int]]]:
+    """(text, characters of link text, numbers of the article, main part and content around it, or
+    0) of each line. Gaps are empty lines. Of nested elements of one kind the outer one counts."""
+    lines: list[tuple[str, int, tuple[int, int, int]]] = []
+    open_: list[tuple[str, bool, int]] = []  # elements around, whether each is no article, what it holds
+    inside: tuple[list[int], ...] = ([], [], [], [])
+    hidden, holders, links, text, linked = 0, 0, 0, [], 0
     at, end, raw = 0, len(page), None
 
     def flush(gap: int = 0) -> None:
         nonlocal text, linked
         line = " ".join("".join(text).split())
         if line:
-            lines.append((line, min(linked, len(line)), holder[-1] if holder else 0))
-        lines.extend([("", 0, 0)] * gap)
+            lines.append((line, min(linked, len(line)), tuple(kind[0] if kind else 0 for kind in inside[:3])))
+        lines.extend([GAP] * gap)
         text, linked = [], 0
 
     while at < end:
@@ -121,17 +145,17 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
                 if name == "p" and not hidden:
                     flush()
                 continue
-            if name in INLINE and any(other not in INLINE for other, _ in open_[depth + 1:]):
+            if name in INLINE and any(other not in INLINE for other, _, _ in open_[depth + 1:]):
                 continue  # an inline end does not close blocks opened since
             if name not in INLINE and not hidden:
                 flush()
-            for other, gone in open_[depth:]:
+            for other, gone, kind in open_[depth:]:
                 if gone:
                     hidden -= 1
                     if not hidden:
-                        lines.extend([("", 0, 0)] * BLOCK)
-                if other in HOLDERS and not gone and holder:
-                    holder.pop()
+                        lines.extend([GAP] * BLOCK)
+                elif kind < 3:
+                    inside[kind].pop()
                 links -= other == "a"
             del open_[depth:]
             continue
@@ -141,25 +165,27 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
             _close_open(open_, name)
-        gone = not hidden and _aside(name, tag.group(3), bool(holder)) or bool(hidden) and name in NO_ARTICLE
+        gone = (not hidden and _aside(name, tag.group(3), bool(inside[0] or inside[1]))
+                or bool(hidden) and name in NO_ARTICLE)
         if gone:
             if not hidden:
                 flush(BLOCK)
             hidden += 1
-        if name in HOLDERS and not gone:
+        kind = 3 if gone else _holder(name, tag.group(3))
+        if kind < 3:
             holders += 1
-            holder.append(holder[0] if holder else holders)
+            inside[kind].append(holders)
         links += name == "a"
-        open_.append((name, gone))
+        open_.append((name, gone, kind))
         if name in RAW:
             raw = name
     flush()
     return lines
 
 
-def _close_open(open_: list[tuple[str, bool]], name: str) -> None:
-    """A paragraph, item or cell ends the one before it, unless that hides what it holds."""
-    if open_ and open_[-1] == (name, False):
+def _close_open(open_: list[tuple[str, bool, int]], name: str) -> None:
+    """A paragraph, item or cell ends the one before it, unless that hides or holds something."""
+    if open_ and open_[-1] == (name, False, 3):
         open_.pop()
 
 
@@ -187,16 +213,17 @@ def main_text(page: str | None) -> str:
     if not any(lengths):  # nothing but links
         lengths = [len(text) for text, _, _ in lines]
     keep = [False] * len(lines)
-    # Text of an article or main element is told from the rest by markup; surges are sought there first.
-    inside = [length if holder else 0 for length, (_, _, holder) in zip(lengths, lines)]
-    taken = set()
-    for low, high in core(inside if any(inside) else lengths):
-        for at in range(low, high):
-            keep[at] = True
-            taken.add(lines[at][2])
-    taken.discard(0)
-    if taken:
-        keep = [holder in taken for _, _, holder in lines]
+    # The most telling kind of element that has text on the page.
+    kind = next((kind for kind in range(3) if any(
+        length for length, (_, _, around) in zip(lengths, lines) if around[kind])), None)
+    if kind is None:
+        for low, high in core(lengths):
+            keep[low:high] = [True] * (high - low)
+    else:
+        taken = {lines[at][2][kind] for low, high in core(
+            [length if around[kind] else 0 for length, (_, _, around) in zip(lengths, lines)])
+            for at in range(low, high)} - {0}
+        keep = [around[kind] in taken for _, _, around in lines]
     return " ".join(text for (text, _, _), kept in zip(lines, keep) if kept and text)
 
 

@@ -21,6 +21,15 @@ def test_only_the_article(around):
     assert main_text(f"<body>{plain}</body>") == f"{LONG.strip()} {LONG.strip()}"
 
 
+def test_the_most_telling_element_counts():
+    side = f"<div>Unmarked side text. {LONG}</div>"
+    for holder in ("<div class='post-content'>{}</div>", "<div role='main'>{}</div>", "<main>{}</main>",
+                   "<td id=storyBody>{}</td>", "<main><article>{}</article>" + side + "</main>",
+                   "<div id=content><div role=main>{}</div>" + side + "</div>"):
+        page = f"<body>{side}{holder.format(f'<h2>T</h2><p>{LONG}</p><p>End.</p>')}{side}</body>"
+        assert main_text(page) == f"T {LONG.strip()} End."
+
+
 def test_defined_cases():
     assert main_text(None) == main_text("") == main_text("<p></p>") == main_text("<script>x") == ""
     assert main_text("no markup, a < b &lt; c &nope; &#233;") == "no markup, a < b < c &nope; é"
