@@ -40,7 +40,7 @@ SMOOTHING = 0.05
 # A language uses a script if it has at least this share of the language's letters.
 SCRIPT_SHARE = 0.01
 # Scores held at once: words times languages.
-HELD = 1 << 23
+HELD = 1 << 22
 
 # First and last code point of the scripts' main ranges.
 SCRIPTS = {
@@ -185,11 +185,11 @@ def word_scores(words: LetterWords, model: Model) -> np.ndarray:
     if not len(words.starts) or not model.names:
         return np.zeros((len(words.starts), len(model.names)))
     begin = np.cumsum(words.letters) - words.letters
-    out = np.add.reduceat(model.scores[words.trigrams], begin, axis=0).astype(np.float64) + model.scores[words.whole]
+    out = np.add.reduceat(model.scores[words.trigrams], begin, axis=0) + model.scores[words.whole]
     able = model.candidates[words.script]
-    none = ~able.any(axis=1)
-    out = np.where(able, out, out.min(axis=1, keepdims=True) - PENALTY)
-    out[none] = 0.0
+    odd = np.flatnonzero(~able.all(axis=1))
+    out[odd] = np.where(able[odd], out[odd], out[odd].min(axis=1, keepdims=True) - np.float32(PENALTY))
+    out[~able.any(axis=1)] = 0.0
     return out
 
 
@@ -204,7 +204,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = PENALTY) -
     active = np.searchsorted(-size, -np.arange(steps), "left")  # texts with more words than the step
     stays = np.zeros(scores.shape, bool)
     came = np.zeros(len(scores), np.int16)
-    value = np.zeros((len(size), scores.shape[1]))
+    value = np.zeros((len(size), scores.shape[1]), np.float64)
     for step in range(steps):
         at = first[:active[step]] + step
         now = value[:active[step]]
@@ -250,17 +250,17 @@ def _labelled(piece: pa.RecordBatch, words: LetterWords, scores: np.ndarray, mod
         ["doc_id", "lang_pred", "score", "spans"])
 
 
-def _label(model, keep_rows: bool = False):
+def _label(model, column: str, keep_rows: bool = False):
     """Labels of each row; or, with ``keep_rows``, the rows themselves in which a language is found."""
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Model = model.value
         width = max(1, len(known.names))
         for batch in batches:
             # Texts advance together, so as many as memory allows: scores are 8 bytes a word and language.
-            for held in slices(batch, "__text", max(1 << 16, 6 * HELD // width)):
+            for held in slices(batch, column, max(1 << 16, 6 * HELD // width)):
                 parts = []
-                for piece in slices(held, "__text", max(1 << 14, (8 << 20) // width)):
-                    words = letter_words(piece.column("__text"))
+                for piece in slices(held, column, max(1 << 14, (3 << 20) // width)):
+                    words = letter_words(piece.column(column))
                     parts.append((words, word_scores(words, known), piece.num_rows))
                 base = np.cumsum([0, *(rows for _, _, rows in parts)])
                 words = LetterWords(*(np.concatenate([getattr(part[0], name) for part in parts]) for name in (
@@ -269,22 +269,21 @@ def _label(model, keep_rows: bool = False):
                     np.zeros(0, np.int64), np.concatenate([part[0].letters for part in parts]), np.zeros(0, np.int64))
                 labels = _labelled(held, words, np.concatenate([part[1] for part in parts]), known)
                 yield labels if not keep_rows else held.filter(
-                    pc.not_equal(labels.column("lang_pred"), UNKNOWN)).drop_columns(["__text"])
+                    pc.not_equal(labels.column("lang_pred"), UNKNOWN))
 
     return label
 
 
 def label_languages(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document row: doc_id, lang_pred, score, spans (characters of the text)."""
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("__text")).mapInArrow(
-        _label(docs.sparkSession.sparkContext.broadcast(model)),
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+        _label(docs.sparkSession.sparkContext.broadcast(model), "text"),
         f"doc_id long, lang_pred string, score double, spans {SPANS}")
 
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents in which a learned language is found, in their own columns."""
-    return docs.withColumn("__text", F.col(text)).mapInArrow(
-        _label(docs.sparkSession.sparkContext.broadcast(model), keep_rows=True), docs.schema)
+    return docs.mapInArrow(_label(docs.sparkSession.sparkContext.broadcast(model), text, keep_rows=True), docs.schema)
 
 
 def training_part(docs: DataFrame, parts: int = 5) -> DataFrame:

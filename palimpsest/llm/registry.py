@@ -20,8 +20,13 @@ ORACLES: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
 
+# Bytes of one Arrow batch: the operators hold a few copies of a batch beside what they compute.
+BATCH_BYTES = 16 << 20
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, as --py-files would."""
+    """Send this package to the Python workers, as --py-files would, and bound their batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if spark.sparkContext.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parent.parent
         archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
