@@ -23,10 +23,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.llm.lookup import Lookup
 from palimpsest.llm.registry import query, table
 from palimpsest.llm.words import _hashes, bytes_of, mix, slices
 
@@ -65,8 +67,12 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
     return Vocabulary(tuple(pieces), tuple(byte_ids), model.vocab_size())
 
 
+def _step_key(node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    return mix(((node << 8) | byte).astype(np.uint64))
+
+
 class Trie:
-    """Pieces by their bytes, as one table of steps."""
+    """Pieces by their bytes, as one table of steps; 0 is the root and no step."""
 
     def __init__(self, vocabulary: Vocabulary, alpha: float) -> None:
         steps: list[dict[int, int]] = [{}]
@@ -81,15 +87,10 @@ class Trie:
                     ids.append(-1)
                 node = following
             ids[node] = number
-        used = sorted({byte for step in steps for byte in step})
-        self.column = np.full(256, len(used), np.int64)  # bytes in no piece lead nowhere
-        self.column[used] = np.arange(len(used))
-        self.width = len(used) + 1
-        self.next = np.zeros((len(steps), self.width), np.int32)
-        for node, step in enumerate(steps):
-            for byte, following in step.items():
-                self.next[node, self.column[byte]] = following
-        self.next = self.next.ravel()
+        self.steps = Lookup(
+            _step_key(np.array([node for node, step in enumerate(steps) for _ in step], np.int64),
+                      np.array([byte for step in steps for byte in step], np.uint8)),
+            np.array([following for step in steps for following in step.values()], np.int32), missing=0)
         self.ids = np.array(ids, np.int32)
         self.weight = np.full(vocabulary.size, alpha * BYTE_WEIGHT)
         numbers = np.array([number for number, _ in vocabulary.pieces])
@@ -109,7 +110,8 @@ class Lattice:
 
     begin: np.ndarray
     end: np.ndarray
-    keys: np.ndarray
+    first: np.ndarray  # of the arcs into each node
+    threshold: np.ndarray
     start: np.ndarray
     piece: np.ndarray
 
@@ -121,13 +123,12 @@ def lattice(data: np.ndarray, offsets: np.ndarray, trie: Trie) -> Lattice:
     stop = np.repeat(offsets[1:], sizes)
     lead = (data & 0xC0) != 0x80
     length = 1 + (data >= 0xC0).astype(np.int64) + (data >= 0xE0) + (data >= 0xF0)
-    column = trie.column[data]
     at = np.flatnonzero(lead)
     node, place = np.zeros(len(at), np.int64), at
     own = np.zeros(len(data), bool)
     starts, ends, pieces = [], [], []
     while len(at):
-        node = trie.next[node * trie.width + column[place]].astype(np.int64)
+        node = trie.steps.get(_step_key(node, data[place])).astype(np.int64)
         alive = node > 0
         at, node, place = at[alive], node[alive], place[alive] + 1
         number = trie.ids[node]
@@ -141,38 +142,55 @@ def lattice(data: np.ndarray, offsets: np.ndarray, trie: Trie) -> Lattice:
     spelt = np.flatnonzero(~own[np.maximum.accumulate(np.where(lead, np.arange(len(data)), 0))])
     starts, ends = np.concatenate([*starts, spelt]), np.concatenate([*ends, spelt + 1])
     pieces = np.concatenate([*pieces, trie.byte_ids[data[spelt]]])
+    # By end; of one end the longest first, which is the likeliest as a rule.
+    longest = int((ends - starts).max(initial=0)) + 1
+    order = np.argsort(ends * longest + (longest - 1 - (ends - starts)))
+    starts, ends, pieces = starts[order], ends[order], pieces[order]
     of = stretch[starts]
-    depth = ends - offsets[of]
-    order = np.lexsort((starts, ends, depth))
-    starts, ends, pieces, of, depth = starts[order], ends[order], pieces[order], of[order], depth[order]
     start_node, end_node = starts + of, ends + of
     first = np.r_[True, end_node[1:] != end_node[:-1]] if len(ends) else np.zeros(0, bool)
-    weight = trie.weight[pieces]
-    total = np.full(len(data) + len(sizes), -np.inf)
-    total[offsets[:-1] + np.arange(len(sizes))] = 0.0
-    chance = np.empty(len(weight))
-    bounds = np.r_[np.flatnonzero(np.r_[True, depth[1:] != depth[:-1]]), len(depth)] if len(depth) else [0]
+    chance = _chances(start_node, end_node, ends - offsets[of], trie.weight[pieces],
+                      offsets[:-1] + np.arange(len(sizes)), len(data) + len(sizes))
+    later = np.flatnonzero(~first)
+    ranked = later
+    while len(ranked):  # running sums, one arc of each node a step
+        here = ranked[first[ranked - 1]]
+        chance[here] += chance[here - 1]
+        first[here] = True
+        ranked = ranked[~first[ranked]]
+    last = np.ones(len(first), bool)
+    last[later - 1] = False
+    threshold = (chance * (1 << BITS)).astype(np.int64)
+    threshold[last] = 1 << BITS
+    shift = np.arange(len(sizes))
+    arcs = np.bincount(end_node, minlength=len(data) + len(sizes))
+    return Lattice(offsets[:-1] + shift, offsets[1:] + shift, np.cumsum(arcs) - arcs, threshold, start_node, pieces)
+
+
+def _chances(start_node: np.ndarray, end_node: np.ndarray, depth: np.ndarray, weight: np.ndarray,
+             roots: np.ndarray, nodes: int) -> np.ndarray:
+    """Forward filtering: for each arc, its share of all ways that end in the same node."""
+    small = depth.astype(np.int16 if depth.max(initial=0) < 1 << 15 else np.int64)
+    order = np.argsort(small, kind="stable")  # arcs of one node stay together
+    begin, end, weight = start_node[order], end_node[order], weight[order]
+    first = np.r_[True, end[1:] != end[:-1]] if len(end) else np.zeros(0, bool)
+    total, share = np.full(nodes, -np.inf), np.empty(len(weight))
+    total[roots] = 0.0
+    bounds = np.searchsorted(small[order], np.arange(1, int(depth.max(initial=0)) + 2))
     for low, high in zip(bounds[:-1], bounds[1:]):
-        value = total[start_node[low:high]] + weight[low:high]
+        if low == high:
+            continue
+        value = total[begin[low:high]] + weight[low:high]
         group = np.flatnonzero(first[low:high])
         top = np.maximum.reduceat(value, group)
         size = np.diff(np.r_[group, high - low])
         value = np.exp(value - np.repeat(top, size))
         whole = np.add.reduceat(value, group)
-        total[end_node[low:high][group]] = top + np.log(whole)
-        chance[low:high] = value / np.repeat(whole, size)
-    order = np.argsort(end_node, kind="stable")
-    start_node, end_node, pieces, chance = start_node[order], end_node[order], pieces[order], chance[order]
-    first = np.r_[True, end_node[1:] != end_node[:-1]] if len(order) else first
-    rank = np.arange(len(order)) - np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
-    for step in range(1, int(rank.max(initial=0)) + 1):
-        here = np.flatnonzero(rank == step)
-        chance[here] += chance[here - 1]
-    threshold = (chance * (1 << BITS)).astype(np.int64)
-    threshold[np.r_[first[1:], True] if len(first) else first] = 1 << BITS
-    shift = np.arange(len(sizes))
-    return Lattice(offsets[:-1] + shift, offsets[1:] + shift, (end_node.astype(np.int64) << BITS) + threshold,
-                   start_node, pieces)
+        total[end[low:high][group]] = top + np.log(whole)
+        share[low:high] = value / np.repeat(whole, size)
+    out = np.empty(len(share))
+    out[order] = share
+    return out
 
 
 def sample(found: Lattice, stretch: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +201,11 @@ def sample(found: Lattice, stretch: np.ndarray, key: np.ndarray) -> tuple[np.nda
     counts = np.zeros(len(stretch), np.int64)
     while len(at):
         draw = (mix(key[at] + np.uint64(step)) >> np.uint64(64 - BITS)).astype(np.int64)
-        arc = np.searchsorted(found.keys, (node[at] << BITS) + draw, "right")
+        arc = found.first[node[at]]
+        over = np.flatnonzero(found.threshold[arc] <= draw)
+        while len(over):  # the last threshold of a node is above every draw
+            arc[over] += 1
+            over = over[found.threshold[arc[over]] <= draw[over]]
         rounds.append((at, found.piece[arc]))
         counts[at] += 1
         node[at] = found.start[arc]
@@ -230,9 +252,11 @@ def encode_texts(texts: pa.Array, keys: np.ndarray, trie: Trie) -> tuple[np.ndar
 
 
 def encode(docs: DataFrame, path: str = MODEL, seed: int = SEED, alpha: float = ALPHA, doc_id: str = "doc_id",
-           text: str = "text") -> DataFrame:
-    """One row per document row: doc_id, text_key (hash of the text), pieces."""
+           text: str = "text", decode_again: bool = False) -> DataFrame:
+    """One row per document row: doc_id, text_key (hash of the text), pieces. With ``decode_again``
+    also lossless: whether the pieces, decoded, are the text."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))
+    names = ["doc_id", "text_key", "pieces", *(["lossless"] if decode_again else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = trie_of(vocabulary.value, alpha)
@@ -243,13 +267,18 @@ def encode(docs: DataFrame, path: str = MODEL, seed: int = SEED, alpha: float =
                 pieces, begin = encode_texts(texts, keys, trie)
                 lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(pieces),
                                                  mask=texts.is_null() if texts.null_count else None)
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("text_key"), lists],
-                                                 ["doc_id", "text_key", "pieces"])
+                columns = [piece.column("doc_id"), piece.column("text_key"), lists]
+                if decode_again:
+                    decoded = decode_pieces(lists, vocabulary.value).cast(texts.type)
+                    same = pc.fill_null(pc.equal(decoded, texts), False)
+                    columns.append(pc.or_(same, pc.and_(pc.is_null(decoded), pc.is_null(texts))))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), _text_key(F.col(text)).alias("text_key"),
         F.xxhash64(F.lit(seed), F.col(doc_id)).alias("__key")).mapInArrow(
-        run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, text_key long, pieces array<int>")
+        run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, text_key long, pieces array<int>"
+        + (", lossless boolean" if decode_again else ""))
 
 
 def _text_key(text: Column) -> Column:
@@ -311,8 +340,5 @@ def decode(frame: DataFrame, pieces: str = "pieces", path: str = MODEL, to: str
 
 @query("op4_sentencepiece")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = F.col("pieces").alias("kept")
-    encoded = encode(table(spark, sf_dir, "documents")).select("*", kept)
-    return decode(encoded).select(
-        "doc_id", F.size("kept").alias("n_pieces"), F.col("kept").alias("pieces"),
-        F.col("text_key").eqNullSafe(_text_key(F.col("decoded"))).alias("lossless"))
+    return encode(table(spark, sf_dir, "documents"), decode_again=True).select(
+        "doc_id", F.size("pieces").alias("n_pieces"), "pieces", "lossless")

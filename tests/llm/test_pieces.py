@@ -81,6 +81,8 @@ def test_rows(make_docs):
     back = decode(encode(frame).withColumn("extra", F.lit("x")))
     assert back.columns == ["doc_id", "text_key", "extra", "decoded"]
     assert sorted(((r.doc_id, r.decoded) for r in back.collect()), key=str) == sorted(docs, key=str)
+    checked = encode(frame, decode_again=True).collect()
+    assert all(r.lossless for r in checked) and {(r.doc_id, r.text_key, tuple(r.pieces or ["null"])) for r in checked} == first
     assert encode(make_docs([])).collect() == [] and decode(encode(make_docs([]))).collect() == []
 
 
