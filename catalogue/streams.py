@@ -28,11 +28,13 @@ def run_slices(frame: DataFrame, time: str, label: str,
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     folder = new_folder(spark, label)
     first, last = frame.agg(F.min(time), F.max(time)).first()
-    step = (last - first) / SLICES
-    for at in range(SLICES):
-        piece = frame.filter(F.col(time) >= F.lit(first + step * at)) if at else frame
-        if at + 1 < SLICES:
-            piece = piece.filter(F.col(time) < F.lit(first + step * (at + 1)))
+    # Rows without a time land first; a table without any time lands at once.
+    cuts = [] if first is None else [first + (last - first) / SLICES * at for at in range(1, SLICES)]
+    for at in range(len(cuts) + 1):
+        piece = frame.filter(F.col(time) >= F.lit(cuts[at - 1])) if at else frame
+        if at < len(cuts):
+            early = F.col(time) < F.lit(cuts[at])
+            piece = piece.filter(early if at else early | F.col(time).isNull())
         piece.write.mode("append").parquet(f"{folder}/in")
         stream = landing.read_stream(spark, "parquet", ADMITTED, frame.schema, f"{folder}/in")
         start(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
