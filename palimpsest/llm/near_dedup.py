@@ -4,8 +4,12 @@ A document's set is its distinct shingles of five words. ``TREES`` orders of the
 sorted, each by a signature of ``DEPTH`` minima. In a sorted order, documents with the longest
 common prefix are neighbours. How deep a prefix must be depends on the region: it is the shallowest
 depth, from ``LEAST_DEPTH`` on, at which at most ``REGION`` documents share it. Where even the
-whole signature is shared by more, sorted neighbours are compared. Candidates are confirmed on the
-full sets, read from the texts again; links make connected components.
+whole signature is shared by more, sorted neighbours are compared. In a region that is denser at
+``LEAST_DEPTH``, every member is also compared with the leaders at the end of its heaviest path.
+Candidates are confirmed on the full sets, read from the texts again; links make connected
+components. What a dense region still holds beside its largest component is compared with the
+documents that are central in most orders: many copies of one text, each changed elsewhere, are
+alike to the text and not to each other.
 
 Copies: within a batch only the first document of equal sets enters the orders, the others are
 linked to it at once, so a group of copies sends one row a batch. Sorted orders are dealt out by
@@ -24,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from palimpsest.llm.components import components
 from palimpsest.llm.registry import LOWERED, query, table
@@ -35,6 +40,8 @@ TREES = 16
 DEPTH = 8
 LEAST_DEPTH = 2
 REGION = 8
+LEADERS = 4
+CENTRAL_DOCS = 32
 SIMILARITY = 75  # per cent
 _SETS = "doc_id long, n_shingles long, lead long, set_a long, set_b long, signature binary"
 
@@ -105,12 +112,13 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([keys, pa.array(sets), pa.array(docs)], ["key", "set_a", "doc_id"])
 
 
-def region_pairs(keys: np.ndarray, fresh: int) -> tuple[np.ndarray, np.ndarray]:
+def region_pairs(keys: np.ndarray, fresh: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions of neighbours in a sorted order. ``keys``: tree and minima as rows of numbers.
-    Only pairs whose later part is at or after ``fresh`` are returned."""
+    Only pairs whose later part is at or after ``fresh`` are returned. Also each row's common prefix
+    with the row before it."""
     size = len(keys)
     if size < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.full(size, -1)
     differ = keys[1:] != keys[:-1]
     # Common prefix of each row with the one before it, in minima; -1: another tree.
     prefix = np.r_[-1, np.where(differ.any(axis=1), differ.argmax(axis=1), keys.shape[1]) - 1]
@@ -126,7 +134,40 @@ def region_pairs(keys: np.ndarray, fresh: int) -> tuple[np.ndarray, np.ndarray]:
         at = at[near & (at + step >= fresh)]
         left.append(at)
         right.append(at + step)
-    return np.concatenate(left), np.concatenate(right)
+    return np.concatenate(left), np.concatenate(right), prefix
+
+
+def leader_pairs(prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """In each region of ``LEAST_DEPTH`` that is too large to be compared whole, its leaders and
+    every member. Leaders are the first rows on the heaviest path down the prefix tree: they have
+    the minima that most members have, so they are close to what the members were copied from.
+    Also whether a row is in such a region, and whether it is at the end of its heaviest path."""
+    begin = np.flatnonzero(prefix < LEAST_DEPTH)
+    end = np.r_[begin[1:], len(prefix)]
+    heads, members = [], []
+    dense, central = np.zeros(len(prefix), bool), np.zeros(len(prefix), bool)
+    for low, high in zip(begin[end - begin > REGION].tolist(), end[end - begin > REGION].tolist()):
+        paths = [(low, high)]
+        for depth in range(LEAST_DEPTH + 1, DEPTH + 1):
+            first, last = paths[-1]
+            cuts = np.r_[first, first + 1 + np.flatnonzero(prefix[first + 1:last] < depth), last]
+            heaviest = int(np.argmax(np.diff(cuts)))
+            paths.append((int(cuts[heaviest]), int(cuts[heaviest + 1])))
+        dense[low:high] = True
+        central[paths[-1][0]:paths[-1][1]] = True
+        chosen: list[int] = []
+        for first, last in reversed(paths):
+            chosen += [at for at in range(first, min(last, first + 2 * LEADERS)) if at not in chosen]
+            if len(chosen) >= LEADERS:
+                break
+        for head in chosen[:LEADERS]:
+            others = np.arange(low, high)
+            others = others[others != head]
+            heads.append(np.full(len(others), head))
+            members.append(others)
+    if not heads:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), dense, central
+    return np.concatenate(heads), np.concatenate(members), dense, central
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,13 +185,29 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         same = np.r_[False, (sets[1:] == sets[:-1]) & (keys[1:] == keys[:-1]).all(axis=1)]
         fresh -= int(same[:fresh].sum())
         keys, sets, docs = keys[~same], sets[~same], docs[~same]
-        left, right = region_pairs(keys, fresh)
+        left, right, prefix = region_pairs(keys, fresh)
+        heads, members, dense, central = leader_pairs(prefix)
+        new = np.maximum(heads, members) >= fresh
+        left, right = np.concatenate([left, heads[new]]), np.concatenate([right, members[new]])
         low, high = np.minimum(docs[left], docs[right]), np.maximum(docs[left], docs[right])
         other = low != high
-        yield pa.RecordBatch.from_arrays([pa.array(low[other]), pa.array(high[other])], ["lo", "hi"])
+        yield _rows(low[other], high[other], PAIR)
+        at = np.flatnonzero(dense & (np.arange(len(keys)) >= fresh))
+        region = mix(mix(keys[at, 0].astype(np.uint64) << np.uint64(32) ^ keys[at, 1].astype(np.uint64))
+                     ^ keys[at, 2].astype(np.uint64)).view(np.int64)
+        yield _rows(docs[at], region, np.where(central[at], CENTRAL, MEMBER))
         held = (keys[-REGION:], sets[-REGION:], docs[-REGION:])
 
 
+# Kinds of rows that a scan of an order gives: lo and hi are two documents, or one and its region.
+PAIR, MEMBER, CENTRAL = 0, 1, 2
+
+
+def _rows(low: np.ndarray, high: np.ndarray, kind: int | np.ndarray) -> pa.RecordBatch:
+    kinds = np.broadcast_to(np.asarray(kind, np.int32), len(low))
+    return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(kinds)], ["lo", "hi", "kind"])
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "text_lo"):
@@ -168,12 +225,16 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([kept.column("lo"), kept.column("hi")], ["lo", "hi"])
 
 
-def near_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
-    """Confirmed links between different sets (lo, hi)."""
+def scan_orders(sets: DataFrame) -> DataFrame:
+    """What the sorted orders show, each row once: candidate pairs, members of dense regions."""
     orders = sets.where("signature is not null").select("doc_id", "set_a", "signature").mapInArrow(
         _orders, "key binary, set_a long, doc_id long")
     sorted_orders = orders.repartitionByRange("key", "set_a", "doc_id").sortWithinPartitions("key", "set_a", "doc_id")
-    pairs = materialise(sorted_orders.mapInArrow(_neighbours, "lo long, hi long").distinct(), "pairs")
+    return sorted_orders.mapInArrow(_neighbours, "lo long, hi long, kind int").groupBy("lo", "hi", "kind").agg(
+        F.count(F.lit(1)).alias("times"))
+
+
+def confirmed_links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     ours = texts.select(F.col("doc_id").alias("lo"), F.col("text").alias("text_lo"))
     theirs = texts.select(F.col("doc_id").alias("hi"), F.col("text").alias("text_hi"))
     return materialise(
@@ -181,6 +242,24 @@ def near_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
             _confirm, "lo long, hi long"), "confirmed")
 
 
+def central_pairs(seen: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs for documents that a dense region holds beside its largest component: each with the
+    ``CENTRAL_DOCS`` most central documents of that component, those that end the heaviest paths
+    of most orders. Linear in the documents of dense regions."""
+    region = seen.where(F.col("kind") != PAIR).join(found, F.col("lo") == F.col("node"), "left").select(
+        F.col("lo").alias("doc"), F.col("hi").alias("region"), "kind",
+        F.coalesce("component", "lo").alias("own"))
+    largest = region.groupBy("region", "own").agg(F.count(F.lit(1)).alias("size")).groupBy("region").agg(
+        F.max_by("own", F.struct("size", -F.col("own"))).alias("whole"))
+    votes = region.where(F.col("kind") == CENTRAL).groupBy("own", "doc").agg(F.count(F.lit(1)).alias("votes"))
+    best = Window.partitionBy("own").orderBy(F.desc("votes"), "doc")
+    heads = votes.withColumn("place", F.row_number().over(best)).where(F.col("place") <= CENTRAL_DOCS).select(
+        F.col("own").alias("whole"), F.col("doc").alias("head"))
+    strays = region.join(largest, "region").where("own <> whole").select("doc", "whole").distinct()
+    return strays.join(heads, "whole").select(
+        F.least("doc", "head").alias("lo"), F.greatest("doc", "head").alias("hi")).where("lo <> hi").distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id, kept."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -191,7 +270,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     firsts = leads.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("lo"))
     equal = leads.join(firsts, ["set_a", "set_b", "n_shingles"]).where("lo <> doc_id").select(
         "lo", F.col("doc_id").alias("hi"))
-    found = components(near_links(known, sets).unionAll(copies).unionAll(equal))
+    seen = materialise(scan_orders(sets), "orders")
+    links = confirmed_links(known, seen.where(F.col("kind") == PAIR).select("lo", "hi"))
+    found = components(links.unionAll(copies).unionAll(equal))
+    strays = materialise(central_pairs(seen, found), "strays")
+    if not strays.isEmpty():
+        more = confirmed_links(known, strays)
+        found = components(found.where("node <> component").select(
+            F.col("component").alias("lo"), F.col("node").alias("hi")).unionAll(more))
     return sets.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))

@@ -56,6 +56,14 @@ def test_equals_brute_force(make_docs):
     assert sorted(map(tuple, near_duplicates(make_docs(docs)).collect()), key=str) == brute(docs)
 
 
+def test_many_copies_that_are_alike_only_to_their_source(make_docs):
+    base = words(77, 60)
+    docs = [(0, " ".join(base))] + [(at, near_copy(base, 1 + at % 2, at)) for at in range(1, 120)]
+    docs += [(500 + at, " ".join(words(at, 40))) for at in range(40)]
+    got = sorted(map(tuple, near_duplicates(make_docs(docs)).collect()), key=str)
+    assert got == brute(docs)
+
+
 def test_one_of_each_stays(make_docs):
     docs = sample()
     frame = make_docs(docs)
@@ -81,7 +89,7 @@ def test_regions_are_bounded_and_complete(copies):
     rng = np.random.default_rng(copies)
     keys = np.sort(rng.integers(0, 2, (200, 1 + DEPTH)), axis=0)
     keys = keys[np.lexsort(keys.T[::-1])]
-    left, right = region_pairs(keys, 0)
+    left, right, _ = region_pairs(keys, 0)
     assert len(set(zip(left.tolist(), right.tolist()))) == len(left) <= REGION * len(keys)
     prefix = [(keys[a] != keys[b]).argmax() - 1 if (keys[a] != keys[b]).any() else DEPTH for a, b in zip(left, right)]
     assert min(prefix, default=2) >= 2
