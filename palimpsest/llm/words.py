@@ -6,6 +6,7 @@ bytes gives the same words as cutting characters. Lower-casing changes A-Z only.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -104,8 +105,21 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[begin[0]:begin[-1]], begin - begin[0]
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+
+
+def release_memory() -> None:
+    """Give back what earlier batches used: workers that wait share the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about so many text bytes."""
+    release_memory()
     _, begin = bytes_of(batch.column(column))
     low = 0
     while low < batch.num_rows:
