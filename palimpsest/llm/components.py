@@ -25,6 +25,23 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionAll(roots)
 
 
+def joined_components(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links: only the graph of components is walked again. ``found`` is
+    a result of ``components``, ``links`` has two long columns."""
+    low, high = links.columns
+
+    def root(node: str, name: str) -> DataFrame:
+        return found.select(F.col("node").alias(node), F.col("component").alias(name))
+
+    between = links.join(root(low, "a"), low, "left").join(root(high, "b"), high, "left").select(
+        F.coalesce("a", low).alias("a"), F.coalesce("b", high).alias("b")).where("a <> b").distinct()
+    moved = components(between).select(F.col("node").alias("old"), F.col("component").alias("new"))
+    kept = found.join(moved, F.col("component") == F.col("old"), "left").select(
+        "node", F.coalesce("new", "component").alias("component"))
+    added = moved.join(found.select("node"), F.col("old") == F.col("node"), "left_anti")
+    return kept.unionAll(added.select("old", "new"))
+
+
 def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("hi", "lo"))).first())
 
@@ -39,7 +56,7 @@ def _large(edges: DataFrame) -> DataFrame:
 
 def _stars(links: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, move to its smallest neighbour."""
-    edges = links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct()
+    edges = links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo")
     least = edges.groupBy(F.col("hi").alias("at")).agg(F.min("lo").alias("least"))
     moved = edges.join(least, F.col("hi") == F.col("at"))
     return moved.select("hi", F.col("least").alias("lo")).unionAll(

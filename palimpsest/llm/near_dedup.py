@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from palimpsest.llm.components import components
+from palimpsest.llm.components import components, joined_components
 from palimpsest.llm.registry import LOWERED, query, table
 from palimpsest.llm.words import NOT_SPACE, Words, cut, grams, mix, slices
 from palimpsest.scratch import materialise
@@ -40,7 +40,7 @@ TREES = 16
 DEPTH = 8
 LEAST_DEPTH = 2
 REGION = 8
-LEADERS = 4
+LEADERS = 1
 CENTRAL_DOCS = 32
 SIMILARITY = 75  # per cent
 _SETS = "doc_id long, n_shingles long, lead long, set_a long, set_b long, signature binary"
@@ -275,9 +275,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = components(links.unionAll(copies).unionAll(equal))
     strays = materialise(central_pairs(seen, found), "strays")
     if not strays.isEmpty():
-        more = confirmed_links(known, strays)
-        found = components(found.where("node <> component").select(
-            F.col("component").alias("lo"), F.col("node").alias("hi")).unionAll(more))
+        found = joined_components(found, confirmed_links(known, strays))
     return sets.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))

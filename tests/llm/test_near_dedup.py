@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from palimpsest.llm.components import components
+from palimpsest.llm.components import components, joined_components
 from palimpsest.llm.near_dedup import DEPTH, REGION, keep_one_of_each, near_duplicates, region_pairs
 
 from llm_samples import ODD_ROWS, words
@@ -107,3 +107,10 @@ def test_components_of_a_chain_and_a_star(spark):
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {**{at: 0 for at in range(61)}, **{at: 100 for at in range(100, 160)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_more_links_join_components(spark):
+    found = components(spark.createDataFrame([(1, 2), (2, 3), (10, 11), (20, 21)], "a long, b long"))
+    more = spark.createDataFrame([(3, 11), (21, 30), (40, 41), (1, 2), (50, 50)], "lo long, hi long")
+    got = dict(map(tuple, joined_components(found, more).collect()))
+    assert got == {1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 20: 20, 21: 20, 30: 20, 40: 40, 41: 40}
