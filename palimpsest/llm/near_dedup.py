@@ -9,7 +9,10 @@ whole signature is shared by more, sorted neighbours are compared. In a region t
 Candidates are confirmed on the full sets, read from the texts again; links make connected
 components. What a dense region still holds beside its largest component is compared with the
 documents that are central in most orders: many copies of one text, each changed elsewhere, are
-alike to the text and not to each other.
+alike to the text and not to each other. What still stands apart from the largest component of one
+of its dense regions goes an exact way: a prefix filter on its rarest shingles against all documents
+of such regions. So every pair that shares ``LEAST_DEPTH`` minima in one order is compared, or is
+in one component already.
 
 Copies: within a batch only the first document of equal sets enters the orders, the others are
 linked to it at once, so a group of copies sends one row a batch. Sorted orders are dealt out by
@@ -43,6 +46,7 @@ REGION = 8
 LEADERS = 1
 CENTRAL_DOCS = 32
 SIMILARITY = 75  # per cent
+RARITY_BUCKETS = 1 << 20
 _SETS = "doc_id long, n_shingles long, lead long, set_a long, set_b long, signature binary"
 
 
@@ -192,7 +196,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, high = np.minimum(docs[left], docs[right]), np.maximum(docs[left], docs[right])
         other = low != high
         yield _rows(low[other], high[other], PAIR)
-        at = np.flatnonzero(dense & (np.arange(len(keys)) >= fresh))
+        # The first and the last region may go on in another batch or task.
+        own = keys[fresh:, :LEAST_DEPTH + 1]
+        open_ = np.r_[np.zeros(fresh, bool), (own == own[:1]).all(axis=1) | (own == own[-1:]).all(axis=1)]
+        at = np.flatnonzero((dense | open_) & (np.arange(len(keys)) >= fresh))
         region = mix(mix(keys[at, 0].astype(np.uint64) << np.uint64(32) ^ keys[at, 1].astype(np.uint64))
                      ^ keys[at, 2].astype(np.uint64)).view(np.int64)
         yield _rows(docs[at], region, np.where(central[at], CENTRAL, MEMBER))
@@ -242,15 +249,22 @@ def confirmed_links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
             _confirm, "lo long, hi long"), "confirmed")
 
 
-def central_pairs(seen: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs for documents that a dense region holds beside its largest component: each with the
-    ``CENTRAL_DOCS`` most central documents of that component, those that end the heaviest paths
-    of most orders. Linear in the documents of dense regions."""
+def _regions(seen: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents of dense regions with their components; the largest component of each region,
+    and whether it is the only one."""
     region = seen.where(F.col("kind") != PAIR).join(found, F.col("lo") == F.col("node"), "left").select(
         F.col("lo").alias("doc"), F.col("hi").alias("region"), "kind",
         F.coalesce("component", "lo").alias("own"))
     largest = region.groupBy("region", "own").agg(F.count(F.lit(1)).alias("size")).groupBy("region").agg(
-        F.max_by("own", F.struct("size", -F.col("own"))).alias("whole"))
+        F.max_by("own", F.struct("size", -F.col("own"))).alias("whole"), (F.count(F.lit(1)) == 1).alias("only"))
+    return region, largest
+
+
+def central_pairs(seen: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs for documents that a dense region holds beside its largest component: each with the
+    ``CENTRAL_DOCS`` most central documents of that component, those that end the heaviest paths
+    of most orders. Linear in the documents of dense regions."""
+    region, largest = _regions(seen, found)
     votes = region.where(F.col("kind") == CENTRAL).groupBy("own", "doc").agg(F.count(F.lit(1)).alias("votes"))
     best = Window.partitionBy("own").orderBy(F.desc("votes"), "doc")
     heads = votes.withColumn("place", F.row_number().over(best)).where(F.col("place") <= CENTRAL_DOCS).select(
@@ -260,6 +274,78 @@ def central_pairs(seen: DataFrame, found: DataFrame) -> DataFrame:
         F.least("doc", "head").alias("lo"), F.greatest("doc", "head").alias("hi")).where("lo <> hi").distinct()
 
 
+def _buckets(shingles: np.ndarray) -> np.ndarray:
+    return (shingles % np.uint64(RARITY_BUCKETS)).astype(np.int64)
+
+
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets of shingles that a batch holds more than once, and how often."""
+    for batch in batches:
+        total = np.zeros(RARITY_BUCKETS, np.int64)
+        for piece in slices(batch, "text"):
+            for shingles in shingle_sets(cut(piece.column("text"), NOT_SPACE, lower=True)):
+                np.add.at(total, _buckets(shingles), 1)
+        bucket = np.flatnonzero(total > 1)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(total[bucket])], ["bucket", "n"])
+
+
+def rarest(shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The first shingles by (weight, fingerprint), so many that two alike sets share one of them."""
+    size = len(shingles)
+    order = np.lexsort((shingles, weights[_buckets(shingles)]))
+    return shingles[order[:size + (-SIMILARITY * size // 100) + 1]]
+
+
+def _rare(weights):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                parts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [
+                    np.zeros(0, np.int64)], [np.zeros(0, bool)]
+                sets = shingle_sets(cut(piece.column("text"), NOT_SPACE, lower=True))
+                for doc, stray, shingles in zip(piece.column("doc_id").to_pylist(),
+                                                piece.column("stray").to_pylist(), sets):
+                    if not len(shingles):
+                        continue
+                    first = rarest(shingles, weights.value)
+                    for part, values in zip(parts, (
+                            first, np.full(len(first), doc), len(shingles) - np.arange(len(first)),
+                            np.full(len(first), len(shingles)), np.full(len(first), stray))):
+                        part.append(values)
+                shingle, *rest = (np.concatenate(part) for part in parts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shingle.view(np.int64)), *map(pa.array, rest)], ["shingle", "doc", "rest", "size", "stray"])
+
+    return run
+
+
+def rare_pairs(texts: DataFrame, seen: DataFrame, found: DataFrame) -> DataFrame:
+    """Every pair that can be alike of a document that stands apart from the largest component of a
+    dense region with another document of such regions. A prefix filter: in one order of all
+    shingles, two alike sets have one of their first quarters in common. Frequent shingles come last
+    in the order; how well frequencies are known decides the number of pairs only."""
+    region, largest = _regions(seen, found)
+    inside = materialise(region.join(largest.where("not only"), "region").groupBy("doc").agg(
+        F.max(F.col("own") != F.col("whole")).alias("stray")), "apart")
+    if inside.isEmpty():
+        return inside.select(F.col("doc").alias("lo"), F.col("doc").alias("hi"))
+    spark = texts.sparkSession
+    held = texts.join(inside, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "stray")
+    rows = held.mapInArrow(_frequent, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    weights = np.zeros(RARITY_BUCKETS, np.int64)
+    weights[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
+    rare = materialise(held.mapInArrow(
+        _rare(spark.sparkContext.broadcast(weights)),
+        "shingle long, doc long, rest long, size long, stray boolean"), "rare")
+    one = rare.where("stray").select("shingle", *(F.col(name).alias(f"my_{name}") for name in ("doc", "rest", "size")))
+    # What both sets have from their first common shingle on must be enough, so the pair's first
+    # common shingle always passes.
+    may = ((F.col("my_doc") != F.col("doc")) & (~F.col("stray") | (F.col("my_doc") < F.col("doc")))
+           & ((100 + SIMILARITY) * F.least("my_rest", "rest") >= SIMILARITY * (F.col("my_size") + F.col("size"))))
+    return one.join(rare.withColumnRenamed("shingle", "theirs"), (F.col("shingle") == F.col("theirs")) & may).select(
+        F.least("my_doc", "doc").alias("lo"), F.greatest("my_doc", "doc").alias("hi")).distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id, kept."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -275,7 +361,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = components(links.unionAll(copies).unionAll(equal))
     strays = materialise(central_pairs(seen, found), "strays")
     if not strays.isEmpty():
-        found = joined_components(found, confirmed_links(known, strays))
+        found = materialise(joined_components(found, confirmed_links(known, strays)), "joined")
+    apart = materialise(rare_pairs(known, seen, found), "apart")
+    if not apart.isEmpty():
+        found = joined_components(found, confirmed_links(known, apart))
     return sets.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))

@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 
 from palimpsest.llm.components import components, joined_components
-from palimpsest.llm.near_dedup import DEPTH, REGION, keep_one_of_each, near_duplicates, region_pairs
+from palimpsest.llm.near_dedup import (DEPTH, RARITY_BUCKETS, REGION, keep_one_of_each, near_duplicates, rarest,
+                                       region_pairs)
 
 from llm_samples import ODD_ROWS, words
 
@@ -64,6 +65,30 @@ def test_many_copies_that_are_alike_only_to_their_source(make_docs):
     assert got == brute(docs)
 
 
+def test_pairs_inside_a_dense_region(make_docs):
+    """Documents that share most of a text, not enough to be alike; some have one other like them."""
+    common, docs = words(5, 204), []
+    for at in range(360):
+        own = words(1000 + at, 43)
+        docs.append((at, " ".join(common + own)))
+        if at % 3 == 0:
+            docs.append((1000 + at, " ".join(common + own[:11] + words(5000 + at, 32))))
+    got = sorted(map(tuple, near_duplicates(make_docs(docs)).collect()), key=str)
+    assert got == brute(docs)
+    assert sum(not kept for *_, kept in got) == 120
+
+
+def test_rarest_shingles_of_alike_sets_meet():
+    rng = np.random.default_rng(6)
+    weights = rng.integers(0, 3, RARITY_BUCKETS)
+    for size in (1, 2, 3, 4, 7, 50, 101):
+        one = rng.integers(0, 1 << 62, size).astype(np.uint64)
+        for gone in range(size // 4 + 1):
+            other = one[rng.permutation(size)][gone:]
+            if 100 * len(other) >= 75 * size:
+                assert set(rarest(one, weights).tolist()) & set(rarest(other, weights).tolist())
+
+
 def test_one_of_each_stays(make_docs):
     docs = sample()
     frame = make_docs(docs)
