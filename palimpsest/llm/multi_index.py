@@ -11,8 +11,9 @@ queries meet in blocks: a cell with many rows is split, small cells share a bloc
 block are split as well, so a vector that a third of all rows share fills many small tasks.
 
 Defined cases. Vectors that are null, zero, of another length than most, or hold nulls or
-non-finite numbers take no part. Rows that repeat an id count once, with the best score. A query
-with fewer candidates gets all. Ties go to the smaller id. A null id takes no part.
+non-finite numbers take no part. Rows that repeat an id count once, with the best score: cells are
+visited until they hold enough distinct ids, and a block gives its best distinct ids. A query with
+fewer candidates gets all. Ties go to the smaller id. A null id takes no part.
 """
 
 from __future__ import annotations
@@ -73,6 +74,8 @@ class Index:
     first_block: np.ndarray
     parts: np.ndarray  # blocks of each cell
     wanted: int  # rows to visit
+    homes: np.ndarray  # ids of each cell; an id of several cells counts in the first
+    wanted_ids: int
 
     @property
     def width(self) -> int:
@@ -83,22 +86,25 @@ class Index:
         return quantise(vectors[:, :half], self.books[0]) * self.width + quantise(vectors[:, half:], self.books[1])
 
 
-def visit(products: tuple[np.ndarray, np.ndarray], counts: np.ndarray, wanted: int) -> list[int]:
-    """Cells by falling sum of the two products, until they hold the wanted number of rows. The heap
-    has the next cell of each first centroid."""
+def visit(products: tuple[np.ndarray, np.ndarray], counts: np.ndarray, wanted: int,
+          homes: np.ndarray | None = None, wanted_ids: int = 0) -> list[int]:
+    """Cells by falling sum of the two products, until they hold the wanted numbers of rows and of
+    distinct ids. The heap has the next cell of each first centroid."""
     first, second = (np.argsort(-x, kind="stable") for x in products)
     a, b = (-products[0][first]).tolist(), (-products[1][second]).tolist()
     rows, columns, width = first.tolist(), second.tolist(), len(b)
     sizes = counts.tolist()
+    ids = sizes if homes is None else homes.tolist()
     heap = [(value + b[0], at, 0) for at, value in enumerate(a)]
     heapify(heap)
-    cells, seen = [], 0
-    while heap and seen < wanted:
+    cells, seen, known = [], 0, 0
+    while heap and (seen < wanted or known < wanted_ids):
         _, row, column = heap[0]
         cell = rows[row] * width + columns[column]
         if sizes[cell]:
             cells.append(cell)
             seen += sizes[cell]
+            known += ids[cell]
         if column + 1 < width:
             heapreplace(heap, (a[row] + b[column + 1], row, column + 1))
         else:
@@ -126,10 +132,13 @@ def fit(vectors: DataFrame, rows: int, nearest: int, seed: int, centroids: int =
         fit_rows: int = FIT_ROWS, target: float = TARGET) -> tuple[tuple[np.ndarray, np.ndarray], float]:
     """Codebooks and the share to visit. ``vectors``: vec_id, vector."""
     lot = F.pmod(F.xxhash64(F.lit(seed), "vec_id", "vector"), F.lit(1 << 30))
-    chosen = vectors.where(lot < int(min(1.0, fit_rows / max(rows, 1)) * (1 << 30))).select("vector").toArrow()
+    chosen = vectors.where(lot < int(min(1.0, fit_rows / max(rows, 1)) * (1 << 30))).select("vec_id", "vector").toArrow()
     if not chosen.num_rows:
-        chosen = vectors.select("vector").limit(fit_rows).toArrow()
+        chosen = vectors.select("vec_id", "vector").limit(fit_rows).toArrow()
     sample = as_matrix(chosen.column("vector").combine_chunks())
+    # Rows repeated in both columns are one neighbour.
+    names = np.unique(chosen.column("vec_id").to_numpy(), return_inverse=True)[1]
+    sample = sample[np.sort(np.unique(np.column_stack([names, sample]), axis=0, return_index=True)[1])]
     rng = np.random.default_rng(seed)
     sample = sample[rng.permutation(len(sample))]
     half = max(1, sample.shape[1] // 2)
@@ -172,7 +181,7 @@ def _visits(index) -> callable:
             ids, blocks, firsts, bits, at = [], [], [], [], []
             for row, vector in enumerate(as_matrix(batch.column("vector")) if batch.num_rows else []):
                 cells = np.sort(np.array(visit((known.books[0] @ vector[:half], known.books[1] @ vector[half:]),
-                                               known.counts, known.wanted), np.int64))
+                                               known.counts, known.wanted, known.homes, known.wanted_ids), np.int64))
                 block = known.first_block[cells]
                 begin = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(cells) else []
                 for low, high in zip(begin, [*begin[1:], len(cells)]):
@@ -213,11 +222,12 @@ def _best(nearest: int):
                 if not len(found):
                     continue
                 score = known[found] @ asked[row]
+                # Rows are in order of their id, and one id may be there many times.
+                begin = np.flatnonzero(np.r_[True, ids[found[1:]] != ids[found[:-1]]])
+                found, score = found[begin], np.maximum.reduceat(score, begin)
                 if len(found) > nearest:
                     least = np.partition(score, len(score) - nearest)[len(score) - nearest]
-                    better, equal = np.flatnonzero(score > least), np.flatnonzero(score == least)
-                    # Rows are in order of their id, and one id may be there twice.
-                    keep = np.r_[better, equal[np.unique(ids[found[equal]], return_index=True)[1]][:nearest]]
+                    keep = np.r_[np.flatnonzero(score > least), np.flatnonzero(score == least)[:nearest]]
                     found, score = found[keep], score[keep]
                 out.append((np.full(len(found), names[row]), ids[found], score))
         columns = [np.concatenate(x) for x in zip(*out)] if out else [
@@ -244,14 +254,17 @@ def nearest_neighbours(frame: DataFrame, queries: Column, nearest: int = 20, vec
     rows = rows.where(F.size("vector") == most[0]["size"])
     books, share = fit(rows, total, nearest, seed, centroids, fit_rows, target)
     empty = np.zeros(len(books[0]) * len(books[1]), np.int64)
-    plain = spark.sparkContext.broadcast(Index(books, empty, empty, empty, 0))
+    plain = spark.sparkContext.broadcast(Index(books, empty, empty, empty, 0, empty, 0))
     entries = rows.mapInArrow(_cells(plain), "vec_id long, vector array<double>, asks boolean, cell int")
     counts = empty.copy()
     for row in entries.groupBy("cell").count().collect():  # centroids squared at most
         counts[row["cell"]] = row["count"]
+    homes = empty.copy()
+    for row in entries.groupBy("vec_id").agg(F.min("cell").alias("cell")).groupBy("cell").count().collect():
+        homes[row["cell"]] = row["count"]
     first, parts = _blocks(counts, block_rows)
     wanted = min(total, max(int(np.ceil(share * total)), nearest + 1))
-    index = spark.sparkContext.broadcast(Index(books, counts, first, parts, wanted))
+    index = spark.sparkContext.broadcast(Index(books, counts, first, parts, wanted, homes, nearest + 1))
     chunks = max(1, -(-asking // block_rows))
     places = spark.createDataFrame(pa.table({
         "cell": pa.array(np.flatnonzero(counts).astype(np.int32)), "first": first[counts > 0],

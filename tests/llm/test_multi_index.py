@@ -56,6 +56,20 @@ def test_recall_scores_and_ranks(spark, block):
     assert hits >= 0.9 * 10 * len(truth)
 
 
+@pytest.mark.parametrize("block", [4096, 64])
+def test_rows_that_repeat_an_id_cost_no_neighbour(spark, block):
+    rng = np.random.default_rng(8)
+    rows = [(at, rng.normal(size=8).tolist()) for at in range(100)]
+    often = [(1001, [9 * x for x in rows[0][1]])] * 200
+    got = {}
+    for row in nearest_neighbours(frame(spark, rows * 2 + often), F.col("vec_id") % 20 == 0, 20, centroids=4,
+                                  block_rows=block).collect():
+        got.setdefault(row.query_id, []).append((row.rank, row.vec_id))
+    assert set(got) == {0, 20, 40, 60, 80}
+    for found in got.values():
+        assert sorted(rank for rank, _ in found) == list(range(1, 21)) and len({key for _, key in found}) == 20
+
+
 def test_all_candidates_when_there_are_few(spark):
     rows = [(0, [1.0, 0, 0, 0, 0, 0, 0, 0]), (1, [1.0] * 8), (2, [-1.0] * 8)]
     got = nearest_neighbours(frame(spark, rows), F.col("vec_id") % 20 == 0).collect()
