@@ -2,7 +2,7 @@
 
 Markup is stripped: each block element is a line, inline elements vanish, and what markup itself
 names as no article (menus, footers, forms, scripts and the like, by element, role, class or id)
-goes and leaves a gap. Over the lines, text lengths are summed in sliding windows of ``BLOCK``
+goes and leaves a gap, except between two pieces of body text of one parent. Over the lines, text lengths are summed in sliding windows of ``BLOCK``
 lines; link text does not count. The text surges where a window's sum reaches the threshold, and
 dives where a window has no text. What stands between is the core. Where the page has article
 elements, or else main elements, or else containers named as content, surges are sought in these,
@@ -100,6 +100,8 @@ def _holder(name: str, attributes: str) -> int:
     return 2 if CONTENT_NAMES.intersection(words) else 3
 
 
+# Elements that are lines of text by themselves.
+PIECES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption".split())
 NOWHERE = (0, 0, 0)
 GAP = ("", 0, NOWHERE)
 
@@ -110,15 +112,29 @@ def lines_of(page: str) -> list[tuple[str, int, tuple[int, int, int]]]:
     lines: list[tuple[str, int, tuple[int, int, int]]] = []
     open_: list[tuple[str, bool, int]] = []  # elements around, whether each is no article, what it holds
     inside: tuple[list[int], ...] = ([], [], [], [])
+    numbers: list[int] = []  # of the elements around
+    homes: list[int] = []  # the parent of each line's text; of a gap -1
+    opened = 0
     hidden, holders, links, text, linked = 0, 0, 0, [], 0
     at, end, raw = 0, len(page), None
 
+    def home() -> int:
+        blocks = [at for at in range(len(open_) - 1, -1, -1) if open_[at][0] not in INLINE][:2]
+        if blocks and open_[blocks[0]][0] in PIECES:
+            del blocks[0]
+        return numbers[blocks[0]] if blocks else 0
+
+    def leave(gap: int) -> None:
+        lines.extend([GAP] * gap)
+        homes.extend([-1] * gap)
+
     def flush(gap: int = 0) -> None:
         nonlocal text, linked
         line = " ".join("".join(text).split())
         if line:
             lines.append((line, min(linked, len(line)), tuple(kind[0] if kind else 0 for kind in inside[:3])))
-        lines.extend([GAP] * gap)
+            homes.append(home())
+        leave(gap)
         text, linked = [], 0
 
     while at < end:
@@ -153,11 +169,11 @@ def lines_of(page: str) -> list[tuple[str, int, tuple[int, int, int]]]:
                 if gone:
                     hidden -= 1
                     if not hidden:
-                        lines.extend([GAP] * BLOCK)
+                        leave(BLOCK)
                 elif kind < 3:
                     inside[kind].pop()
                 links -= other == "a"
-            del open_[depth:]
+            del open_[depth:], numbers[depth:]
             continue
         if name not in INLINE and not hidden:
             flush()
@@ -165,6 +181,7 @@ def lines_of(page: str) -> list[tuple[str, int, tuple[int, int, int]]]:
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
             _close_open(open_, name)
+            del numbers[len(open_):]
         gone = (not hidden and _aside(name, tag.group(3), bool(inside[0] or inside[1]))
                 or bool(hidden) and name in NO_ARTICLE)
         if gone:
@@ -176,11 +193,29 @@ def lines_of(page: str) -> list[tuple[str, int, tuple[int, int, int]]]:
             holders += 1
             inside[kind].append(holders)
         links += name == "a"
+        opened += 1
         open_.append((name, gone, kind))
+        numbers.append(opened)
         if name in RAW:
             raw = name
     flush()
-    return lines
+    return _closed(lines, homes)
+
+
+def _closed(lines: list[tuple[str, int, tuple[int, int, int]]], homes: list[int]) -> list:
+    """The lines without the gaps that have body text of one parent on both sides."""
+    out, last = [], -1
+    for line, home in zip(lines, homes):
+        if home < 0:
+            out.append(line)
+            continue
+        body = home if len(line[0]) > line[1] else -1
+        if body >= 0 and body == last:
+            while out[-1] is GAP:
+                out.pop()
+        out.append(line)
+        last = body
+    return out
 
 
 def _close_open(open_: list[tuple[str, bool, int]], name: str) -> None:

@@ -46,6 +46,14 @@ def test_an_element_never_closed_ends_with_its_parent():
     assert main_text(f"<article><section><form>no</section><p>{LONG}</p></article>") == LONG.strip()
 
 
+def test_what_is_hidden_inside_the_text_does_not_end_it():
+    for between in ("<div class=advert>Buy</div>", "<script>x()</script>", "<div><aside>Buy</aside></div>",
+                    "<div class=ad>Buy</div><script>x()</script>"):
+        assert main_text(f"<body><div><p>{LONG}</p>{between}<p>The end.</p></div></body>") == f"{LONG.strip()} The end."
+        assert main_text(f"<body><div>First.{between}{LONG}</div></body>") == f"First. {LONG.strip()}"
+    assert main_text(f"<body><div><p>{LONG}</p></div><nav>x</nav><div><p>Other.</p></div></body>") == LONG.strip()
+
+
 def test_surge_and_dive():
     assert core([0, 5, 0, 0, 0, 60, 50, 0, 40, 0, 0, 0, 3]) == [(3, 9)]
     assert core([0, 0, 7, 0]) == [(0, 3)] and core([]) == [] and core([0, 0]) == []
