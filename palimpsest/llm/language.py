@@ -2,12 +2,13 @@
 
 A word is a run of letters. The script of its first letter narrows the candidate languages to
 those whose training text uses that script; a word's score for a language is the sum of log
-probabilities of its letter trigrams and of the word itself, hashed to ``BUCKETS`` numbers.
+probabilities of its letter trigrams and of the word itself, hashed to at most ``BUCKETS`` numbers.
 Viterbi over the words of a text, with a penalty for each change of language, labels spans. The
 language of a document is the one with most letters; its score is their share of all letters.
 
 The model is fitted on at most about ``FIT_DOCS`` documents of each language, chosen by a hash of
-their id, and of at most ``LANGUAGES`` languages, the most frequent. Its size is bounded by these.
+their id. Every language is learned. Its size is at most ``CELLS`` scores: many languages share the
+numbers out, down to ``LEAST_BUCKETS`` for each; beyond 8,192 languages it grows with them.
 
 Defined cases. A null text, or one without letters, is ``und`` with score 0 and no spans; so is
 every text where no language was learned. Ties go to the first name. A word of a script that no
@@ -34,7 +35,10 @@ from palimpsest.llm.words import mix, slices
 UNKNOWN = "und"
 BUCKETS = 1 << 17
 FIT_DOCS = 4000
-LANGUAGES = 256
+CELLS = 1 << 25
+LEAST_BUCKETS = 1 << 12
+# Languages whose counts a task holds at once.
+COUNTED = 128
 PENALTY = 12.0
 SMOOTHING = 0.05
 # A language uses a script if it has at least this share of the language's letters.
@@ -131,6 +135,23 @@ class Model:
     candidates: np.ndarray
 
 
+def buckets_for(languages: int) -> int:
+    """Numbers for each language, a power of two."""
+    buckets = BUCKETS
+    while buckets > LEAST_BUCKETS and buckets * languages > CELLS:
+        buckets >>= 1
+    return buckets
+
+
+def _given(totals: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for name, total in totals.items():
+        bucket = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([name] * len(bucket), pa.string()), pa.array(bucket.astype(np.int32)),
+             pa.array(total[bucket])], ["lang", "bucket", "n"])
+    totals.clear()
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     scripts = len(SCRIPTS) + 1
     for batch in batches:
@@ -147,32 +168,33 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total += np.bincount(words.whole[number == at], minlength=BUCKETS + scripts)
                 total[BUCKETS:] += np.bincount(words.script[number == at], words.letters[number == at],
                                                scripts).astype(np.int64)
-        for name, total in totals.items():
-            bucket = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(bucket), pa.string()), pa.array(bucket.astype(np.int32)),
-                 pa.array(total[bucket])], ["lang", "bucket", "n"])
+                if len(totals) >= COUNTED:
+                    yield from _given(totals)
+        yield from _given(totals)
 
 
 def fit(texts: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
     """``texts``: doc_id, text, lang of the documents to learn from."""
     spark: SparkSession = texts.sparkSession
     known = texts.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).orderBy(F.desc("docs"), "lang").limit(
-        LANGUAGES).collect()
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).collect()
     share = spark.createDataFrame(
         [(row["lang"], min(1.0, fit_docs / row["docs"])) for row in sizes], "lang string, share double")
     lot = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     chosen = known.join(F.broadcast(share), "lang").where(lot < F.col("share")).select("text", "lang")
-    counts = chosen.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
+    buckets = buckets_for(len(sizes))
+    # Scripts stand after the numbers.
+    place = F.when(F.col("bucket") < BUCKETS, F.col("bucket") % buckets).otherwise(
+        F.col("bucket") - (BUCKETS - buckets)).alias("bucket")
+    counts = chosen.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", place).agg(
         F.sum("n").alias("n")).toArrow()
     lang, bucket, n = (counts.column(name).to_numpy() for name in ("lang", "bucket", "n"))
     names = sorted(set(lang.tolist()))
-    total = np.zeros((BUCKETS + len(SCRIPTS) + 1, len(names)))
+    total = np.zeros((buckets + len(SCRIPTS) + 1, len(names)))
     if names:
         total[bucket, np.searchsorted(np.array(names, dtype=object), lang)] = n
-    letters = total[BUCKETS:]
-    features = total[:BUCKETS] + SMOOTHING
+    letters = total[buckets:]
+    features = total[:buckets] + SMOOTHING
     # What a word adds is relative to the mean of the languages, so unseen features favour none.
     scores = np.log(features / np.maximum(features.sum(axis=0, keepdims=True), 1))
     if names:
@@ -185,7 +207,8 @@ def word_scores(words: LetterWords, model: Model) -> np.ndarray:
     if not len(words.starts) or not model.names:
         return np.zeros((len(words.starts), len(model.names)))
     begin = np.cumsum(words.letters) - words.letters
-    out = np.add.reduceat(model.scores[words.trigrams], begin, axis=0) + model.scores[words.whole]
+    buckets = len(model.scores)
+    out = np.add.reduceat(model.scores[words.trigrams % buckets], begin, axis=0) + model.scores[words.whole % buckets]
     able = model.candidates[words.script]
     odd = np.flatnonzero(~able.all(axis=1))
     out[odd] = np.where(able[odd], out[odd], out[odd].min(axis=1, keepdims=True) - np.float32(PENALTY))
@@ -203,7 +226,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = PENALTY) -
     steps = int(size[0]) if len(size) else 0
     active = np.searchsorted(-size, -np.arange(steps), "left")  # texts with more words than the step
     stays = np.zeros(scores.shape, bool)
-    came = np.zeros(len(scores), np.int16)
+    came = np.zeros(len(scores), np.int32)
     value = np.zeros((len(size), scores.shape[1]), np.float64)
     for step in range(steps):
         at = first[:active[step]] + step
@@ -257,9 +280,9 @@ def _label(model, column: str, keep_rows: bool = False):
         width = max(1, len(known.names))
         for batch in batches:
             # Texts advance together, so as many as memory allows: scores are 8 bytes a word and language.
-            for held in slices(batch, column, max(1 << 16, 6 * HELD // width)):
+            for held in slices(batch, column, max(1 << 13, 6 * HELD // width)):
                 parts = []
-                for piece in slices(held, column, max(1 << 14, (3 << 20) // width)):
+                for piece in slices(held, column, max(1 << 11, (3 << 20) // width)):
                     words = letter_words(piece.column(column))
                     parts.append((words, word_scores(words, known), piece.num_rows))
                 base = np.cumsum([0, *(rows for _, _, rows in parts)])

@@ -46,6 +46,17 @@ def test_mixed_text_is_cut_into_spans(make_docs, model):
     assert abs(spans[1][0] - len(parts[0])) < 25 and text[spans[2][0]:spans[2][1]] == parts[2]
 
 
+def test_every_language_is_learned(spark, make_docs):
+    def text(lang, seed):
+        rng = random.Random(seed)
+        return " ".join("".join(chr(97 + int(x)) for x in f"{lang:04}") + rng.choice("xyz") for _ in range(30))
+    rows = [(at, text(at % 300, at), f"l{at % 300:03}") for at in range(600)]
+    many = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(many.names) == 300 and many.scores.size <= 1 << 25
+    got = {x[0]: x[1] for x in labelled(make_docs, many, [(at, text(at, 5000 + at)) for at in range(300)])}
+    assert sum(got[at] == f"l{at:03}" for at in range(300)) >= 295
+
+
 def test_script_alone_decides(make_docs, model):
     assert {x[1] for x in labelled(make_docs, model, [(1, "щъ"), (2, "ЖЮЫ")])} == {"ru"}
 
