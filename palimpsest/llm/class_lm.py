@@ -1,14 +1,18 @@
 """Brown class-based n-grams: exchange clustering, class transitions, word emissions.
 
-Counts come from all training documents. The ``CLUSTERED`` most frequent words are assigned to
-``CLASSES`` classes by exchange, on their bigram counts (at most units squared, whatever the
-corpus). Every other word belongs to one of ``ENDINGS`` classes by its last two bytes, the end of a
-text to a class of its own. A text's probability is the product, over its tokens, of the
-probability of the class after the class before, and of the word in its class; unseen words have a
-share in the ending classes. Words are known by 64-bit fingerprints.
-
-The counts of at most ``HEAD`` frequent words are broadcast; the rest of each document's words meet
-their counts in a join. So the broadcast is bounded and no word or document is left out.
+Counts come from all training documents, and every word of theirs has a class by exchange. The
+``CLUSTERED`` most frequent words begin, one at a time on the driver, on their bigram counts (at
+most units squared, whatever the corpus); until then the others stand in ``ENDINGS`` classes by
+their last two bytes. Then, ``ROUNDS`` times, words choose in tasks the class that raises the
+likelihood most, on the classes before and after them: the bigrams of words are a table that is
+joined with the classes, hot words by broadcast. A round that does not raise the likelihood is not
+taken. The end of a text has a class of its own; words that training does not have, and only these,
+belong to the ending classes. A text's probability is the product, over its tokens, of the
+probability of the class after the class before, and of the word in its class. Words are known by
+64-bit fingerprints.
+
+The counts and classes of at most ``HEAD`` frequent words are broadcast; pairs with other words meet
+theirs in joins. So the broadcast is bounded and no word or document is left out.
 
 Defined cases. A null or empty text is its end token alone. Rows that repeat a document are scored
 and counted each. A null doc_id counts as the empty id for the fold. Without training documents
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.lookup import Lookup
 from palimpsest.llm.registry import query, table
-from palimpsest.llm.words import NOT_SPACE, Words, cut, mix, slices
+from palimpsest.llm.words import NOT_SPACE, Words, cut, joined, mix, slices
 from palimpsest.scratch import materialise
 
 HEAD = 1 << 18
@@ -36,6 +40,7 @@ CLUSTERED = 1024
 CLASSES = 64
 ENDINGS = 32
 SWEEPS = 4
+ROUNDS = 2
 ADDED = 0.1
 STEPS = 16  # frequency steps in a factor of two, to find the head
 END = mix(np.array([0x656E64], np.uint64))[0]
@@ -82,24 +87,24 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """What scoring needs beside the counts of rare words. Its size is bounded by the parameters."""
+    """What scoring needs beside the counts and classes of rare words. Its size is bounded by the
+    parameters."""
 
     total: int
     distinct: int
     head: Lookup
     head_counts: np.ndarray
-    unit: Lookup
-    unit_class: np.ndarray
+    head_class: np.ndarray
     log_transition: np.ndarray
-    log_emission: np.ndarray
-    ending_size: np.ndarray
+    class_size: np.ndarray
+    classes: int
 
     def base_size(self) -> float:
         return self.total + ADDED * (self.distinct + 1)
 
 
 def _head(counts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprints, endings and counts of at most ``size`` words: all those from a frequency on."""
+    """Fingerprints, classes and counts of at most ``size`` words: all those from a frequency on."""
     step = F.floor(F.log2("n") * STEPS).cast("int")
     steps = sorted(counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True)
     least, found = None, 0
@@ -109,9 +114,9 @@ def _head(counts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np.ndar
             break
         least = row["step"]
     chosen = counts.where(step >= least) if least is not None else counts.limit(0)
-    rows = chosen.select("word", "ending", "n").toArrow()
+    rows = chosen.select("word", "class", "n").toArrow()
     word = rows.column("word").to_numpy().view(np.uint64)
-    return word, rows.column("ending").to_numpy(), rows.column("n").to_numpy()
+    return word, rows.column("class").to_numpy(), rows.column("n").to_numpy()
 
 
 def _units(words: np.ndarray, ending: np.ndarray, unit: Lookup, clustered: int) -> np.ndarray:
@@ -192,81 +197,213 @@ def exchange(bigrams: np.ndarray, clustered: int, classes: int, sweeps: int = SW
     return of
 
 
+def _count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in slices(batch, "text"):
+            words, _, _ = tokens(cut(piece.column("text"), NOT_SPACE, lower=True))
+            before = _before(words, END)
+            _, first, n = _added_up(joined(before, words), np.ones(len(words)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(before[first].view(np.int64)), pa.array(words[first].view(np.int64)), pa.array(n)],
+                ["before", "word", "n"])
+
+
+def word_bigrams(texts: DataFrame) -> DataFrame:
+    """before, word, n. A text begins after an end."""
+    return texts.mapInArrow(_count_bigrams, "before long, word long, n long").groupBy("before", "word").agg(
+        F.sum("n").alias("n"))
+
+
+def _neighbour_class(bigrams: DataFrame, known: DataFrame, neighbour: str) -> DataFrame:
+    """The bigrams with the class of one side. Hot words are broadcast."""
+    of = known.select(F.col("word").alias("of"), "class")
+    hot = F.broadcast(known.where("hot").select(F.col("word").alias("of"), "class"))
+    same = F.col(neighbour) == F.col("of")
+    return bigrams.join(hot, same).unionAll(bigrams.join(hot.select("of"), same, "left_anti").select(
+        bigrams.columns).join(of, same).select(*bigrams.columns, "of", "class"))
+
+
+def contexts(bigrams: DataFrame, known: DataFrame, number: int) -> DataFrame:
+    """``known`` with ``seen``: how often each class is before (its number) and after a word
+    (``number`` and its number). At most twice ``number`` entries a word."""
+    before = _neighbour_class(bigrams, known, "before").select("word", F.col("class").alias("at"), "n")
+    after = _neighbour_class(bigrams, known, "word").select(
+        F.col("before").alias("word"), (F.col("class") + number).alias("at"), "n")
+    each = before.unionAll(after).groupBy("word", "at").agg(F.sum("n").alias("times"))
+    return known.join(each.groupBy("word").agg(F.collect_list(F.struct("at", "times")).alias("seen")), "word")
+
+
+def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place and count of each entry of ``seen``."""
+    seen = batch.column("seen")
+    flat = seen.flatten()
+    rows = np.repeat(np.arange(batch.num_rows), seen.value_lengths().to_numpy())
+    return rows, flat.field("at").to_numpy().astype(np.int64), flat.field("times").to_numpy()
+
+
+def class_bigrams(seen: DataFrame, number: int) -> np.ndarray:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, at, times = _entries(batch)
+            own = batch.column("class").to_numpy().astype(np.int64)[rows]
+            before = at < number
+            total = np.bincount(at[before] * number + own[before], times[before], number * number).astype(np.int64)
+            pair = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], ["pair", "n"])
+
+    rows = seen.select("class", "seen").mapInArrow(count, "pair long, n long").groupBy("pair").agg(
+        F.sum("n").alias("n")).toArrow()
+    out = np.zeros(number * number)
+    out[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
+    return out.reshape(number, number)
+
+
+def _likelihood(table_: np.ndarray) -> float:
+    return float(_xlogx(table_).sum() - _xlogx(table_.sum(axis=0)).sum() - _xlogx(table_.sum(axis=1)).sum())
+
+
+def best_classes(own: np.ndarray, n: np.ndarray, rows: np.ndarray, at: np.ndarray, times: np.ndarray,
+                 table_: np.ndarray, classes: int) -> np.ndarray:
+    """The class of each word that raises the likelihood of the class bigrams most, if only this word
+    moved and its neighbours kept the cells apart. ``rows``, ``at``, ``times``: entries in order."""
+    number = len(table_)
+    before, context = at < number, at % number
+    cells = np.where(before[:, None], table_[context, :classes], table_[:classes, context].T)
+    inside = np.flatnonzero(own[rows] < classes)
+    cells[inside, own[rows[inside]]] -= times[inside]
+    cells = np.maximum(cells, 0)
+    gain = np.zeros((len(own), classes))
+    np.add.at(gain, rows, _xlogx(cells + times[:, None]) - _xlogx(cells))
+    moved = np.flatnonzero(own < classes)
+    for sums in (table_.sum(axis=1)[:classes], table_.sum(axis=0)[:classes]):
+        rest = np.tile(sums, (len(own), 1))
+        rest[moved, own[moved]] -= n[moved]
+        gain -= _xlogx(rest + n[:, None]) - _xlogx(rest)
+    best = gain.argmax(axis=1)
+    stay = moved[gain[moved, best[moved]] <= gain[moved, own[moved]] + 1e-9]
+    best[stay] = own[stay]
+    return best
+
+
+def _move(table_, classes: int, clustered_too: bool):
+    names = ["word", "ending", "n", "class", "hot"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 512):
+                piece = batch.slice(low, 512)
+                own, n = piece.column("class").to_numpy().astype(np.int64), piece.column("n").to_numpy()
+                best = best_classes(own, n, *_entries(piece), table_.value, classes)
+                fixed = own == classes + ENDINGS if clustered_too else (own < classes) | (own == classes + ENDINGS)
+                yield pa.RecordBatch.from_arrays(
+                    [*(piece.column(name) for name in names[:3]),
+                     pa.array(np.where(fixed, own, best).astype(np.int32)), piece.column("hot")], names)
+
+    return run
+
+
 def fit(texts: DataFrame, counts: DataFrame, head_size: int = HEAD, clustered: int = CLUSTERED,
-        classes: int = CLASSES) -> Model:
+        classes: int = CLASSES) -> tuple[Model, DataFrame]:
+    """The model, and word, ending, n, class of all words."""
     spark: SparkSession = texts.sparkSession
-    by_ending = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
-    total, distinct = sum(row["n"] for row in by_ending), sum(row["words"] for row in by_ending)
-    word, ending, n = _head(counts, head_size)
-    inside = np.flatnonzero(ending < ENDINGS)
-    order = inside[np.lexsort((word[inside], -n[inside]))][:clustered]
-    clustered = len(order)
-    unit = Lookup(word[order], np.arange(clustered))
-    units = clustered + ENDINGS + 1
+    sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).first()
+    first = counts.where(F.col("ending") < ENDINGS).orderBy(F.desc("n"), "word").limit(clustered).select(
+        "word").toArrow().column("word").to_numpy()
+    clustered = len(first)
+    unit = Lookup(first.view(np.uint64), np.arange(clustered))
+    units, number = clustered + ENDINGS + 1, classes + ENDINGS + 1
     rows = unit_bigrams(texts, spark.sparkContext.broadcast(unit), clustered).toArrow()
     bigrams = np.zeros(units * units)
     bigrams[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
-    bigrams = bigrams.reshape(units, units)
-    of = exchange(bigrams, clustered, classes)
-    number = classes + units - clustered
-    after = np.zeros((number, number))
-    np.add.at(after, (of[:, None], of[None, :]), bigrams)
+    of = exchange(bigrams.reshape(units, units), clustered, classes)
+    begun = F.broadcast(spark.createDataFrame(
+        [(int(word), int(own)) for word, own in zip(first, of)], "word long, first int"))
+    known = materialise(counts.join(begun, "word", "left").select(
+        "word", "ending", "n", F.coalesce("first", F.col("ending") + classes).alias("class"),
+        (F.col("first").isNotNull() | (F.col("ending") == ENDINGS)).alias("hot")), "classes")
+    pairs = materialise(word_bigrams(texts), "bigrams")
+    seen = materialise(contexts(pairs, known, number), "contexts")
+    between = class_bigrams(seen, number)
+    for turn in range(ROUNDS):
+        move = _move(spark.sparkContext.broadcast(between), classes, turn > 0)
+        moved = materialise(seen.mapInArrow(move, known.schema), "classes")
+        seen = materialise(contexts(pairs, moved, number), "contexts")
+        after = class_bigrams(seen, number)
+        if turn and _likelihood(after) <= _likelihood(between):
+            break
+        known, between = moved, after
+    # After a word that training does not have, classes are as frequent as anywhere.
+    after = between.copy()
+    after[classes:classes + ENDINGS] = between.sum(axis=0)
     transition = (after + ADDED) / (after.sum(axis=1, keepdims=True) + ADDED * number)
-    class_size = np.bincount(of[:clustered], n[order], classes)
-    emission = n[order] / class_size[of[:clustered]]
-    ending_n, ending_words = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    for row in by_ending:
-        if row["ending"] < ENDINGS:
-            ending_n[row["ending"]], ending_words[row["ending"]] = row["n"], row["words"]
-    ending_n -= np.bincount(ending[order], n[order], ENDINGS)
-    ending_words -= np.bincount(ending[order], minlength=ENDINGS)
-    return Model(total, distinct, Lookup(word, np.arange(len(word))), n, unit, of, np.log10(transition),
-                 np.log10(emission), ending_n + ADDED * (ending_words + 1))
+    word, own, n = _head(known, head_size)
+    return Model(sums["n"] or 0, sums["words"], Lookup(word, np.arange(len(word))), n, own, np.log10(transition),
+                 between.sum(axis=0), classes), known
 
 
 def _score(model) -> callable:
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "word", "ending", "n"]
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "before", "before_class", "word",
+             "class", "far", "n"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Model = model.value
-        clustered = len(known.log_emission)
         next_row = TaskContext.get().partitionId() << 40
+        some = len(known.head_counts) > 0
         for batch in batches:
             for piece in slices(batch, "text"):
                 size = piece.num_rows
                 words, ending, text = tokens(cut(piece.column("text"), NOT_SPACE, lower=True))
-                units = _units(words, ending, known.unit, clustered).astype(np.int64)
-                of = known.unit_class[units]
-                logs = known.log_transition[known.unit_class[_before(units, clustered + ENDINGS)], of]
-                logs[units < clustered] += known.log_emission[units[units < clustered]]
                 place = known.head.get(words)
                 found = place >= 0
-                count = np.where(found, known.head_counts[place] if len(known.head_counts) else 0, 0)
+                count = np.where(found, known.head_counts[place] if some else 0, 0)
+                # Of a word that is not in the head, the ending class, and a row to look further.
+                of = np.where(found, known.head_class[place] if some else 0, known.classes + ending).astype(np.int64)
                 base = np.where(found, np.log10((count + ADDED) / known.base_size()), 0.0)
-                rare = (units >= clustered) & (units < clustered + ENDINGS)
-                near = rare & found
-                logs[near] += np.log10((count[near] + ADDED) / known.ending_size[ending[near]])
+                logs = np.zeros(len(words))
+                logs[found] = np.log10(count[found] / known.class_size[of[found]])
+                # A text begins after an end, whose class is known without a count.
+                before, before_of = _before(words, END), _before(of, known.classes + ENDINGS)
+                before_found = _before(found, True)
+                before_found = before_found | (before == END)
+                near = (found | (words == END)) & before_found
+                logs[near] += known.log_transition[before_of[near], of[near]]
                 add = [np.bincount(text, weights, size) for weights in (found, base, logs)]
                 row = next_row + np.arange(size)
                 next_row += size
+                nulls = [pa.nulls(size, kind) for kind in (
+                    pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64())]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(row), piece.column("doc_id"), piece.column("held_out"),
                     pa.array(np.bincount(text, minlength=size)), pa.array(add[0].astype(np.int64)), pa.array(add[1]),
-                    pa.array(add[2]), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int32()),
-                    pa.nulls(size, pa.int64())], names)
-                far = np.flatnonzero(~found)
-                key = mix(words[far] ^ mix(text[far].astype(np.uint64)))  # one word of one text
-                _, first, n = _added_up(key, np.ones(len(far)))
-                far = far[first]
-                nothing = [pa.nulls(len(far), kind) for kind in (
+                    pa.array(add[2]), *nulls], names)
+                left = np.flatnonzero(~near | ~found)
+                key = mix(joined(before[left], words[left]) ^ mix(text[left].astype(np.uint64)))
+                _, first, n = _added_up(key, np.ones(len(left)))  # a pair of one text
+                left = left[first]
+                # far: 1 the word before, 2 the word, 4 the transition is not counted yet.
+                far = 1 * ~before_found[left] + 2 * ~found[left] + 4 * ~near[left]
+                nothing = [pa.nulls(len(left), kind) for kind in (
                     pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(row[text[far]]), *nothing, pa.array(words[far].view(np.int64)),
-                    pa.array(ending[far]), pa.array(n)], names)
+                    pa.array(row[text[left]]), *nothing, pa.array(before[left].view(np.int64)),
+                    pa.array(before_of[left].astype(np.int32)), pa.array(words[left].view(np.int64)),
+                    pa.array(of[left].astype(np.int32)), pa.array(far.astype(np.int32)), pa.array(n)], names)
 
     return score
 
 
+def _look_up(rows: DataFrame, known: DataFrame, bit: int, word: str, own: str, count: str | None = None) -> DataFrame:
+    """Rows whose ``far`` has the bit get the class, and the count, of the word."""
+    far = F.col("far").bitwiseAND(F.lit(bit)) > 0
+    of = known.select(F.col("word").alias("__of"), F.col("class").alias("__class"), F.col("n").alias("__n"))
+    found = rows.where(far).join(of, F.col(word) == F.col("__of"), "left").withColumn(
+        own, F.coalesce("__class", own))
+    if count:
+        found, rows = found.withColumn(count, F.coalesce("__n", F.lit(0))), rows.withColumn(
+            count, F.lit(0).cast("long"))
+    return found.select(rows.columns).unionAll(rows.where(~far))
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(parts))
@@ -281,20 +418,28 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hea
                        (fold(F.col(doc_id), 10) == 0).alias("held_out"))
     training = rows.where(~F.col("held_out")).select("text")
     counts = materialise(word_counts(training), "counts")
-    model = fit(training, counts, head_size, clustered, classes)
+    model, known = fit(training, counts, head_size, clustered, classes)
     scored = materialise(rows.mapInArrow(
         _score(spark.sparkContext.broadcast(model)),
         "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
-        "word long, ending int, n long"), "scored")
-    sizes = F.array(*[F.lit(float(size)) for size in [*model.ending_size, float(max(model.total, 1))]])
-    count = F.coalesce(F.col("count"), F.lit(0)) + ADDED
-    # An end token that is not in the head has a class of its own, so only its base counts.
-    emission = F.when(F.col("ending") < ENDINGS, F.col("n") * F.log10(count / F.element_at(sizes, F.col("ending") + 1)))
-    rare = scored.where("word is not null").select(F.col("row").alias("of"), "word", "ending", "n").join(
-        counts.select("word", F.col("n").alias("count")), "word", "left").groupBy("of").agg(
-        F.sum(F.when(F.col("count") > 0, F.col("n")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("n") * F.log10(count / F.lit(model.base_size()))).alias("rare_base"),
-        F.coalesce(F.sum(emission), F.lit(0.0)).alias("rare_score"))
+        "before long, before_class int, word long, class int, far int, n long"), "scored")
+    number = len(model.log_transition)
+    place = np.arange(number * number)
+    between = F.broadcast(spark.createDataFrame(pa.table({
+        "from": pa.array((place // number).astype(np.int32)), "to": pa.array((place % number).astype(np.int32)),
+        "transition": model.log_transition.ravel(), "size": model.class_size[place % number]})))
+    pairs = scored.where("word is not null").select(
+        F.col("row").alias("of"), "before", "before_class", "word", "class", "far", "n")
+    pairs = _look_up(_look_up(pairs, known, 1, "before", "before_class"), known, 2, "word", "class", "count")
+    new, rare_ = F.col("far").bitwiseAND(F.lit(4)) > 0, F.col("far").bitwiseAND(F.lit(2)) > 0
+    count = F.col("count") + ADDED
+    # A word that training does not have is all of its ending class.
+    emission = F.when(rare_ & (F.col("count") > 0), F.log10(F.col("count") / F.col("size"))).otherwise(0.0)
+    rare = pairs.join(between, (F.col("before_class") == F.col("from")) & (F.col("class") == F.col("to"))).groupBy(
+        "of").agg(
+        F.sum(F.when(rare_ & (F.col("count") > 0), F.col("n")).otherwise(0)).alias("rare_known"),
+        F.sum(F.when(rare_, F.col("n") * F.log10(count / F.lit(model.base_size()))).otherwise(0.0)).alias("rare_base"),
+        F.sum(F.col("n") * (F.when(new, F.col("transition")).otherwise(0.0) + emission)).alias("rare_score"))
 
     def both(ours: str, more: str) -> Column:
         return F.col(ours) + F.coalesce(F.col(more), F.lit(0))

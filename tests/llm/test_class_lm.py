@@ -57,6 +57,16 @@ def test_classes_help_on_text_that_has_them(make_docs):
     assert ours > base + 0.2 * sum(r.n_tokens for r in got if r.held_out)
 
 
+def test_words_beyond_the_first_have_classes_by_exchange(make_docs):
+    rng = np.random.default_rng(4)
+    def text(size):
+        return " ".join(f"{'ab'[at % 2]}{rng.integers(200)}x" for at in range(size))
+    docs = [(at, text(100)) for at in range(120)]
+    got = score_texts(make_docs(docs), clustered=20, classes=2).collect()
+    ours, base = (sum(getattr(r, name) for r in got if r.held_out) for name in ("score", "base_score"))
+    assert ours > base + 0.2 * sum(r.n_tokens for r in got if r.held_out)
+
+
 def test_exchange_finds_the_classes():
     rng = np.random.default_rng(2)
     true = rng.permutation(np.arange(40) % 2)
