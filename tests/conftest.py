@@ -22,8 +22,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf():
     return "/root/testdata/sf0.001"
-
-
-def rows(frame):
-    """Rows as sorted tuples of text, for comparison without order."""
-    return sorted(tuple(map(repr, row)) for row in frame.collect())

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from row_text import rows
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 

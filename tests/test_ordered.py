@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from row_text import rows
 from pyspark.sql import functions as F
 
 from palimpsest.operators.ordered import order_rows

@@ -1,7 +1,7 @@
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from row_text import rows
 from pyspark.sql import functions as F
 
 from palimpsest.operators.snapshot_diff import compare_snapshots, diff_summary, largest_gaps

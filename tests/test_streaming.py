@@ -3,7 +3,7 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from row_text import rows
 from pyspark.sql import functions as F
 
 from palimpsest.streaming import landing, rates, revisions

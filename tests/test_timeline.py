@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import rows
+from row_text import rows
 from pyspark.sql import functions as F
 
 from palimpsest.operators.pairing import (cohort_report, pairs_by_key, pairs_by_join, revision_columns,
