@@ -25,6 +25,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -45,7 +46,7 @@ LENGTH = 2048
 OPEN_WINDOWS = 32
 LEAST_CUT = 16
 MERGED = 64
-SLICE = 4 << 20
+SLICE = 8 << 20
 PIECES_OUT = 2048
 # Sequences of merged leftovers are numbered from here, beyond those of any partition.
 MERGED_FROM = 1 << 62
@@ -53,11 +54,13 @@ MERGED_FROM = 1 << 62
 PIECE = "start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long"
 
 
-@lru_cache(maxsize=4)
-def load(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path)
+# A word that ends in a letter and ASCII signs is cut between them, as the vocabulary does; words of
+# letters alone need no rules but lower case. Letters are those of ASCII and Latin-1.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+SIGNS_AFTER = rf"^(?P<stem>[^<]*[{LETTERS}])(?P<signs>[!-&(-/:;=-@\[-`{{-~]+)$"
+STEM = f"^[{LETTERS}]+$"
+JOINED = 200
+KNOWN_STEMS = 1 << 20
 
 
 def expanded(which: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -67,6 +70,73 @@ def expanded(which: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[which] - ends + sizes, sizes)
 
 
+def flat_ids(model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, and where each text's begin."""
+    lists = [encoding.ids for encoding in model.encode_batch_fast(texts, add_special_tokens=False)]
+    begin = np.zeros(len(lists) + 1, np.int64)
+    np.cumsum([*map(len, lists)], out=begin[1:])
+    return np.fromiter(chain.from_iterable(lists), np.int32, begin[-1]), begin
+
+
+class Encoder:
+    """The tokenizer of a file for whole words, and for lower-case stems, many at once. It remembers
+    the first KNOWN_STEMS stems that its worker meets; others are encoded again when they return."""
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        self.whole, self.stems = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.stems.normalizer = normalizers.Sequence([])
+        self.stems.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.stems.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[at for name, at in vocabulary.items() if name.endswith("</w>")]] = True
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.begin = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def new_stems(self, stems: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        listed = stems.to_pylist()
+        ids, _ = flat_ids(self.stems, [" ".join(listed[at:at + JOINED]) for at in range(0, len(listed), JOINED)])
+        begin = np.r_[0, np.flatnonzero(self.last[ids]) + 1]
+        if len(begin) != len(listed) + 1:
+            raise ValueError("the vocabulary does not mark the ends of words")
+        return ids, begin
+
+    def encode_stems(self, stems: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct stems in lower case, and where each one's begin."""
+        place = pc.index_in(stems, self.known)
+        new = stems.filter(place.is_null())
+        new_ids, new_begin = self.new_stems(new)
+        which = place.fill_null(-1).to_numpy().astype(np.int64)
+        which[which < 0] = len(self.known) + np.arange(len(new))
+        ids, begin = np.r_[self.ids, new_ids], np.r_[self.begin, new_begin[1:] + self.begin[-1]]
+        if len(begin) <= KNOWN_STEMS:
+            self.known, self.ids, self.begin = pa.concat_arrays([self.known, new]), ids, begin
+        return ids[expanded(which, begin)], np.r_[0, np.cumsum(np.diff(begin)[which])]
+
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, and where each word's begin."""
+        cut = pc.extract_regex(words, SIGNS_AFTER)
+        halves = [pc.coalesce(pc.struct_field(cut, "stem"), words), pc.coalesce(pc.struct_field(cut, "signs"), "")]
+        parts = pa.concat_arrays([half.cast(pa.large_string()) for half in halves]).dictionary_encode()
+        is_stem = pc.match_substring_regex(parts.dictionary, STEM)
+        stems = pc.utf8_lower(parts.dictionary.filter(is_stem)).dictionary_encode()
+        ids, begin = self.encode_stems(stems.dictionary)
+        more_ids, more_begin = flat_ids(self.whole, parts.dictionary.filter(pc.invert(is_stem)).to_pylist())
+        is_stem = is_stem.to_numpy(zero_copy_only=False)
+        place = np.empty(len(is_stem), np.int64)
+        place[is_stem] = stems.indices.to_numpy()
+        place[~is_stem] = len(begin) - 1 + np.arange(len(more_begin) - 1)
+        begin = np.r_[begin, more_begin[1:] + begin[-1]]
+        which = place[parts.indices.to_numpy()].reshape(2, -1).T.ravel()
+        marks = np.r_[0, np.cumsum(np.diff(begin)[which])]
+        return np.r_[ids, more_ids][expanded(which, begin)], marks[::2]
+
+
+load = lru_cache(maxsize=4)(Encoder)
+
+
 def encode_words(texts: pa.Array, path: str, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each followed by ``end``, and where each text's begin.
 
@@ -75,15 +145,10 @@ def encode_words(texts: pa.Array, path: str, end: int) -> tuple[np.ndarray, np.n
     """
     words = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
     split = words.flatten().dictionary_encode()
-    found = load(path).encode_batch_fast(split.dictionary.to_pylist(), add_special_tokens=False)
-    ids = [encoding.ids for encoding in found]
-    begin = np.zeros(len(ids) + 2, np.int64)
-    np.cumsum([*map(len, ids), 1], out=begin[1:])
-    values = np.empty(begin[-1], np.int32)
-    values[:-1] = np.fromiter((x for word in ids for x in word), np.int32, len(values) - 1)
-    values[-1] = end
+    values, begin = load(path).encode(split.dictionary)
+    values, begin = np.append(values, np.int32(end)), np.append(begin, begin[-1] + 1)
     firsts = words.offsets.to_numpy() - words.offsets[0].as_py()
-    which = np.insert(split.indices.to_numpy(), firsts[1:], len(ids))
+    which = np.insert(split.indices.to_numpy(), firsts[1:], len(begin) - 2)
     marks = np.r_[0, np.cumsum(np.diff(begin)[which])]
     return values[expanded(which, begin)], marks[firsts + np.arange(len(firsts))]
 

@@ -42,7 +42,7 @@ def check(rows, texts, length):
 
 
 TEXTS = ["a b", "", None, "  \t\n ", "x" * 3000, "Ünïcode 漢字 ﬁ é <|endoftext|> it's", "word " * 5000,
-         "ΑΣ ὈΔΥΣΣΕΎΣ x y\u0085z᠎ w\x1cq"]
+         "a<|endoftext|>. don't! x's. ab<c>, ÿŸ. µ. 1a; re've... ÉÀß", "ΑΣ ὈΔΥΣΣΕΎΣ x y\u0085z᠎ w\x1cq"]
 
 
 @pytest.mark.parametrize("length,windows,least", [(2048, 32, 16), (64, 4, 8), (16, 1, 1)])
