@@ -11,7 +11,8 @@ Vectors are written once, packed in blocks and bucketed by block. A round reads
 bounds of the round before, which are bucketed alike, so the join moves no vector; it writes the
 new bounds (5 bytes a vector and centroid) and, with each block, the sums of its clusters. Only
 sums of all blocks, one row a cluster and component, come to the driver. The assignment of a round
-is read from a written table, so a lost executor changes nothing.
+is read from a written table, so a lost executor changes nothing. At the end the vectors' and bounds'
+tables are dropped; on the way only the last two bounds exist.
 
 Defined cases. Vectors that are null, of another length, or with null or non-finite components take
 no part. Rows that repeat a key are vectors of their own; null keys take part but come last among
@@ -35,7 +36,7 @@ from pyspark.sql.types import StructField, StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from palimpsest.llm.registry import query, table
-from palimpsest.scratch import new_folder
+from palimpsest.scratch import materialise, new_folder
 
 SIZE = 64
 SCALE = 1024
@@ -52,6 +53,7 @@ BUCKETS = 10_000
 SLACK = 1e-6
 
 BLOCK = "block long, n int, keys binary, vectors binary"
+CENTROID = "cluster int, centroid array<long>"
 BOUNDS = "block long, own binary, distances binary, rounds binary, evaluated long, sums array<long>, counts array<long>"
 
 
@@ -241,20 +243,18 @@ def moved_centroids(bounds: DataFrame, last: np.ndarray) -> np.ndarray:
 
 def cluster(frame: DataFrame, key: str = "vec_id", vector: str = "embedding", number: int = CENTROIDS,
             rounds: int = ROUNDS, seed: int = SEED, size: int = SIZE, scale: int = SCALE,
-            report: list | None = None) -> DataFrame:
-    """Key, cluster and squared distance of every vector, and the centroids as an array column.
-
-    ``report`` gets, for each assignment, how many distances were evaluated.
-    """
+            report: list | None = None) -> tuple[DataFrame, DataFrame]:
+    """Key, cluster and squared distance of every vector, a written table; and the components of
+    each centroid. ``report`` gets, for each assignment, how many distances were evaluated."""
     spark = frame.sparkSession
     if not 0 < rounds < 127 or not 0 < number < 1 << 15:
         raise ValueError("rounds below 127 and centroids below 32768")
     rows = usable(frame, key, vector, size, scale)
     key_field = StructField("key", rows.schema["key"].dataType)
-    result = StructType([key_field, *StructType.fromDDL("cluster int, distance long, centroid array<long>")])
+    result = StructType([key_field, *StructType.fromDDL("cluster int, distance long")])
     centroids = first_centroids(rows, number, seed)
     if not len(centroids):
-        return spark.createDataFrame([], result).withColumnRenamed("key", key)
+        return spark.createDataFrame([], result).withColumnRenamed("key", key), spark.createDataFrame([], CENTROID)
     total = rows.count()
     wanted = max(-(-total // BUCKET_ROWS), min(spark.sparkContext.defaultParallelism, -(-total // BLOCK_ROWS)))
     store = Buckets(spark, min(wanted, BUCKETS))
@@ -282,14 +282,15 @@ def cluster(frame: DataFrame, key: str = "vec_id", vector: str = "embedding", nu
                 for centre in range(len(last)):
                     distance[own == centre] = squared(vectors[own == centre], last[centre])
                 keys = pa.ipc.open_stream(batch.column("keys")[at].as_py()).read_all().column(0)
-                # Both sides of the dictionary are small: one list a centroid.
-                lists = pa.array([*last.tolist()], pa.list_(pa.int64())).take(pa.array(own))
                 yield pa.RecordBatch.from_arrays(
                     [keys.combine_chunks().cast(arrow.field("key").type), pa.array(own.astype(np.int32)),
-                     pa.array(distance), lists.cast(arrow.field("centroid").type)], schema=arrow)
+                     pa.array(distance)], schema=arrow)
 
-    return blocks.join(before.select("block", "own"), "block").select("vectors", "own", "keys").mapInArrow(
-        unpack, result).withColumnRenamed("key", key)
+    found = materialise(blocks.join(before.select("block", "own"), "block").select("vectors", "own", "keys").mapInArrow(
+        unpack, result).withColumnRenamed("key", key), "clusters")
+    for name in list(store.names):
+        store.drop(name)
+    return found, spark.createDataFrame([*enumerate(last.tolist())], CENTROID)
 
 
 def _oracle() -> str:
@@ -315,14 +316,13 @@ from a{ROUNDS} a join c{ROUNDS} c on c.k = a.cluster"""
 
 @query("op12_centroid_clustering", _oracle())
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = cluster(table(spark, sf_dir, "embeddings"))
+    found, centroids = cluster(table(spark, sf_dir, "embeddings"))
     # One row a cluster: a bounded table beside the vectors.
-    inertia = found.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"),
-                                           F.first("centroid").alias("centroid"))
-    each = [(row["cluster"], row["cluster_inertia"], hashlib.sha256(",".join(map(str, row["centroid"])).encode()).hexdigest())
-            for row in inertia.collect()]
-    whole = sum(row[1] for row in each)
-    facts = spark.createDataFrame([(*row[:2], whole, row[2]) for row in each],
-                                  "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
-    return found.drop("centroid").join(F.broadcast(facts), "cluster").select(
+    inertia = {row["cluster"]: row["inertia"] for row in found.groupBy("cluster").agg(
+        F.sum("distance").alias("inertia")).collect()}
+    facts = [(row["cluster"], inertia[row["cluster"]], sum(inertia.values()),
+              hashlib.sha256(",".join(map(str, row["centroid"])).encode()).hexdigest())
+             for row in centroids.collect() if row["cluster"] in inertia]
+    facts = spark.createDataFrame(facts, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return found.join(F.broadcast(facts), "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
