@@ -14,7 +14,8 @@ from catalogue.views import E, FLAT
 from palimpsest.functions.content import fingerprint
 from palimpsest.scratch import all_files_there, new_folder
 from palimpsest.session import STATE_STORE
-from palimpsest.streaming import landing, rates, revisions
+from palimpsest.streaming import landing, rates, reorder, revisions, ring, sink
+from palimpsest.streaming.sessions import sessions
 
 SLICES = 3
 ADMITTED = {"maxFilesPerTrigger": "1000"}
@@ -87,6 +88,85 @@ def stream_counters(spark, sf):
     return revisions.counters(tracked(spark, sf), "user_id")
 
 
+# Messages come up to five hours late, the streams wait six; a day of silence ends what is known.
+LATE = "ts + interval '1' minute * (event_id * 7919 % 300)"
+DELAY, QUIET = "6 hours", 24 * 3600
+PASSED = "epoch_ms(ts) < (select epoch_ms(max(ts)) from e) - 6 * 3600000"
+
+
+def late_slices(spark: SparkSession, sf: str, label: str, start) -> str:
+    """Messages in slices by the time they come, which is not that of their production."""
+    messages = spark_view(spark, sf, messages_sql).withColumn("ts", F.col("ts").cast("timestamp"))
+    come = messages.withColumn("comes", F.expr(
+        "ts + make_dt_interval(0, 0, cast(event_id * 7919 % 300 as int))"))
+    return run_slices(come, "comes", label, lambda stream, path, checkpoint: start(
+        stream.drop("comes"), path, checkpoint))
+
+
+@query("stream_reordered", f"""with {E}, w as (select *, lag(ts) over k as pt, lag(magnitude) over k
+  as pm, lag(status) over k as ps from e window k as (partition by user_id order by ts, event_id)),
+kinds as (select *, case when pt is null or epoch_us(ts) - epoch_us(pt) >= {QUIET}000000
+  then 'nouveau' when magnitude is not distinct from pm and status is not distinct from ps
+  then 'repete' else 'revise' end as kind from w)
+select user_id, event_id, ts, magnitude, status, kind,
+  case when kind = 'revise' then pm end as previous_magnitude,
+  case when kind = 'revise' then ps end as previous_status from kinds where {PASSED}""")
+def stream_reordered(spark, sf):
+    """Late rows are put in order and keys are forgotten; what the watermark passed has come out."""
+    out = late_slices(spark, sf, "reordered", lambda stream, path, checkpoint: append_parquet(
+        reorder.reordered_revisions(stream, "user_id", "ts", ["event_id"], DELAY, QUIET), path, checkpoint))
+    return spark.read.parquet(out)
+
+
+SESSION_GAP = "4 hours"
+
+
+@query("stream_sessions", f"""with {E}, marked as (select *, case when epoch_us(ts) - lag(epoch_us(ts))
+  over w < 4 * 3600000000 then 0 else 1 end as opens from e window w as (partition by user_id order by ts)),
+numbered as (select *, sum(opens) over (partition by user_id order by ts) as session from marked)
+select user_id, min(ts) as session_start, max(ts) + interval 4 hours as session_end,
+  count(*) as messages, max(magnitude) as strongest from numbered group by user_id, session
+  having epoch_ms(max(ts)) + 4 * 3600000 <= (select epoch_ms(max(ts)) from e) - 6 * 3600000""")
+def stream_sessions(spark, sf):
+    """Sessions of each user whose end the watermark has passed."""
+    measures = {"messages": F.count(F.lit(1)), "strongest": F.max("magnitude")}
+    out = late_slices(spark, sf, "sessions", lambda stream, path, checkpoint: append_parquet(
+        sessions(stream, ["user_id"], "ts", SESSION_GAP, measures, DELAY), path, checkpoint))
+    return spark.read.parquet(out)
+
+
+@query("stream_latest", f"""with {E} select * from e order by ts desc, event_id desc limit 400""")
+def stream_latest(spark, sf):
+    """The newest messages from rings in the stream's state, one merge over all shards."""
+    schema = []
+
+    def start(stream, path, checkpoint):
+        rings = ring.newest_by_shard(stream, ["ts", "event_id"])
+        schema.append(rings.schema)
+        return sink.start(rings, path, checkpoint)
+
+    out = late_slices(spark, sf, "ring", start)
+    return ring.merge_rings(sink.newest(spark, out, schema[-1], ["shard"]), ["ts", "event_id"], ["ts"])
+
+
+@query("stream_live_counters", f"""with {KINDS} select count(*) as messages_total,
+  count(distinct user_id) as seismes_distincts,
+  count(*) filter (kind = 'nouveau') as premieres_apparitions,
+  count(*) filter (kind = 'revise') as revisions_captees,
+  count(*) filter (kind = 'repete') as repetitions from k""")
+def stream_live_counters(spark, sf):
+    """Totals kept by the stream itself, in place of a batch over what it put out."""
+    schema = []
+
+    def start(stream, path, checkpoint):
+        totals = revisions.running_totals(stream)
+        schema.append(totals.schema)
+        return sink.start(totals, path, checkpoint)
+
+    out = run_slices(tracked(spark, sf), "ts", "totals", start)
+    return revisions.total_counters(sink.newest(spark, out, schema[-1], ["kind"]))
+
+
 @query("rate_per_minute", f"""with {E}, w as (select ts, time_bucket(interval 60 seconds, ts)
   - interval 60 seconds * unnest(range(0, 5)) as window_start from e)
 select window_start, window_start + interval 300 seconds as window_end, count(*) as messages,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -105,3 +105,21 @@ def counters(tracked: DataFrame, key: str) -> DataFrame:
         F.sum("n").alias("messages_total"), F.count(F.lit(1)).alias("seismes_distincts"),
         F.sum("new").alias("premieres_apparitions"),
         F.sum("revised").alias("revisions_captees"), F.sum("repeated").alias("repetitions"))
+
+
+def running_totals(tracked: DataFrame) -> DataFrame:
+    """Messages of each kind so far. On a stream, in update mode, only kinds that changed come out;
+    counts are combined on the map side, and the state has one row a kind."""
+    return tracked.groupBy("kind").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def total_counters(totals: DataFrame) -> DataFrame:
+    """The figures of ``counters`` from totals by kind; where state does not expire, a key has one
+    first appearance."""
+    def of(*kinds: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind").isin(*kinds), F.col("messages"))), F.lit(0))
+
+    return totals.agg(
+        of(NEW, REVISED, REPEATED).alias("messages_total"), of(NEW).alias("seismes_distincts"),
+        of(NEW).alias("premieres_apparitions"), of(REVISED).alias("revisions_captees"),
+        of(REPEATED).alias("repetitions"))
