@@ -28,10 +28,12 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -48,6 +50,7 @@ SLICE = 4 << 20
 # Tokens beside the middle that are tried one by one before the whole interval is looked through.
 PROBES = 6
 SPACE = 0x20
+KNOWN_STRETCHES = 1 << 19
 
 
 def stored_bytes() -> dict[str, int]:
@@ -141,14 +144,50 @@ def encode_distinct(side: Side, distinct: pa.Array) -> tuple[np.ndarray, np.ndar
     ids = side.encode(distinct.to_pylist())
     begin = np.zeros(len(ids) + 1, np.int64)
     np.cumsum([*map(len, ids)], out=begin[1:])
-    values = np.fromiter((x for stretch in ids for x in stretch), np.int64, begin[-1])
+    values = np.fromiter(chain.from_iterable(ids), np.int32, begin[-1])
     spelt = side.spelling.take(pa.array(values))
     marks = spelling_begins(spelt)[begin] if len(values) else np.zeros(len(begin), np.int64)
-    raw, wanted = spelt.buffers()[2], distinct.buffers()[2]
-    raw, wanted = (memoryview(x if x is not None else b"").cast("B") for x in (raw, wanted))
-    at = np.frombuffer(distinct.buffers()[1], np.int64)[:len(distinct) + 1]
-    same = [raw[low:high] == b" " + wanted[a:b] for low, high, a, b in zip(marks, marks[1:], at, at[1:])]
-    return values, begin, np.array(same, bool)
+    wanted, at = bytes_of(distinct)
+    raw = np.frombuffer(spelt.buffers()[2] or b"", np.uint8)
+    same = np.diff(marks) == np.diff(at) + 1
+    long = np.flatnonzero(same)
+    ours, theirs = marks[:-1][long], at[:-1][long]
+    same[long] &= raw[ours] == SPACE
+    sizes = np.diff(at)[long]
+    differ = raw[expanded(ours + 1, ours + 1 + sizes)] != wanted[expanded(theirs, theirs + sizes)]
+    if differ.any():
+        same[np.repeat(long, sizes)[differ]] = False
+    return values, begin, same
+
+
+class Stretches:
+    """What both sides make of stretches. The first KNOWN_STRETCHES that a worker meets are
+    remembered; others are encoded again when they return."""
+
+    def __init__(self, sides: tuple[Side, Side]) -> None:
+        self.sides = sides
+        self.known = pa.array([], pa.large_string())
+        self.encoded = [(np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool)) for _ in sides]
+
+    def encode(self, distinct: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """Numbers of the stretches, and by side all ids, where each number's begin, and which
+        numbers are spelt as they stand."""
+        place = pc.index_in(distinct, self.known)
+        new = distinct.filter(place.is_null())
+        which = place.fill_null(-1).to_numpy().astype(np.int64)
+        which[which < 0] = len(self.known) + np.arange(len(new))
+        both = []
+        for side, (ids, begin, same) in zip(self.sides, self.encoded):
+            new_ids, new_begin, new_same = encode_distinct(side, new)
+            both.append((np.r_[ids, new_ids], np.r_[begin, new_begin[1:] + begin[-1]], np.r_[same, new_same]))
+        if len(self.known) + len(new) <= KNOWN_STRETCHES:
+            self.known, self.encoded = pa.concat_arrays([self.known, new]), both
+        return which, both
+
+
+@lru_cache(maxsize=2)
+def stretches_of(byte_level: str, pieces: str) -> Stretches:
+    return Stretches((byte_level_side(byte_level), piece_side(pieces)))
 
 
 def is_cut(ends: np.ndarray, others: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -192,7 +231,8 @@ def divide(low: np.ndarray, high: np.ndarray, ends: np.ndarray, others: np.ndarr
         leaf = cut < 0
         leaves.append(high[leaf] - 1)
         low, high, cut = low[~leaf], high[~leaf], cut[~leaf]
-        low, high = np.concatenate([low, cut + 1]), np.concatenate([cut + 1, high])
+        # Halves stay in order, so that bisecting meets its neighbours' memory.
+        low, high = np.stack([low, cut + 1], 1).ravel(), np.stack([cut + 1, high], 1).ravel()
     return np.sort(np.concatenate(leaves)) if leaves else np.zeros(0, np.int64)
 
 
@@ -214,17 +254,17 @@ class Aligned:
     links: tuple[np.ndarray, np.ndarray]
 
 
-def align_texts(texts: pa.Array, sides: tuple[Side, Side]) -> Aligned:
+def align_texts(texts: pa.Array, known: Stretches) -> Aligned:
     stretches, first = cut_stretches(texts)
-    which, rows = stretches.indices.to_numpy(), len(texts)
-    encoded = [encode_distinct(side, stretches.dictionary) for side in sides]
+    numbers, encoded = known.encode(stretches.dictionary)
+    which, rows = numbers[stretches.indices.to_numpy()], len(texts)
     row = np.repeat(np.arange(rows), np.diff(first))
     spelt = (encoded[0][2] & encoded[1][2])[which]
     good = np.bincount(row[~spelt], minlength=rows) == 0
     which, row = which[good[row]], row[good[row]]
     ids, begins, ends = [], [], []
-    for side, (values, begin, _) in zip(sides, encoded):
-        ids.append(values[expanded(begin[which], begin[which + 1])])
+    for side, (values, begin, _) in zip(known.sides, encoded):
+        ids.append(values[expanded(begin[which], begin[which + 1])].astype(np.int64))
         ends.append(np.cumsum(side.lengths[ids[-1]]))
         begins.append(ends[-1] - side.lengths[ids[-1]])
     stretch_rows = np.searchsorted(row, np.arange(rows + 1))
@@ -282,8 +322,7 @@ def align(docs: DataFrame, byte_level: str | None = None, pieces: str | None = N
         number = 0
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                sides = (byte_level_side(paths[0]), piece_side(paths[1]))
-                yield _slice_rows(part, sides, number, arrow, pair_type)
+                yield _slice_rows(part, stretches_of(*paths), number, arrow, pair_type)
                 number += 1
 
     written = materialise(narrow.mapInArrow(align_slices, schema), "aligned")
@@ -317,11 +356,11 @@ def align(docs: DataFrame, byte_level: str | None = None, pieces: str | None = N
     return documents, counts
 
 
-def _slice_rows(part: pa.RecordBatch, sides: tuple[Side, Side], number: int, arrow: pa.Schema,
+def _slice_rows(part: pa.RecordBatch, known: Stretches, number: int, arrow: pa.Schema,
                 pair_type: pa.DataType) -> pa.RecordBatch:
     """A row a document, and one more with the slice's distinct pairs."""
     rows = part.num_rows
-    found = align_texts(part.column("text"), sides)
+    found, sides = align_texts(part.column("text"), known), known.sides
     (a, b), (link_a, link_b) = found.ids, found.links
     wide = len(sides[1].lengths)
     pairs, local, times = np.unique(a[link_a] * wide + b[link_b], return_inverse=True, return_counts=True)

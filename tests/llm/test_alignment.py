@@ -10,7 +10,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from palimpsest.llm import alignment
-from palimpsest.llm.alignment import BYTE_LEVEL, PIECES, align, align_texts, byte_level_side, divide, piece_side, stored_bytes
+from palimpsest.llm.alignment import BYTE_LEVEL, PIECES, align, align_texts, divide, stored_bytes, stretches_of
 from palimpsest.llm.queries import QUERIES
 
 A = Tokenizer.from_file(public_tokenizers.path(BYTE_LEVEL))
@@ -101,8 +101,8 @@ def test_divide_finds_all_shared_cuts(seed):
 
 
 def test_intervals_without_cuts_are_groups():
-    found = align_texts(pa.array(["漢字 naïve"]), (byte_level_side(public_tokenizers.path(BYTE_LEVEL)),
-                                                 piece_side(public_tokenizers.path(PIECES))))
+    found = align_texts(pa.array(["漢字 naïve"]), stretches_of(
+        public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES)))
     a, b = plain("漢字 naïve")
     assert (found.ids[0].tolist(), found.ids[1].tolist()) == ([x for x, *_ in a], [y for y, *_ in b])
 
