@@ -45,6 +45,8 @@ LEAST_DEPTH = 2
 REGION = 8
 LEADERS = 1
 CENTRAL_DOCS = 32
+STRAYS = 256
+SHINGLES_HELD = 1 << 20
 SIMILARITY = 75  # per cent
 RARITY_BUCKETS = 1 << 20
 _SETS = "doc_id long, n_shingles long, lead long, set_a long, set_b long, signature binary"
@@ -105,7 +107,7 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each tree: its number and signature as one sortable key."""
     width = 4 * DEPTH
     for batch in batches:
-        docs = batch.column("doc_id").to_numpy()
+        docs, sizes = batch.column("doc_id").to_numpy(), batch.column("n_shingles").to_numpy()
         sets = batch.column("set_a").to_numpy()
         signs = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(-1, TREES, width)
         for tree in range(TREES):
@@ -113,7 +115,8 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key[:, 0], key[:, 1:] = tree, signs[:, tree]
             keys = pa.FixedSizeBinaryArray.from_buffers(
                 pa.binary(width + 1), len(docs), [None, pa.py_buffer(key.tobytes())]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([keys, pa.array(sets), pa.array(docs)], ["key", "set_a", "doc_id"])
+            yield pa.RecordBatch.from_arrays([keys, pa.array(sets), pa.array(docs), pa.array(sizes)],
+                                             ["key", "set_a", "doc_id", "n_shingles"])
 
 
 def region_pairs(keys: np.ndarray, fresh: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,37 +185,53 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = np.frombuffer(b"".join(batch.column("key").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
         keys = np.concatenate([raw[:, :1].astype(np.int64),
                                np.ascontiguousarray(raw[:, 1:]).view(">u4").astype(np.int64)], axis=1)
-        sets, docs, fresh = batch.column("set_a").to_numpy(), batch.column("doc_id").to_numpy(), 0
+        sets, docs, sizes = (batch.column(name).to_numpy() for name in ("set_a", "doc_id", "n_shingles"))
+        fresh = 0
         if held is not None:
-            keys, sets, docs = (np.concatenate(x) for x in zip(held, (keys, sets, docs)))
+            keys, sets, docs, sizes = (np.concatenate(x) for x in zip(held, (keys, sets, docs, sizes)))
             fresh = len(held[1])
         same = np.r_[False, (sets[1:] == sets[:-1]) & (keys[1:] == keys[:-1]).all(axis=1)]
         fresh -= int(same[:fresh].sum())
-        keys, sets, docs = keys[~same], sets[~same], docs[~same]
+        keys, sets, docs, sizes = keys[~same], sets[~same], docs[~same], sizes[~same]
         left, right, prefix = region_pairs(keys, fresh)
         heads, members, dense, central = leader_pairs(prefix)
         new = np.maximum(heads, members) >= fresh
         left, right = np.concatenate([left, heads[new]]), np.concatenate([right, members[new]])
         low, high = np.minimum(docs[left], docs[right]), np.maximum(docs[left], docs[right])
-        other = low != high
-        yield _rows(low[other], high[other], PAIR)
+        may = (low != high) & may_be_alike(sizes[left], sizes[right])
+        yield _rows(low[may], high[may], PAIR, np.zeros(int(may.sum()), np.int64))
         # The first and the last region may go on in another batch or task.
         own = keys[fresh:, :LEAST_DEPTH + 1]
         open_ = np.r_[np.zeros(fresh, bool), (own == own[:1]).all(axis=1) | (own == own[-1:]).all(axis=1)]
         at = np.flatnonzero((dense | open_) & (np.arange(len(keys)) >= fresh))
         region = mix(mix(keys[at, 0].astype(np.uint64) << np.uint64(32) ^ keys[at, 1].astype(np.uint64))
                      ^ keys[at, 2].astype(np.uint64)).view(np.int64)
-        yield _rows(docs[at], region, np.where(central[at], CENTRAL, MEMBER))
-        held = (keys[-REGION:], sets[-REGION:], docs[-REGION:])
+        yield _rows(docs[at], region, np.where(central[at], CENTRAL, MEMBER), sizes[at])
+        held = (keys[-REGION:], sets[-REGION:], docs[-REGION:], sizes[-REGION:])
 
 
 # Kinds of rows that a scan of an order gives: lo and hi are two documents, or one and its region.
 PAIR, MEMBER, CENTRAL = 0, 1, 2
 
 
-def _rows(low: np.ndarray, high: np.ndarray, kind: int | np.ndarray) -> pa.RecordBatch:
+def _rows(low: np.ndarray, high: np.ndarray, kind: int | np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
     kinds = np.broadcast_to(np.asarray(kind, np.int32), len(low))
-    return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(kinds)], ["lo", "hi", "kind"])
+    return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(kinds), pa.array(sizes)],
+                                      ["lo", "hi", "kind", "size"])
+
+
+def may_be_alike(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can have enough in common."""
+    return np.minimum(one, other) * 100 >= SIMILARITY * np.maximum(one, other)
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets, as sorted distinct fingerprints, have enough in common."""
+    if not len(a) or not may_be_alike(len(a), len(b)):
+        return False
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= SIMILARITY * (len(a) + len(b) - common)
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,25 +239,18 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batch, "text_lo"):
             ours, theirs = (shingle_sets(cut(piece.column(name), NOT_SPACE, lower=True))
                             for name in ("text_lo", "text_hi"))
-            keep = []
-            for a, b in zip(ours, theirs):
-                if min(len(a), len(b)) * 100 < SIMILARITY * max(len(a), len(b)) or not len(a):
-                    keep.append(False)
-                    continue
-                both = np.sort(np.concatenate([a, b]), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= SIMILARITY * (len(a) + len(b) - common))
+            keep = [alike(a, b) for a, b in zip(ours, theirs)]
             kept = piece.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("lo"), kept.column("hi")], ["lo", "hi"])
 
 
 def scan_orders(sets: DataFrame) -> DataFrame:
     """What the sorted orders show, each row once: candidate pairs, members of dense regions."""
-    orders = sets.where("signature is not null").select("doc_id", "set_a", "signature").mapInArrow(
-        _orders, "key binary, set_a long, doc_id long")
+    orders = sets.where("signature is not null").select("doc_id", "set_a", "n_shingles", "signature").mapInArrow(
+        _orders, "key binary, set_a long, doc_id long, n_shingles long")
     sorted_orders = orders.repartitionByRange("key", "set_a", "doc_id").sortWithinPartitions("key", "set_a", "doc_id")
-    return sorted_orders.mapInArrow(_neighbours, "lo long, hi long, kind int").groupBy("lo", "hi", "kind").agg(
-        F.count(F.lit(1)).alias("times"))
+    return sorted_orders.mapInArrow(_neighbours, "lo long, hi long, kind int, size long").groupBy(
+        "lo", "hi", "kind").agg(F.max("size").alias("size"))
 
 
 def confirmed_links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -253,25 +265,52 @@ def _regions(seen: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The documents of dense regions with their components; the largest component of each region,
     and whether it is the only one."""
     region = seen.where(F.col("kind") != PAIR).join(found, F.col("lo") == F.col("node"), "left").select(
-        F.col("lo").alias("doc"), F.col("hi").alias("region"), "kind",
+        F.col("lo").alias("doc"), F.col("hi").alias("region"), "kind", "size",
         F.coalesce("component", "lo").alias("own"))
     largest = region.groupBy("region", "own").agg(F.count(F.lit(1)).alias("size")).groupBy("region").agg(
         F.max_by("own", F.struct("size", -F.col("own"))).alias("whole"), (F.count(F.lit(1)) == 1).alias("only"))
     return region, largest
 
 
-def central_pairs(seen: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs for documents that a dense region holds beside its largest component: each with the
-    ``CENTRAL_DOCS`` most central documents of that component, those that end the heaviest paths
-    of most orders. Linear in the documents of dense regions."""
+def central_links(texts: DataFrame, seen: DataFrame, found: DataFrame) -> DataFrame:
+    """Links of documents that a dense region holds beside its largest component: each meets the
+    ``CENTRAL_DOCS`` most central documents of that component, those that end the heaviest paths of
+    most orders. A group is some of a component's strays, at most STRAYS or SHINGLES_HELD shingles
+    of several, beside all its central documents, so a stray's text is sent once and not once for
+    each of them."""
     region, largest = _regions(seen, found)
     votes = region.where(F.col("kind") == CENTRAL).groupBy("own", "doc").agg(F.count(F.lit(1)).alias("votes"))
     best = Window.partitionBy("own").orderBy(F.desc("votes"), "doc")
     heads = votes.withColumn("place", F.row_number().over(best)).where(F.col("place") <= CENTRAL_DOCS).select(
-        F.col("own").alias("whole"), F.col("doc").alias("head"))
-    strays = region.join(largest, "region").where("own <> whole").select("doc", "whole").distinct()
-    return strays.join(heads, "whole").select(
-        F.least("doc", "head").alias("lo"), F.greatest("doc", "head").alias("hi")).where("lo <> hi").distinct()
+        F.col("own").alias("whole"), "doc")
+    strays = materialise(region.join(largest, "region").where("own <> whole").groupBy("doc", "whole").agg(
+        F.max("size").alias("size")), "strays")
+    parts = strays.groupBy("whole").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / STRAYS), F.ceil(F.sum("size") / SHINGLES_HELD)).cast("int").alias("parts"))
+    held = texts.select("doc_id", "text")
+    ours = strays.join(parts, "whole").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")).join(
+        held, F.col("doc") == F.col("doc_id")).select("whole", "part", "doc", "text")
+    theirs = heads.join(parts, "whole").join(held, F.col("doc") == F.col("doc_id")).select(
+        F.col("whole").alias("whole_of"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part_of"),
+        F.col("doc").alias("head"), F.col("text").alias("head_text"))
+    return materialise(ours.groupBy("whole", "part").cogroup(theirs.groupBy("whole_of", "part_of")).applyInArrow(
+        _meet, "lo long, hi long"), "central")
+
+
+def _meet(strays: pa.Table, heads: pa.Table) -> pa.Table:
+    low, high = [], []
+    sides = []
+    for side, doc, text in ((strays, "doc", "text"), (heads, "head", "head_text")):
+        docs = side.column(doc).to_pylist()
+        sets = [found for batch in side.to_batches() for piece in slices(batch, text)
+                for found in shingle_sets(cut(piece.column(text), NOT_SPACE, lower=True))]
+        sides.append(list(zip(docs, sets)))
+    for doc, mine in sides[0]:
+        for head, theirs in sides[1]:
+            if doc != head and alike(mine, theirs):
+                low.append(min(doc, head))
+                high.append(max(doc, head))
+    return pa.table({"lo": pa.array(low, pa.int64()), "hi": pa.array(high, pa.int64())})
 
 
 def _buckets(shingles: np.ndarray) -> np.ndarray:
@@ -359,9 +398,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     seen = materialise(scan_orders(sets), "orders")
     links = confirmed_links(known, seen.where(F.col("kind") == PAIR).select("lo", "hi"))
     found = components(links.unionAll(copies).unionAll(equal))
-    strays = materialise(central_pairs(seen, found), "strays")
-    if not strays.isEmpty():
-        found = materialise(joined_components(found, confirmed_links(known, strays)), "joined")
+    central = central_links(known, seen, found)
+    if not central.isEmpty():
+        found = materialise(joined_components(found, central), "joined")
     apart = materialise(rare_pairs(known, seen, found), "apart")
     if not apart.isEmpty():
         found = joined_components(found, confirmed_links(known, apart))
