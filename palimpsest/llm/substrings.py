@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from palimpsest.llm.membership import divide
 from palimpsest.llm.registry import query, table
 from palimpsest.llm.words import NOT_SPACE, cut, gram_starts, grams, joined, slices
 from palimpsest.scratch import materialise
@@ -212,6 +213,7 @@ def _joined_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """Texts with the list of what is wanted from them: ``wanted`` has doc_id and the wanted struct.
     A document's list is bounded by its own length, for the wanted places are distinct."""
     lists = wanted.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("wanted").alias("wanted"))
+    texts, _ = divide(texts, "doc_id", wanted.select("doc_id"))
     return texts.join(lists, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "wanted")
 
 
@@ -292,9 +294,13 @@ def _kept(batches: Iterator[pa.RecordBatch], report: bool, text: str, names: lis
 
 
 def _marked(docs: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
-    spans = repeated_paths(docs, window, doc_id, text).groupBy(F.col("doc_id").alias("__id")).agg(
+    """The documents with their spans; those without any are not sent anywhere."""
+    paths = materialise(repeated_paths(docs, window, doc_id, text).select("doc_id", "start", "stop"), "spans")
+    spans = paths.groupBy(F.col("doc_id").alias("__id")).agg(
         F.collect_list(F.struct("start", "stop")).alias("__spans"))
-    return docs.join(spans, docs[doc_id].cast("long") == F.col("__id"), "left").drop("__id")
+    may, rest = divide(docs, doc_id, paths.select("doc_id"))
+    found = may.join(spans, may[doc_id].cast("long") == F.col("__id"), "left").drop("__id")
+    return found.unionAll(rest.withColumn("__spans", F.lit(None).cast(found.schema["__spans"].dataType)))
 
 
 def removal_report(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
