@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogue.registry import query, table
+from catalogue.registry import ORACLES, query, table
 from catalogue.views import (CEILING, E, FAMILY, FLAT, G, H, I, L, N, PAIRED, RANKED, V,
                              VERSION_ORDER, features_sql, identities_sql, messages_sql,
                              reports_sql, rings_sql, spark_view, versions_sql)
@@ -14,13 +14,15 @@ from palimpsest.functions.geometry import bar_height, sphere_point
 from palimpsest.functions.identifiers import canonical_key, split_aliases
 from palimpsest.functions.scales import (display_ceiling, family_of, is_reference,
                                          is_saturated, saturation_of)
-from palimpsest.operators import identity, live, pairing, profiles, thresholds, timeline
+from palimpsest.operators import identity, live, pairing, profiles, sketches, thresholds, timeline
 from palimpsest.operators import witness as reports
+from palimpsest.operators.digests import bucket_number, compare_states, store_state
 from palimpsest.operators.normalise import flatten_features, union_sources
 from palimpsest.operators.rings import compact_rings
-from palimpsest.operators.snapshot_diff import compare_snapshots, diff_summary, largest_gaps
+from palimpsest.operators.skew import same_keys
+from palimpsest.operators.snapshot_diff import COMPARED, compare_snapshots, diff_summary, largest_gaps
 from palimpsest.plans.bundle import build_bundle
-from palimpsest.scratch import all_files_there, materialise
+from palimpsest.scratch import all_files_there, materialise, new_folder
 from palimpsest.sources.schemas import FEATURE
 from palimpsest.streaming.revisions import batch_revisions
 
@@ -499,6 +501,24 @@ def review_lag(spark, sf):
     return profiles.review_lag(current_events(spark, sf), exact=True)
 
 
+SKETCHED = {"median_within": ("lag", 0.5), "p90_within": ("lag", 0.9)}
+
+
+@query("review_lag_sketched", LAG_SQL + """ select review_status, magnitude_family, events as n_lag,
+  true as median_within, true as p90_within from lags""")
+def review_lag_sketched(spark, sf):
+    """Marks from sketches by month of the event, and whether each is within its rank error."""
+    lags = profiles.review_lags(current_events(spark, sf), "event_time")
+    by_month = materialise(sketches.sketch_by_period(
+        lags, profiles.LAG_GROUPS, F.trunc("event_time", "month"), ["lag"]), "sketches")
+    marks = materialise(sketches.merged_quantiles(by_month, profiles.LAG_GROUPS, SKETCHED), "marks")
+    within = sketches.within_error(lags, marks, profiles.LAG_GROUPS, SKETCHED, sketches.rank_error())
+    counts = marks.select(*profiles.LAG_GROUPS, "n_lag")
+    # Report sized: one row per group on both sides.
+    return within.join(counts, same_keys(within, counts, profiles.LAG_GROUPS)).select(
+        *[within[name] for name in within.columns], "n_lag")
+
+
 @query("lag_units", LAG_SQL + """ select review_status, magnitude_family, lag_median_minutes,
   round(lag_median_minutes / 60, 1) as lag_median_hours,
   round(lag_median_minutes / 1440, 1) as lag_median_days from lags""")
@@ -575,6 +595,18 @@ def resolve_identities(spark, sf):
     return identity.resolve_identities(records, "usgs_id", "aliases").drop("aliases")
 
 
+@query("resolve_identities_increment", ORACLES["resolve_identities"])
+def resolve_identities_increment(spark, sf):
+    """The records come in three batches, by ranges of their identifier."""
+    records = spark_view(spark, sf, identities_sql).select(
+        "usgs_id", split_aliases(F.col("ids")).alias("aliases"))
+    low, high = F.col("usgs_id") < "us3", F.col("usgs_id") >= "us6"
+    known = identity.no_identities(spark)
+    for batch in (low, high, ~low & ~high):
+        known = identity.extend_identities(known, records.filter(batch), "usgs_id", "aliases")
+    return identity.resolved_by(known, records, "usgs_id", "aliases").drop("aliases")
+
+
 # Witnesses ----------------------------------------------------------------------------------
 
 WITNESS = PAIRED + f""", {H}, w as (select r.event_id, cohort, shift, shift_abs, felt_reports,
@@ -662,6 +694,16 @@ def snapshot_diff(spark, sf):
     return difference(spark, sf)
 
 
+@query("snapshot_diff_by_digest", ORACLES["snapshot_diff"])
+def snapshot_diff_by_digest(spark, sf):
+    """The same from two stored states, of which only unequal buckets are read."""
+    before, after = state_at(spark, sf, FIRST_STATE, False), state_at(spark, sf, SECOND_STATE, True)
+    buckets = bucket_number(table(spark, sf, "orders").count())
+    return compare_states(*[
+        store_state(state, new_folder(spark, label), "event_key", COMPARED, buckets)
+        for label, state in (("before", before), ("after", after))])
+
+
 @query("snapshot_diff_summary", f"with {DIFF} select statut, count(*) as count from d group by 1")
 def snapshot_diff_summary(spark, sf):
     return diff_summary(difference(spark, sf, keep_unchanged=True))

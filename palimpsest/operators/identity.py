@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.functions.identifiers import AUTOMATIC_PREFIX, has_automatic_alias
@@ -48,15 +49,27 @@ def resolve_identities(records: DataFrame, identifier: str, aliases: str,
     a map-combined minimum per node and a lookup of that minimum, in which hot nodes are not
     shuffled. Rounds are cut by written tables; they end when the edges no longer change.
     """
+    rooted = _rooted(records, identifier, aliases)
+    labels = _labels(rooted.select("_root", F.explode("_known").alias("hi")).filter("hi <> _root")
+                     .select("hi", F.col("_root").alias("lo")), rows_per_task)
+    return (lookup(rooted, labels.select(F.col("hi").alias("_root"), F.col("lo").alias("_label")),
+                   ["_root"], "left", rows_per_task)
+            .withColumn("resolved_key", F.coalesce("_label", "_root"))
+            .select(*records.columns, "resolved_key"))
+
+
+def _rooted(records: DataFrame, identifier: str, aliases: str) -> DataFrame:
+    """Records with their sorted distinct identifiers and the smallest of them."""
     listed = F.coalesce(F.col(aliases), F.array().cast(records.schema[aliases].dataType))
     known = F.array_sort(F.array_distinct(F.array_compact(
         F.array_append(listed, F.col(identifier)))))
-    rooted = records.withColumn("_known", known).withColumn(
+    return records.withColumn("_known", known).withColumn(
         "_root", F.try_element_at("_known", F.lit(1)))
-    edges = materialise(
-        rooted.select("_root", F.explode("_known").alias("hi")).filter("hi <> _root")
-        .select("hi", F.col("_root").alias("lo")).distinct(), "edges")
 
+
+def _labels(pairs: DataFrame, rows_per_task: int) -> DataFrame:
+    """hi, lo: the smallest node that each node is joined with; smallest nodes have no row."""
+    edges = materialise(pairs.distinct(), "edges")
     seen = None
     while (mark := _signature(edges)) != seen:
         seen = mark
@@ -65,10 +78,64 @@ def resolve_identities(records: DataFrame, identifier: str, aliases: str,
             return lookup(rows, facts, [key], "inner", rows_per_task, at_most=mark[0])
 
         edges = materialise(_small_star(_large_star(edges, meet), meet), "edges")
-    labels = edges.select(F.col("hi").alias("_root"), F.col("lo").alias("_label"))
-    return (lookup(rooted, labels, ["_root"], "left", rows_per_task)
-            .withColumn("resolved_key", F.coalesce("_label", "_root"))
-            .select(*records.columns, "resolved_key"))
+    return edges
+
+
+@dataclass(frozen=True)
+class Identities:
+    """What is known after some batches. ``nodes`` (node, label) gets rows and never changes one;
+    ``moved`` (label, component) says which labels have been joined with a smaller one since."""
+
+    nodes: DataFrame
+    moved: DataFrame
+
+
+def no_identities(spark: SparkSession) -> Identities:
+    return Identities(spark.createDataFrame([], "node string, label string"),
+                      spark.createDataFrame([], "label string, component string"))
+
+
+def extend_identities(known: Identities, records: DataFrame, identifier: str, aliases: str,
+                      rows_per_task: int = ROWS_PER_TASK) -> Identities:
+    """Identities after one more batch of records. Stored components are contracted to one node
+    each, so only edges of the batch are walked, however large the components are that they join.
+
+    The batch's identifiers are looked up in ``nodes``; the new rows are written as a table of
+    their own beside the old ones. Rows of hot identifiers are not shuffled.
+    """
+    rooted = _rooted(records, identifier, aliases)
+    stars = materialise(rooted.filter("_root is not null").select(
+        F.col("_root").alias("root"), F.explode("_known").alias("node")).distinct(), "stars")
+    mine = stars.select("node").distinct()
+    labelled = mine.join(known.nodes, "node", "left").join(known.moved, "label", "left").select(
+        "node", F.coalesce("component", "label", "node").alias("at"), F.col("label").isNull().alias("new"))
+    labelled = materialise(labelled, "labelled")
+
+    def at(rows: DataFrame, name: str, end: str) -> DataFrame:
+        return lookup(rows, labelled.select(F.col("node").alias(name), F.col("at").alias(end)), [name], "inner", rows_per_task)
+
+    contracted = at(at(stars, "node", "one"), "root", "other").filter("one <> other").select(
+        F.greatest("one", "other").alias("hi"), F.least("one", "other").alias("lo"))
+    labels = _labels(contracted, rows_per_task).select(F.col("hi").alias("old"), F.col("lo").alias("least"))
+    joined = labelled.join(labels, F.col("at") == F.col("old"), "left")
+    new = materialise(joined.filter("new").select("node", F.coalesce("least", "at").alias("label")), "nodes")
+    again = known.moved.join(labels, F.col("component") == F.col("old"), "left").select(
+        "label", F.coalesce("least", "component").alias("component"))
+    first = joined.filter(~F.col("new") & F.col("least").isNotNull()).select(
+        F.col("at").alias("label"), F.col("least").alias("component")).distinct()
+    return Identities(known.nodes.unionAll(new), materialise(again.unionAll(first), "moved"))
+
+
+def resolved_by(known: Identities, records: DataFrame, identifier: str, aliases: str,
+                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Add ``resolved_key`` to records of batches that are in ``known``."""
+    rooted = _rooted(records, identifier, aliases)
+    labelled = lookup(rooted, known.nodes.select(F.col("node").alias("_root"), F.col("label").alias("_label")),
+                      ["_root"], "left", rows_per_task)
+    found = lookup(labelled, known.moved.select(F.col("label").alias("_label"), "component"), ["_label"], "left",
+                   rows_per_task)
+    return found.withColumn("resolved_key", F.coalesce("component", "_label", "_root")).select(
+        *records.columns, "resolved_key")
 
 
 def _signature(edges: DataFrame) -> tuple:

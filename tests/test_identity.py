@@ -2,7 +2,9 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from row_text import rows
 
+from palimpsest.operators import identity
 from palimpsest.operators.identity import identity_history, identity_loss, resolve_identities
 
 
@@ -71,3 +73,45 @@ def test_identity_changed_needs_a_replaced_automatic_identifier(spark):
            for r in history.collect()}
     assert got == {"a": (2, True, True), "b": (1, True, False), "c": (1, False, False)}
     assert identity_loss(history).first() == (3, 2, 1, 66.7, 33.3)
+
+
+def increments(spark, batches):
+    known = identity.no_identities(spark)
+    for batch in batches:
+        known = identity.extend_identities(known, spark.createDataFrame(batch, RECORDS), "id", "aliases")
+    return known
+
+
+RECORDS = "id string, aliases array<string>"
+
+
+def test_batches_give_what_the_whole_gives(spark):
+    rng = random.Random(9)
+    data = [(f"r{at:03}", rng.choice([None, [], [f"x{rng.randrange(60)}", None, f"x{rng.randrange(60)}"]]))
+            for at in range(120)]
+    data += [(None, ["x5", "zz"]), (None, None), ("r003", ["x1"]), ("r003", ["x1"])]
+    rng.shuffle(data)
+    batches = [data[:20], data[20:21], [], data[21:70], data[70:], data[:5]]
+    batches = [batch or [(None, None)] for batch in batches]
+    whole = spark.createDataFrame(data, RECORDS)
+    expected = identity.resolve_identities(whole, "id", "aliases")
+    known = increments(spark, batches)
+    assert rows(identity.resolved_by(known, whole, "id", "aliases")) == rows(expected)
+    assert known.nodes.count() == known.nodes.select("node").distinct().count()
+    assert known.moved.count() == known.moved.select("label").distinct().count()
+
+
+def test_a_batch_walks_its_own_edges(spark, monkeypatch):
+    """A long stored chain is one node to the batch that joins it with another."""
+    chain = [(f"a{at:03}", [f"a{at + 1:03}"]) for at in range(60)]
+    other = [(f"b{at:03}", [f"b{at + 1:03}"]) for at in range(60)]
+    known = increments(spark, [chain, other])
+    walked = []
+    plain = identity._labels
+    monkeypatch.setattr(identity, "_labels", lambda pairs, rows: walked.append(pairs.count()) or plain(pairs, rows))
+    known = identity.extend_identities(known, spark.createDataFrame([("a030", ["b040", "new"])], RECORDS), "id", "aliases")
+    assert walked == [2]
+    found = identity.resolved_by(known, spark.createDataFrame([("b059", []), ("new", None), ("a060", None)], RECORDS),
+                                 "id", "aliases")
+    assert {row.resolved_key for row in found.collect()} == {"a000"}
+    assert known.moved.count() == 1
