@@ -55,6 +55,14 @@ def materialise(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Remove the files of a table that ``materialise`` gave and nothing reads any more."""
+    spark = frame.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def all_files_there(frame: DataFrame) -> bool:
     """Whether the files of a table that was read back still exist."""
     spark = frame.sparkSession
