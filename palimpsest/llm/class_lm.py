@@ -3,10 +3,12 @@
 Counts come from all training documents, and every word of theirs has a class by exchange. The
 ``CLUSTERED`` most frequent words begin, one at a time on the driver, on their bigram counts (at
 most units squared, whatever the corpus); until then the others stand in ``ENDINGS`` classes by
-their last two bytes. Then, ``ROUNDS`` times, words choose in tasks the class that raises the
-likelihood most, on the classes before and after them: the bigrams of words are a table that is
-joined with the classes, hot words by broadcast. A round that does not raise the likelihood is not
-taken. The end of a text has a class of its own; words that training does not have, and only these,
+their last two bytes. Then, ``ROUNDS`` times at most, words choose in tasks the class that raises
+the likelihood most, on the classes before and after them. The first round gives every word its
+class; a later one that does not raise the likelihood is not taken and ends the exchange. How often
+a word has which classes beside it is counted while the text is cut, against the broadcast classes of
+frequent words; a task sends one packed row a word and slice, and only words beside a rarer one meet
+its class in a join. The end of a text has a class of its own; words that training does not have, and only these,
 belong to the ending classes. A text's probability is the product, over its tokens, of the
 probability of the class after the class before, and of the word in its class. Words are known by
 64-bit fingerprints.
@@ -26,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,14 +36,16 @@ from pyspark.sql import functions as F
 from palimpsest.llm.lookup import Lookup
 from palimpsest.llm.registry import query, table
 from palimpsest.llm.words import NOT_SPACE, Words, cut, joined, mix, slices
-from palimpsest.scratch import materialise
+from palimpsest.scratch import discard, materialise
 
-HEAD = 1 << 18
+HEAD = 1 << 20
 CLUSTERED = 1024
 CLASSES = 64
 ENDINGS = 32
 SWEEPS = 4
 ROUNDS = 2
+CONTEXT_SLICE = 8 << 20
+HELD_ROWS = 4096
 ADDED = 0.1
 STEPS = 16  # frequency steps in a factor of two, to find the head
 END = mix(np.array([0x656E64], np.uint64))[0]
@@ -197,61 +202,177 @@ def exchange(bigrams: np.ndarray, clustered: int, classes: int, sweeps: int = SW
     return of
 
 
-def _count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for piece in slices(batch, "text"):
-            words, _, _ = tokens(cut(piece.column("text"), NOT_SPACE, lower=True))
-            before = _before(words, END)
-            _, first, n = _added_up(joined(before, words), np.ones(len(words)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(before[first].view(np.int64)), pa.array(words[first].view(np.int64)), pa.array(n)],
-                ["before", "word", "n"])
+@dataclass
+class Beside:
+    """Classes of frequent words, for counting what stands beside every word. ``hot``: the first
+    words of the head, whose counts a task adds up to its end."""
+
+    head: Lookup
+    words: np.ndarray
+    classes: np.ndarray
+    end_class: int
+    number: int
+    hot: int
+
+
+SEEN = ("word", "at", "times", "beside", "side")
+SEEN_SCHEMA = "word long, at binary, times binary, beside long, side int"
+WORD_SCHEMA = "word long, ending int, n long, class int, hot boolean"
+
+
+def _packed(keys: np.ndarray, times: np.ndarray, word_of) -> pa.RecordBatch:
+    """A row a word from sorted distinct keys (word number times 256 plus place) and their counts."""
+    number = keys >> 8
+    first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    begin = np.r_[first, len(keys)].astype(np.int32)
 
+    def binary(values: np.ndarray, width: int) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(first), [
+            None, pa.py_buffer(begin * np.int32(width)), pa.py_buffer(values.tobytes())])
 
-def word_bigrams(texts: DataFrame) -> DataFrame:
-    """before, word, n. A text begins after an end."""
-    return texts.mapInArrow(_count_bigrams, "before long, word long, n long").groupBy("before", "word").agg(
-        F.sum("n").alias("n"))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(word_of(number[first]).view(np.int64)), binary((keys & 255).astype(np.uint8), 1),
+         binary(times.astype("<u8"), 8), pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.int32())], list(SEEN))
 
 
-def _neighbour_class(bigrams: DataFrame, known: DataFrame, neighbour: str) -> DataFrame:
-    """The bigrams with the class of one side. Hot words are broadcast."""
-    of = known.select(F.col("word").alias("of"), "class")
-    hot = F.broadcast(known.where("hot").select(F.col("word").alias("of"), "class"))
-    same = F.col(neighbour) == F.col("of")
-    return bigrams.join(hot, same).unionAll(bigrams.join(hot.select("of"), same, "left_anti").select(
-        bigrams.columns).join(of, same).select(*bigrams.columns, "of", "class"))
+def _count_beside(beside) -> callable:
+    """Rows of words with the classes beside them, and rows of words beside one of unknown class."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: Beside = beside.value
+        cells = np.zeros(known.hot << 8, np.int64)
+        for batch in batches:
+            for piece in slices(batch, "text", CONTEXT_SLICE):
+                words, _, _ = tokens(cut(piece.column("text"), NOT_SPACE, lower=True))
+                place = known.head.get(words).astype(np.int64)
+                own = np.where(place >= 0, known.classes[place] if len(known.classes) else 0, -1)
+                own[words == END] = known.end_class
+                others, first = np.unique(words[place < 0], return_inverse=True)
+                place[place < 0] = len(known.words) + first
+                end = np.flatnonzero(words == END)[:1]
+                before = np.r_[place[end], place[:-1]]
+                before_own = np.r_[own[end], own[:-1]]
+                word = np.concatenate([place, before])
+                side = np.concatenate([before_own, own])
+                key = (word << 8) + side
+                key[len(place):] += known.number
+                sure = side >= 0
+                hot = sure & (word < known.hot)
+                cells += np.bincount(key[hot], minlength=len(cells))
+                keys, times = np.unique(key[sure & ~hot], return_counts=True)
+                names = np.concatenate([known.words, others])
+                yield _packed(keys, times, lambda numbers: names[numbers])
+                far = np.flatnonzero(~sure)
+                other = np.concatenate([np.r_[words[end], words[:-1]], words])[far]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[word[far]].view(np.int64)), pa.nulls(len(far), pa.binary()),
+                     pa.nulls(len(far), pa.binary()), pa.array(other.view(np.int64)),
+                     pa.array((far >= len(place)).astype(np.int32))], list(SEEN))
+        keys = np.flatnonzero(cells)
+        yield _packed(keys, cells[keys], lambda numbers: known.words[numbers])
+
+    return count
+
 
+def _merge_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of their words: one row a word, from its facts and all counts of it."""
+    names = ["word", "ending", "n", "class", "hot"]
+    held: pa.Table | None = None
+
+    def merged(rows: pa.Table) -> pa.RecordBatch:
+        word = rows.column("word").to_numpy()
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        number = np.cumsum(np.r_[True, word[1:] != word[:-1]]) - 1
+        at, times = (rows.column(name).combine_chunks() for name in ("at", "times"))
+        sizes = pc.fill_null(pc.binary_length(at), 0).to_numpy()
+        at = np.frombuffer(b"".join(pc.fill_null(at, b"").to_pylist()), np.uint8)
+        times = np.frombuffer(b"".join(pc.fill_null(times, b"").to_pylist()), "<u8")
+        keys, place = np.unique((np.repeat(number, sizes) << 8) + at, return_inverse=True)
+        sums = np.bincount(place, times, len(keys)).astype(np.int64)
+        begin = np.searchsorted(keys, np.arange(len(first) + 1) << 8)
+        facts = rows.filter(rows.column("n").is_valid()).select(names)
+        packed = [pa.array([values[low:high].tobytes() for low, high in zip(begin[:-1], begin[1:])], pa.binary())
+                  for values in ((keys & 255).astype(np.uint8), sums.astype("<u8"))]
+        facts = facts.combine_chunks()
+        # Every word of the texts has one row of facts; a word without counts cannot be.
+        return pa.RecordBatch.from_arrays(
+            [*(facts.column(name).combine_chunks() for name in names), *packed], [*names, "at", "times"])
 
-def contexts(bigrams: DataFrame, known: DataFrame, number: int) -> DataFrame:
-    """``known`` with ``seen``: how often each class is before (its number) and after a word
-    (``number`` and its number). At most twice ``number`` entries a word."""
-    before = _neighbour_class(bigrams, known, "before").select("word", F.col("class").alias("at"), "n")
-    after = _neighbour_class(bigrams, known, "word").select(
-        F.col("before").alias("word"), (F.col("class") + number).alias("at"), "n")
-    each = before.unionAll(after).groupBy("word", "at").agg(F.sum("n").alias("times"))
-    return known.join(each.groupBy("word").agg(F.collect_list(F.struct("at", "times")).alias("seen")), "word")
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        if rows.num_rows:
+            word = rows.column("word").to_numpy()
+            last = int(np.flatnonzero(np.r_[True, word[1:] != word[:-1]])[-1])
+            if last:
+                yield merged(rows.slice(0, last))
+            held = rows.slice(last)
+            if held.num_rows > HELD_ROWS:  # a word that is everywhere: what is known of it so far is added up
+                held = _added_rows(held)
+    if held is not None and held.num_rows:
+        yield merged(held)
+
+
+def _added_rows(rows: pa.Table) -> pa.Table:
+    """The rows of one word as two: its counts, and its facts if they have come."""
+    at = np.frombuffer(b"".join(rows.column("at").drop_null().to_pylist()), np.uint8)
+    times = np.frombuffer(b"".join(rows.column("times").drop_null().to_pylist()), "<u8")
+    sums = np.bincount(at, times, 256).astype("<u8")
+    place = np.flatnonzero(sums)
+    one = rows.slice(0, 1).to_pylist()[0] | {
+        "ending": None, "n": None, "class": None, "hot": None, "at": place.astype(np.uint8).tobytes(),
+        "times": sums[place].tobytes()}
+    return pa.concat_tables([pa.Table.from_pylist([one], rows.schema), rows.filter(rows.column("n").is_valid())])
+
+
+def contexts(texts: DataFrame, known: DataFrame, number: int, end_class: int, head_size: int, hot: int) -> DataFrame:
+    """``known`` with ``at`` and ``times``, a written table: how often each class is before (its number)
+    and after a word (``number`` and its number). A text begins after an end."""
+    spark = texts.sparkSession
+    word, own, n = _head(known, head_size)
+    order = np.lexsort((word, -n))
+    word, own = word[order], own[order].astype(np.int64)
+    beside = Beside(Lookup(word, np.arange(len(word), dtype=np.int32)), word, own, end_class, number, min(hot, len(word)))
+    counted = materialise(texts.mapInArrow(_count_beside(spark.sparkContext.broadcast(beside)), SEEN_SCHEMA), "beside")
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (
+        ("ending", "int"), ("n", "long"), ("class", "int"), ("hot", "boolean"))]
+    near = counted.where("beside is null").select("word", "at", "times", *nothing)
+    place = F.col("class") + F.col("side") * number
+    far = counted.where("beside is not null").select(F.col("word").alias("of"), "beside", "side").join(
+        known.select(F.col("word").alias("beside_word"), "class"), F.col("beside") == F.col("beside_word")).select(
+        F.col("of").alias("word"), place.alias("place")).groupBy("word", "place").agg(
+        F.count(F.lit(1)).alias("each")).select(
+        "word", F.unhex(F.lpad(F.hex("place"), 2, "0")).alias("at"),
+        # The count as eight bytes, the lowest first.
+        F.unhex(F.concat(*[F.lpad(F.hex(F.shiftright("each", 8 * byte).bitwiseAND(F.lit(255))), 2, "0")
+                           for byte in range(8)])).alias("times"), *nothing)
+    facts = known.select("word", F.lit(None).cast("binary").alias("at"), F.lit(None).cast("binary").alias("times"),
+                         "ending", "n", "class", "hot")
+    seen = materialise(near.unionAll(far).unionAll(facts).repartition("word").sortWithinPartitions("word").mapInArrow(
+        _merge_seen, WORD_SCHEMA + ", at binary, times binary"), "contexts")
+    discard(counted)
+    return seen
 
 
 def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, place and count of each entry of ``seen``."""
-    seen = batch.column("seen")
-    flat = seen.flatten()
-    rows = np.repeat(np.arange(batch.num_rows), seen.value_lengths().to_numpy())
-    return rows, flat.field("at").to_numpy().astype(np.int64), flat.field("times").to_numpy()
+    """Row, place and count of each entry."""
+    sizes = pc.binary_length(batch.column("at")).to_numpy()
+    at = np.frombuffer(b"".join(batch.column("at").to_pylist()), np.uint8)
+    times = np.frombuffer(b"".join(batch.column("times").to_pylist()), "<u8")
+    return np.repeat(np.arange(batch.num_rows), sizes), at.astype(np.int64), times.astype(np.int64)
 
 
 def class_bigrams(seen: DataFrame, number: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(number * number, np.int64)
         for batch in batches:
             rows, at, times = _entries(batch)
             own = batch.column("class").to_numpy().astype(np.int64)[rows]
             before = at < number
-            total = np.bincount(at[before] * number + own[before], times[before], number * number).astype(np.int64)
-            pair = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], ["pair", "n"])
+            total += np.bincount(at[before] * number + own[before], times[before], number * number).astype(np.int64)
+        pair = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], ["pair", "n"])
 
-    rows = seen.select("class", "seen").mapInArrow(count, "pair long, n long").groupBy("pair").agg(
+    rows = seen.select("class", "at", "times").mapInArrow(count, "pair long, n long").groupBy("pair").agg(
         F.sum("n").alias("n")).toArrow()
     out = np.zeros(number * number)
     out[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
@@ -306,6 +427,8 @@ def fit(texts: DataFrame, counts: DataFrame, head_size: int = HEAD, clustered: i
         classes: int = CLASSES) -> tuple[Model, DataFrame]:
     """The model, and word, ending, n, class of all words."""
     spark: SparkSession = texts.sparkSession
+    if 2 * (classes + ENDINGS + 1) > 256:
+        raise ValueError("classes before and after a word are numbered in one byte")
     sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).first()
     first = counts.where(F.col("ending") < ENDINGS).orderBy(F.desc("n"), "word").limit(clustered).select(
         "word").toArrow().column("word").to_numpy()
@@ -321,17 +444,21 @@ def fit(texts: DataFrame, counts: DataFrame, head_size: int = HEAD, clustered: i
     known = materialise(counts.join(begun, "word", "left").select(
         "word", "ending", "n", F.coalesce("first", F.col("ending") + classes).alias("class"),
         (F.col("first").isNotNull() | (F.col("ending") == ENDINGS)).alias("hot")), "classes")
-    pairs = materialise(word_bigrams(texts), "bigrams")
-    seen = materialise(contexts(pairs, known, number), "contexts")
+    end_class = classes + ENDINGS
+    seen = contexts(texts, known, number, end_class, head_size, clustered)
     between = class_bigrams(seen, number)
     for turn in range(ROUNDS):
         move = _move(spark.sparkContext.broadcast(between), classes, turn > 0)
-        moved = materialise(seen.mapInArrow(move, known.schema), "classes")
-        seen = materialise(contexts(pairs, moved, number), "contexts")
+        moved = materialise(seen.mapInArrow(move, WORD_SCHEMA), "classes")
+        discard(seen)
+        seen = contexts(texts, moved, number, end_class, head_size, clustered)
         after = class_bigrams(seen, number)
         if turn and _likelihood(after) <= _likelihood(between):
+            discard(moved)
             break
+        discard(known)
         known, between = moved, after
+    discard(seen)
     # After a word that training does not have, classes are as frequent as anywhere.
     after = between.copy()
     after[classes:classes + ENDINGS] = between.sum(axis=0)

@@ -5,7 +5,12 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from palimpsest.llm.class_lm import exchange, score_texts
+from pyspark.sql import functions as F
+
+from palimpsest.llm import class_lm
+from palimpsest.llm.class_lm import (ENDINGS, _entries, _likelihood, _merge_seen, best_classes, class_bigrams, contexts,
+                                     exchange, fit, score_texts, word_counts)
+from palimpsest.llm.words import NOT_SPACE, cut
 
 from llm_samples import ODD_ROWS, words
 
@@ -110,3 +115,109 @@ def test_nothing_to_learn_from(make_docs):
     only = next(at for at in range(1000) if held_out(at))
     row, = score_texts(make_docs([(only, "a b")])).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0) and abs(row.base_score) < 1e-9
+
+
+def token_rows(texts):
+    """Fingerprints and endings of each text's tokens, one text at a time."""
+    import pyarrow as pa
+    return [tuple(x.tolist() for x in class_lm.tokens(cut(pa.array([text or ""]), NOT_SPACE, lower=True))[:2]) for text in texts]
+
+
+def signed(word):
+    return word - (1 << 64) if word >= 1 << 63 else word
+
+
+def training_frame(spark, size=60):
+    texts = [" ".join(words(at % 9, 30 + at % 5) + words(at, 6)) for at in range(size)] + [None, "", "one", "one one"]
+    return texts, spark.createDataFrame([(text,) for text in texts], "text string").repartition(3)
+
+
+@pytest.mark.parametrize("head", [1 << 20, 25])
+def test_classes_beside_words_against_brute_force(spark, head):
+    texts, frame = training_frame(spark)
+    counts = word_counts(frame)
+    known = counts.select("word", "ending", "n", F.pmod("word", F.lit(5)).cast("int").alias("class"), F.lit(False).alias("hot"))
+    own = {row["word"]: row["class"] for row in known.collect()}
+    end = signed(int(class_lm.END))
+    want = Counter()
+    for found, _ in token_rows(texts):
+        found = [signed(word) for word in found]
+        for before, word in zip([end, *found[:-1]], found):
+            want[word, own[before]] += 1
+            want[before, 20 + own[word]] += 1
+    seen = contexts(frame, known, 20, own[end], head, 10)
+    rows = seen.toArrow().combine_chunks().to_batches()[0]
+    at = _entries(rows)
+    word = rows.column("word").to_pylist()
+    got = Counter({(word[row], int(place)): int(times) for row, place, times in zip(*at)})
+    assert got == want and len(word) == len(set(word)) == len(own)
+    between = class_bigrams(seen, 20)
+    assert between.sum() == sum(len(found) for found, _ in token_rows(texts))
+
+
+def test_rows_of_a_word_that_is_everywhere_are_added_up(spark, monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(class_lm, "HELD_ROWS", 5)
+    schema = pa.schema([("word", pa.int64()), ("at", pa.binary()), ("times", pa.binary()), ("ending", pa.int32()),
+                        ("n", pa.int64()), ("class", pa.int32()), ("hot", pa.bool_())])
+    one = {"word": 7, "at": bytes([3, 9]), "times": np.array([1, 300], "<u8").tobytes(), "ending": None, "n": None,
+           "class": None, "hot": None}
+    fact = {"word": 7, "at": None, "times": None, "ending": 1, "n": 5, "class": 2, "hot": True}
+    other = {**one, "word": 8}, {**fact, "word": 8}
+    batches = [pa.RecordBatch.from_pylist(part, schema) for part in (
+        [one] * 4 + [fact], [one] * 6, [], [one, *other])]
+    out = pa.Table.from_batches(_merge_seen(iter(batches)))
+    assert out.column("word").to_pylist() == [7, 8]
+    assert np.frombuffer(out.column("times")[0].as_py(), "<u8").tolist() == [11, 3300]
+    assert out.column("at")[0].as_py() == bytes([3, 9]) and out.column("n").to_pylist() == [5, 5]
+
+
+def test_best_class_of_one_word_against_the_likelihood_of_every_move():
+    """A word beside fixed classes only, so that a move changes no cell of its neighbours."""
+    rng = np.random.default_rng(3)
+    classes, number, moves = 4, 6, set()
+    for _ in range(60):
+        bigrams = rng.integers(0, 9, (9, 9)) * (rng.random((9, 9)) < 0.7)
+        of = np.r_[rng.integers(0, classes, 7), classes, classes + 1]
+        word = int(rng.integers(0, 7))
+        bigrams[word], bigrams[:, word] = 0, 0
+        after, before = rng.integers(1, 9, 2)
+        bigrams[word, 7:], bigrams[7:, word] = (after, before), (before, after)
+
+        def table_of(of):
+            out = np.zeros((number, number))
+            np.add.at(out, (of[:, None], of[None, :]), bigrams)
+            return out
+
+        at = np.array([classes, classes + 1, number + classes, number + classes + 1])
+        best = best_classes(of[[word]].copy(), np.array([after + before]), np.zeros(4, np.int64), at,
+                            np.array([before, after, after, before]), table_of(of), classes)
+        every = [_likelihood(table_of(np.r_[of[:word], own, of[word + 1:]])) for own in range(classes)]
+        assert every[int(best[0])] >= max(every) - 1e-6
+        moves.add(int(best[0]) == of[word])
+    assert moves == {True, False}
+
+
+def test_a_word_without_a_class_takes_the_smallest_of_equal_ones():
+    found = best_classes(np.array([2]), np.array([2]), np.zeros(2, np.int64), np.array([2, 5]), np.array([2, 2]),
+                         np.full((3, 3), 4.0), 2)
+    assert found.tolist() == [0]
+
+
+@pytest.mark.parametrize("head", [1 << 20, 25])
+def test_scores_against_brute_force(spark, make_docs, head):
+    texts = [(at, " ".join(words(at % 9, 30) + words(at, 6)).title()) for at in range(60)] + [
+        (90, None), (91, "never seen words here"), (92, "")]
+    docs = make_docs(texts)
+    rows = {row.doc_id: row for row in score_texts(docs, head_size=head, clustered=30, classes=8).collect()}
+    training = spark.createDataFrame([(text,) for key, text in texts if zlib.crc32(str(key).encode()) % 10], "text string")
+    model, known = fit(training, word_counts(training).cache(), head, 30, 8)
+    facts = {row["word"]: (row["class"], row["n"]) for row in known.collect()}
+    size, end = model.class_size, 8 + ENDINGS
+    for (key, text), (found, ending) in zip(texts, token_rows(text for _, text in texts)):
+        before, score = end, 0.0
+        for word, last in zip(found, ending):
+            own, n = facts.get(signed(word), (8 + last, 0))
+            score += model.log_transition[before, own] + (math.log10(n / size[own]) if n else 0.0)
+            before = own
+        assert math.isclose(rows[key].score, score, abs_tol=1e-6)
