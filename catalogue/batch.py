@@ -14,7 +14,7 @@ from palimpsest.functions.geometry import bar_height, sphere_point
 from palimpsest.functions.identifiers import canonical_key, split_aliases
 from palimpsest.functions.scales import (display_ceiling, family_of, is_reference,
                                          is_saturated, saturation_of)
-from palimpsest.operators import identity, live, pairing, profiles, sketches, thresholds, timeline
+from palimpsest.operators import identity, live, pairing, postings, profiles, sketches, thresholds, timeline
 from palimpsest.operators import witness as reports
 from palimpsest.operators.digests import bucket_number, compare_states, store_state
 from palimpsest.operators.normalise import flatten_features, union_sources
@@ -215,6 +215,13 @@ def search_place(spark, sf):
                              "  PUR ")
 
 
+@query("search_place_indexed", ORACLES["search_place"])
+def search_place_indexed(spark, sf):
+    """The same from posting lists; folders without the trigrams are not read."""
+    rows = spark_view(spark, sf, features_sql).select("id", "origin", "place")
+    return postings.search(postings.build_index(rows, "place", new_folder(spark, "places"), 16, 16), "  PUR ")
+
+
 @query("sphere_points", f"""with {PAIRED}, p as (select event_id, shift,
   radians(90.0 - first_latitude) as phi, radians(first_longitude + 180.0) as theta,
   0.04 + least(abs(shift), 1.6) * 0.34 as height from revised)

@@ -12,9 +12,10 @@ from palimpsest.operators import timeline
 from palimpsest.operators.live import live_features, parse_messages
 from palimpsest.operators.normalise import (active_versions, explode_versions,
                                             flatten_features, project_products, to_envelopes)
+from palimpsest.plans.profile import profile, version_steps
 from palimpsest.scratch import new_folder
 from palimpsest.sources import ingest
-from palimpsest.sources.files import (load_table, read_completed,
+from palimpsest.sources.files import (layer_footprint, load_table, read_completed,
                                       read_documents, read_envelopes, read_versions,
                                       write_table)
 from palimpsest.sources.schemas import ENVELOPE
@@ -170,6 +171,19 @@ def active_versions_query(spark, sf):
             .agg(F.count(F.lit(1)).alias("n"), F.sum("magnitude").alias("total")))
 
 
+@query("stage_profile", f"""with {O}, actives as (select * from o where m is not null
+  and product_status <> 'delete')
+select 'documents' as step, 1 as place, count(*) as rows, 0::bigint as null_keys from v union all
+select 'versions', 2, count(*), 0 from o union all
+select 'actives', 3, count(*), 0 from actives union all
+select 'classees', 4, count(*), 0 from actives""")
+def stage_profile(spark, sf):
+    """Rows of each step, observed in the one run that ranks the versions."""
+    documents = version_documents(spark, sf)
+    keys = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("event_id"))
+    return profile(documents, version_steps(("published_epoch_ms", "contributor_code"), keys), "event_id")
+
+
 @query("project_products", f"""with {V} select event_id::varchar || '-' || l_linenumber || '-'
   || l_partkey || '-' || l_suppkey as event_id, epoch_ms(event_time) as event_time,
   magnitude as current_magnitude, magnitude_type as current_magnitude_type, place,
@@ -335,6 +349,26 @@ def batch_manifest(spark, sf):
     return ingest.batch_manifest(members(spark, sf), answers)
 
 
+LAYERS = {"bronze": ("lineitem", 8), "silver": ("orders", 4), "gold": ("nation", 1)}
+
+
+@query("layer_footprint", f"""select couche, fichiers, true as plausible from (values
+  {", ".join(f"('{layer}', {files})" for layer, (_, files) in LAYERS.items())}) t(couche, fichiers)""")
+def layer_footprint_query(spark, sf):
+    """Files of each layer, and whether their bytes are plausible: no file is empty, and together
+    they have at least a byte for each row."""
+    root = new_folder(spark, "layers")
+    rows = []
+    for layer, (name, files) in LAYERS.items():
+        frame = table(spark, sf, name)
+        frame.repartition(files).write.parquet(f"{root}/{layer}")
+        rows.append(frame.agg(F.lit(layer).alias("of"), F.count(F.lit(1)).alias("lignes")))
+    counted = rows[0].unionAll(rows[1]).unionAll(rows[2])
+    found = layer_footprint(spark, {layer: f"{root}/{layer}" for layer in LAYERS})
+    return found.join(counted, F.col("couche") == F.col("of")).select(
+        "couche", F.col("fichiers").cast("int").alias("fichiers"), (F.col("octets") >= F.col("lignes")).alias("plausible"))
+
+
 # Versioned tables ---------------------------------------------------------------------------
 
 @query("snapshot_write_read", f"""with {V} select cohort, 2 as columns_added,

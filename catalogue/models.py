@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from catalogue.batch import dataset, shifts
 from catalogue.landing import FETCHED, origin_features
-from catalogue.registry import query
+from catalogue.registry import ORACLES, query
+from catalogue.streams import append_parquet, run_slices
 from catalogue.views import FLAT, PAIRED
 from palimpsest.learning import forest, models, scores
 from palimpsest.learning.features import (TARGET, FeatureSet, add_label, missing_indicators,
@@ -22,6 +23,7 @@ from palimpsest.operators.profiles import usable_columns
 from palimpsest.plans import training
 from palimpsest.scratch import all_files_there, materialise, new_folder
 from palimpsest.sources.schemas import ENVELOPE
+from palimpsest.streaming.scoring import score_messages
 
 ABLATED = ("first_magnitude",)
 
@@ -288,3 +290,19 @@ def score_live(spark, sf):
     scored = models.score_live(made.flag.model, records, TRAINING_MINIMUM)
     return scored.select("id", "magnitude", F.col("suspicion").between(0, 100).isNotNull().alias("judged"),
                          "in_domain", F.coalesce(F.col("etat") == "hors_domaine", F.lit(False)).alias("outside"))
+
+
+@query("stream_score_live", ORACLES["score_live"])
+def stream_score_live(spark, sf):
+    """The same from messages that come in slices, each scored as it comes."""
+    made = chain(spark, sf)
+    messages = to_envelopes(origin_features(spark, sf, "live"), F.lit(FETCHED)).select("value").withColumn(
+        "produced", F.timestamp_millis(F.get_json_object("value", "$.raw.properties.time").cast("long")))
+    bounds = made.split[0].select("first_family").distinct().withColumn("minimum", F.lit(TRAINING_MINIMUM))
+    now = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    out = run_slices(messages, "produced", "scored", lambda stream, path, checkpoint: append_parquet(
+        score_messages(stream, ENVELOPE, made.flag.model, bounds, now).select(
+            "id", "magnitude", "suspicion", "in_domain", "etat"), path, checkpoint))
+    return spark.read.parquet(out).select(
+        "id", "magnitude", F.col("suspicion").between(0, 100).isNotNull().alias("judged"),
+        "in_domain", F.coalesce(F.col("etat") == "hors_domaine", F.lit(False)).alias("outside"))
