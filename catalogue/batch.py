@@ -723,6 +723,20 @@ def diff_top_gaps(spark, sf):
     return largest_gaps(difference(spark, sf))
 
 
+# The sections of the bundle are those of other queries, so their sizes are.
+BUNDLED = {"overview": "overview", "cohortes": "cohort_comparison", "familles": "family_transitions",
+           "seismes": "top_shifts", "temoin_humain": "witness_report", "chronologies": "featured_timelines"}
+
+
+@query("bundle_sections", " union all ".join(
+    f"select '{section}' as section, count(*) as entries from ({ORACLES[name]})" for section, name in BUNDLED.items()))
+def bundle_sections(spark, sf):
+    """Entries of each section of the export; a line of a timeline has several."""
+    return report_bundle(spark, sf).where(F.col("section") != "courbe_alerte").groupBy("section").agg(
+        F.sum(F.when(F.col("section") == "chronologies", F.json_array_length("contenu")).otherwise(1)).cast("long")
+        .alias("entries"))
+
+
 # Live records -------------------------------------------------------------------------------
 
 KINDS = E + """, seen as (select *, row_number() over w as pos, lag(magnitude) over w as pm,

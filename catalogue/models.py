@@ -306,3 +306,51 @@ def stream_score_live(spark, sf):
     return spark.read.parquet(out).select(
         "id", "magnitude", F.col("suspicion").between(0, 100).isNotNull().alias("judged"),
         "in_domain", F.coalesce(F.col("etat") == "hors_domaine", F.lit(False)).alias("outside"))
+
+
+# What SQL can say of results that it cannot compute ------------------------------------------
+
+@query("forest_structure", f"""select unnest(range({models.BOOSTING["maxIter"]}))::int as tree, true as binary,
+  true as complete, true as shallow""")
+def forest_structure(spark, sf):
+    """Of each tree: it has one leaf more than splits, its children are nodes of its own that
+    nothing else points to, and no node is deeper than the model's depth allows."""
+    nodes = chain(spark, sf).forest
+    children = nodes.where("left is not null").select("tree", F.explode(F.array("left", "right")).alias("node"))
+    pointed = children.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("parents"))
+    facts = nodes.join(pointed, ["tree", "node"], "left").groupBy("tree").agg(
+        F.count_if(F.col("left").isNull()).alias("leaves"), F.count_if(F.col("left").isNotNull()).alias("splits"),
+        F.bool_and(F.coalesce("parents", F.lit(0)) == (F.col("node") != 0).cast("long")).alias("once"))
+    wanted = children.groupBy("tree").agg(F.count(F.lit(1)).alias("children"))
+    depth = models.BOOSTING["maxDepth"]
+    return facts.join(wanted, "tree", "left").select(
+        F.col("tree").cast("int").alias("tree"), (F.col("leaves") == F.col("splits") + 1).alias("binary"),
+        (F.col("once") & (F.coalesce("children", F.lit(0)) == F.col("leaves") + F.col("splits") - 1)).alias("complete"),
+        (F.col("leaves") <= 1 << depth).alias("shallow"))
+
+
+@query("importance_sources", f"""with {PAIRED} select count(*) > 0 as known, count(*) > 0 as whole,
+  count(*) > 0 as positive from revised""")
+def importance_sources(spark, sf):
+    """Whether importances are of variables that were offered, add up to one, and are positive."""
+    made = chain(spark, sf)
+    offered = [*made.shift.features.numeric, *made.shift.features.categorical, *made.shift.features.indicators]
+    return models.importances(made.shift, made.split[0]).agg(
+        F.bool_and(F.col("variable").isin(offered)).alias("known"),
+        (F.abs(F.sum("poids") - 1.0) < 0.01).alias("whole"), F.bool_and(F.col("poids") > 0).alias("positive"))
+
+
+@query("model_report_facts", f"""with trivial as ({ORACLES["baseline_scores"]}), size as (with {SPLIT}
+  select count(*)::double as taille_test from parts where part = 'test')
+select 'references' as section, 'zero_mae' as mesure, round(zero_mae, 4) as valeur from trivial union all
+select 'references', 'zero_rmse', round(zero_rmse, 4) from trivial union all
+select 'references', 'moyenne_mae', round(moyenne_mae, 4) from trivial union all
+select 'references', 'moyenne_rmse', round(moyenne_rmse, 4) from trivial union all
+select 'classification', 'taille_test', taille_test from size""")
+def model_report_facts(spark, sf):
+    """Those rows of the report that do not depend on what the trees learned."""
+    made = chain(spark, sf)
+    report = training.model_report(*made.split, made.shift, made.flag)
+    kept = F.col("mesure").isin("zero_mae", "zero_rmse", "moyenne_mae", "moyenne_rmse") & (
+        F.col("section") == "references") | (F.col("mesure") == "taille_test")
+    return report.where(kept).select("section", "mesure", F.round(F.col("valeur").cast("double"), 4).alias("valeur"))
