@@ -51,48 +51,68 @@ NO_ARTICLE_NAMES = frozenset(
 # Words in a class or id that name a container of the article.
 CONTENT_NAMES = frozenset("article content post entry main story".split())
 CONTAINERS = frozenset("div section td".split())
+# What carries the text of an article itself is not told apart by names.
+CARRIERS = frozenset("table caption thead tbody tfoot tr td th pre blockquote figure figcaption dl".split())
+# Words after a name that only say what kind of box it is, or what it lists.
+BOXES = frozenset(
+    "area bar block blocks body bottom box button buttons col column container content copy description group heading icon icons "
+    "inline inner item items label left link links list module outer panel right row section slot space text title "
+    "toggle top unit wrap wrapper zone article articles news page pages post posts product products site stories story tags "
+    "topics".split())
 # Names like with-sidebar tell about the layout, not what the element is.
 ABOUT = frozenset("with has no without".split())
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<(?:!|\?)[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.S)
+    r"<!--.*?(?:-->|$)|<(?:!|\?)[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)  # the last for a quote that is not closed
+_ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!|;|$)", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HEADING = re.compile(r"h[1-6]")
 
 
-def _aside(name: str, attributes: str, inside: bool) -> bool:
+def attributes_of(text: str) -> dict[str, str]:
+    """Names in lower case with their values; the first of a repeated name counts."""
+    named: dict[str, str] = {}
+    for key, a, b, c in _ATTRIBUTE.findall(text):
+        named.setdefault(key.lower(), a or b or c)
+    return named
+
+
+def _named_aside(words: list[str]) -> bool:
+    """Whether the words of one class or id name something else than the article: the last of them
+    does, or the first and what follows only says what kind of box it is."""
+    if not words or words[0] in ABOUT:
+        return False
+    return words[-1] in NO_ARTICLE_NAMES or words[0] in NO_ARTICLE_NAMES and all(
+        word in BOXES or word in NO_ARTICLE_NAMES for word in words[1:])
+
+
+def _aside(name: str, named: dict[str, str], inside: bool) -> bool:
     """Whether an element is no part of an article, by itself."""
     if name in NO_ARTICLE or (name == "header" and not inside):
         return True
-    if not attributes or attributes.isspace():
+    if not named:
         return False
-    named = {key.lower(): a or b or c for key, a, b, c in _ATTRIBUTE.findall(attributes)}
     if named.get("role", "").strip().lower() in NO_ARTICLE_ROLES or named.get("aria-hidden", "").lower() == "true":
         return True
-    if re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes, re.I):
+    if "hidden" in named or _UNSEEN.search(html.unescape(named.get("style", ""))):
         return True
     if name in HOLDERS and "comment" not in named.get("class", "").lower():
         return False
-    if name in ("html", "body"):
-        return False
-    if _HEADING.fullmatch(name):
+    if name in ("html", "body") or _HEADING.fullmatch(name) or inside and name in CARRIERS:
         return False
-    for token in f"{named.get('class', '')} {named.get('id', '')}".split():
-        words = [word.lower() for word in _WORD.findall(token)]
-        if words and words[0] not in ABOUT and (words[0] in NO_ARTICLE_NAMES or words[-1] in NO_ARTICLE_NAMES):
-            return True
-    return False
+    return any(_named_aside([word.lower() for word in _WORD.findall(token)])
+               for token in f"{named.get('class', '')} {named.get('id', '')}".split())
 
 
-def _holder(name: str, attributes: str) -> int:
+def _holder(name: str, named: dict[str, str]) -> int:
     """What an element holds, if it is not aside: 0 an article, 1 the main part, 2 what is named
     content, 3 nothing of these."""
     if name in HOLDERS:
         return HOLDERS.index(name)
-    if name not in CONTAINERS or not attributes:
+    if name not in CONTAINERS or not named:
         return 3
-    named = {key.lower(): a or b or c for key, a, b, c in _ATTRIBUTE.findall(attributes)}
     if named.get("role", "").strip().lower() == "main":
         return 1
     words = [word.lower() for token in (named.get("class", ""), named.get("id", ""), named.get("itemprop", ""))
@@ -152,10 +172,11 @@ def lines_of(page: str) -> list[tuple[str, int, tuple[int, int, int]]]:
         if not tag:
             break
         at = tag.end()
-        name = (tag.group(2) or "").lower()
+        ending, name, attributes = tag.group(1, 2, 3) if tag.group(2) else tag.group(4, 5, 6)
+        name = (name or "").lower()
         if not name:
             continue
-        if tag.group(1):
+        if ending:
             depth = next((depth for depth in range(len(open_) - 1, -1, -1) if open_[depth][0] == name), None)
             if depth is None:
                 if name == "p" and not hidden:
@@ -177,18 +198,19 @@ def lines_of(page: str) -> list[tuple[str, int, tuple[int, int, int]]]:
             continue
         if name not in INLINE and not hidden:
             flush()
-        if name in VOID or tag.group(3).endswith("/") and name not in RAW and name not in HOLDERS and name != "div":
+        if name in VOID or attributes.endswith("/") and name not in RAW and name not in HOLDERS and name != "div":
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
             _close_open(open_, name)
             del numbers[len(open_):]
-        gone = (not hidden and _aside(name, tag.group(3), bool(inside[0] or inside[1]))
+        named = attributes_of(attributes)
+        gone = (not hidden and _aside(name, named, bool(inside[0] or inside[1]))
                 or bool(hidden) and name in NO_ARTICLE)
         if gone:
             if not hidden:
                 flush(BLOCK)
             hidden += 1
-        kind = 3 if gone else _holder(name, tag.group(3))
+        kind = 3 if gone else _holder(name, named)
         if kind < 3:
             holders += 1
             inside[kind].append(holders)
