@@ -2,7 +2,8 @@
 
 The distinct windows of the benchmark are collected in blocks of at most ``block_rows`` pairs of
 window and item, and every block is broadcast to one scan of the documents. A benchmark of any
-size is handled: more blocks, more scans, the same result. A hit by fingerprint is confirmed by
+size is handled: more blocks, more scans, the same result; a block's broadcast is removed once its
+scan is written, so workers and driver hold one block at a time. A hit by fingerprint is confirmed by
 comparing words.
 
 Defined cases. A null or empty text has no words. An item without words has no window; an item
@@ -19,11 +20,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.registry import LOWERED, query, table
 from palimpsest.llm.words import ALPHANUMERIC, Words, cut, gram_starts, grams, slices
+from palimpsest.scratch import discard, materialise
 
 WINDOW = 10
 # Pairs of window and item in one broadcast: about 100 bytes each.
@@ -147,14 +150,20 @@ def _scan(docs: DataFrame, lookup) -> DataFrame:
     return docs.mapInArrow(scan, schema)
 
 
-def _lookups(benchmark: DataFrame, window: int, block_rows: int, item_id: str, item_text: str) -> list:
-    """One broadcast for each block of the benchmark's windows."""
-    pairs = benchmark_windows(benchmark, window, item_id, item_text)
+def _lookups(benchmark: DataFrame, window: int, block_rows: int, item_id: str,
+             item_text: str) -> tuple[int, Iterator[Broadcast]]:
+    """How many blocks the benchmark's windows take, and their broadcasts, each made when it is asked
+    for. The windows are written once and read for each block."""
+    pairs = materialise(benchmark_windows(benchmark, window, item_id, item_text), "windows")
     blocks = max(1, -(-pairs.count() // block_rows))
     block = F.pmod(F.xxhash64("item", "window"), F.lit(blocks))
     context = benchmark.sparkSession.sparkContext
-    return [context.broadcast(Lookup([(row["item"], row["window"]) for row in pairs.where(block == number).collect()]))
-            for number in range(blocks)]  # about block_rows rows at most
+
+    def one(number: int) -> Broadcast:  # about block_rows rows at most
+        rows = pairs.where(block == number).toArrow()
+        return context.broadcast(Lookup(list(zip(rows.column("item").to_pylist(), rows.column("window").to_pylist()))))
+
+    return blocks, map(one, range(blocks))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_rows: int = BLOCK_ROWS,
@@ -164,15 +173,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bloc
     they may overlap), items with an occurring window."""
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"),
                          F.col(text).alias("text"))
-    scans = [_scan(narrow, lookup) for lookup in _lookups(benchmark, window, block_rows, item_id, item_text)]
-    if len(scans) == 1:
-        return scans[0]
-    found = reduce(DataFrame.unionAll, [
-        scan.where((F.size("spans") > 0)).select("doc_id", "text_key", "spans", "items") for scan in scans])
+    blocks, lookups = _lookups(benchmark, window, block_rows, item_id, item_text)
+    if blocks == 1:
+        return _scan(narrow, next(lookups))
+    hits = []
+    for lookup in lookups:
+        hits.append(materialise(_scan(narrow, lookup).where(F.size("spans") > 0).select(
+            "doc_id", "text_key", "spans", "items"), "hits"))
+        lookup.destroy()  # what it found is written
+    found = reduce(DataFrame.unionAll, hits)
     found = found.groupBy(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).agg(
         F.flatten(F.collect_set("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items"))
     same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & F.col("text_key").eqNullSafe(F.col("hit_key"))
-    return scans[0].select("doc_id", "text_key", "n_words").join(found, same, "left").select(
+    counted = _scan(narrow, docs.sparkSession.sparkContext.broadcast(Lookup([])))
+    return counted.select("doc_id", "text_key", "n_words").join(found, same, "left").select(
         "doc_id", "text_key", "n_words",
         F.coalesce("spans", F.array().cast(HITS)).alias("spans"),
         F.array_distinct(F.coalesce("items", F.array().cast("array<long>"))).alias("items"))
@@ -190,7 +204,8 @@ def leak_report(leaks: DataFrame) -> DataFrame:
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_rows: int = BLOCK_ROWS,
                  text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The documents without any hit, in their own columns: one scan for each block."""
+    """The documents without any hit, in their own columns: one scan for each block, each written
+    before the next but for the last."""
     schema = docs.schema
 
     def without_hits(lookup) -> callable:
@@ -205,8 +220,15 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bl
 
         return run
 
-    for lookup in _lookups(benchmark, window, block_rows, item_id, item_text):
-        docs = docs.mapInArrow(without_hits(lookup), schema)
+    blocks, lookups = _lookups(benchmark, window, block_rows, item_id, item_text)
+    for number, lookup in enumerate(lookups, 1):
+        kept = docs.mapInArrow(without_hits(lookup), schema)
+        if number < blocks:
+            kept = materialise(kept, "clean")
+            lookup.destroy()
+            if number > 1:
+                discard(docs)
+        docs = kept
     return docs
 
 

@@ -80,3 +80,36 @@ def test_empty_tables(spark, make_docs):
     assert leak_report(find_leaks(make_docs([]), items(spark, bench))).collect() == []
     assert not any(r.contaminated for r in leak_report(find_leaks(make_docs(docs), items(spark, []))).collect())
     assert drop_leaking(make_docs(docs), items(spark, [])).count() == len(docs)
+
+
+def test_one_block_is_held_at_a_time(spark, make_docs, monkeypatch):
+    from pyspark import Broadcast
+    from palimpsest.llm.decontaminate import Lookup
+    held, most = [], []
+
+    def broadcast(value):
+        made = plain(value)
+        if isinstance(value, Lookup) and value.texts:
+            held.append(made)
+            most.append(len(held))
+        return made
+
+    def destroy(self, blocking=False):
+        held.remove(self)
+        return plain_destroy(self, blocking)
+
+    plain, plain_destroy = spark.sparkContext.broadcast, Broadcast.destroy
+    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
+    monkeypatch.setattr(Broadcast, "destroy", destroy)
+    items = [(at, " ".join(words(500 + at, 14))) for at in range(12)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = make_docs([(at, " ".join(words(at, 20) + (words(500 + at, 14) if at % 3 == 0 else []))) for at in range(12)])
+    whole = sorted(map(tuple, leak_report(find_leaks(docs, benchmark)).collect()))
+    assert len(held) == 1
+    held.clear(), most.clear()
+    assert sorted(map(tuple, leak_report(find_leaks(docs, benchmark, block_rows=7)).collect())) == whole
+    assert len(most) > 5 and max(most) == 1 and not held
+    most.clear()
+    assert {row.doc_id for row in drop_leaking(docs, benchmark, block_rows=7).collect()} == {
+        at for at in range(12) if at % 3}
+    assert max(most) == 1 and len(held) == 1
