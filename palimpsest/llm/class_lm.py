@@ -44,8 +44,9 @@ CLASSES = 64
 ENDINGS = 32
 SWEEPS = 4
 ROUNDS = 2
-CONTEXT_SLICE = 8 << 20
+CONTEXT_SLICE = 3 << 20
 HELD_ROWS = 4096
+HELD_KEYS = 1 << 20
 ADDED = 0.1
 STEPS = 16  # frequency steps in a factor of two, to find the head
 END = mix(np.array([0x656E64], np.uint64))[0]
@@ -220,19 +221,40 @@ SEEN_SCHEMA = "word long, at binary, times binary, beside long, side int"
 WORD_SCHEMA = "word long, ending int, n long, class int, hot boolean"
 
 
+def _binary(values: np.ndarray, begin: np.ndarray) -> pa.Array:
+    """The numbers begin[0] to begin[1] - 1, begin[1] to begin[2] - 1 and so on as bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(begin) - 1, [
+        None, pa.py_buffer((begin * values.itemsize).astype(np.int32)), pa.py_buffer(values.tobytes())])
+
+
+def _all_bytes(values: pa.Array, kind: str) -> np.ndarray:
+    """What all values hold, one after the other; a null holds nothing."""
+    if not len(values):
+        return np.zeros(0, kind)
+    _, offsets, data = values.buffers()
+    at = np.frombuffer(offsets, np.int32)[values.offset:values.offset + len(values) + 1]
+    return np.frombuffer(data or b"", np.uint8)[at[0]:at[-1]].view(kind) if at[-1] > at[0] else np.zeros(0, kind)
+
+
 def _packed(keys: np.ndarray, times: np.ndarray, word_of) -> pa.RecordBatch:
     """A row a word from sorted distinct keys (word number times 256 plus place) and their counts."""
     number = keys >> 8
     first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    begin = np.r_[first, len(keys)].astype(np.int32)
+    begin = np.r_[first, len(keys)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(word_of(number[first]).view(np.int64)), _binary((keys & 255).astype(np.uint8), begin),
+         _binary(times.astype("<u8"), begin), pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.int32())],
+        list(SEEN))
 
-    def binary(values: np.ndarray, width: int) -> pa.Array:
-        return pa.Array.from_buffers(pa.binary(), len(first), [
-            None, pa.py_buffer(begin * np.int32(width)), pa.py_buffer(values.tobytes())])
 
-    return pa.RecordBatch.from_arrays(
-        [pa.array(word_of(number[first]).view(np.int64)), binary((keys & 255).astype(np.uint8), 1),
-         binary(times.astype("<u8"), 8), pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.int32())], list(SEEN))
+def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their counts."""
+    if not len(keys):
+        return keys, times
+    order = np.argsort(keys)
+    keys, times = keys[order], times[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(times, first)
 
 
 def _count_beside(beside) -> callable:
@@ -240,6 +262,7 @@ def _count_beside(beside) -> callable:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Beside = beside.value
         cells = np.zeros(known.hot << 8, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for piece in slices(batch, "text", CONTEXT_SLICE):
                 words, _, _ = tokens(cut(piece.column("text"), NOT_SPACE, lower=True))
@@ -260,13 +283,25 @@ def _count_beside(beside) -> callable:
                 cells += np.bincount(key[hot], minlength=len(cells))
                 keys, times = np.unique(key[sure & ~hot], return_counts=True)
                 names = np.concatenate([known.words, others])
-                yield _packed(keys, times, lambda numbers: names[numbers])
+                rare = int(np.searchsorted(keys, len(known.words) << 8))
+                yield _packed(keys[rare:], times[rare:], lambda numbers: names[numbers])
+                # Words of the head are added up over slices, as far as that is bounded.
+                held.append((keys[:rare], times[:rare]))
+                if sum(len(part) for part, _ in held) > 2 * HELD_KEYS:
+                    keys, times = _summed(*map(np.concatenate, zip(*held)))
+                    held = [(keys, times)]
+                    if len(keys) > HELD_KEYS:
+                        yield _packed(keys, times, lambda numbers: known.words[numbers])
+                        held = []
                 far = np.flatnonzero(~sure)
                 other = np.concatenate([np.r_[words[end], words[:-1]], words])[far]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names[word[far]].view(np.int64)), pa.nulls(len(far), pa.binary()),
                      pa.nulls(len(far), pa.binary()), pa.array(other.view(np.int64)),
                      pa.array((far >= len(place)).astype(np.int32))], list(SEEN))
+        if held:
+            keys, times = _summed(*map(np.concatenate, zip(*held)))
+            yield _packed(keys, times, lambda numbers: known.words[numbers])
         keys = np.flatnonzero(cells)
         yield _packed(keys, cells[keys], lambda numbers: known.words[numbers])
 
@@ -284,15 +319,11 @@ def _merge_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = np.cumsum(np.r_[True, word[1:] != word[:-1]]) - 1
         at, times = (rows.column(name).combine_chunks() for name in ("at", "times"))
         sizes = pc.fill_null(pc.binary_length(at), 0).to_numpy()
-        at = np.frombuffer(b"".join(pc.fill_null(at, b"").to_pylist()), np.uint8)
-        times = np.frombuffer(b"".join(pc.fill_null(times, b"").to_pylist()), "<u8")
-        keys, place = np.unique((np.repeat(number, sizes) << 8) + at, return_inverse=True)
-        sums = np.bincount(place, times, len(keys)).astype(np.int64)
+        key = (np.repeat(number, sizes) << 8) + _all_bytes(at, "u1")
+        keys, sums = _summed(key, _all_bytes(times, "<u8").astype(np.int64))
         begin = np.searchsorted(keys, np.arange(len(first) + 1) << 8)
-        facts = rows.filter(rows.column("n").is_valid()).select(names)
-        packed = [pa.array([values[low:high].tobytes() for low, high in zip(begin[:-1], begin[1:])], pa.binary())
-                  for values in ((keys & 255).astype(np.uint8), sums.astype("<u8"))]
-        facts = facts.combine_chunks()
+        facts = rows.filter(rows.column("n").is_valid()).select(names).combine_chunks()
+        packed = [_binary(values, begin) for values in ((keys & 255).astype(np.uint8), sums.astype("<u8"))]
         # Every word of the texts has one row of facts; a word without counts cannot be.
         return pa.RecordBatch.from_arrays(
             [*(facts.column(name).combine_chunks() for name in names), *packed], [*names, "at", "times"])
@@ -356,8 +387,7 @@ def contexts(texts: DataFrame, known: DataFrame, number: int, end_class: int, he
 def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, place and count of each entry."""
     sizes = pc.binary_length(batch.column("at")).to_numpy()
-    at = np.frombuffer(b"".join(batch.column("at").to_pylist()), np.uint8)
-    times = np.frombuffer(b"".join(batch.column("times").to_pylist()), "<u8")
+    at, times = _all_bytes(batch.column("at"), "u1"), _all_bytes(batch.column("times"), "<u8")
     return np.repeat(np.arange(batch.num_rows), sizes), at.astype(np.int64), times.astype(np.int64)
 
 
