@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from palimpsest.operators.live import NEW, REPEATED, REVISED
 from palimpsest.operators.ordered import order_rows
@@ -34,60 +34,69 @@ def batch_revisions(messages: DataFrame, key: str, order: Sequence[str],
             .drop("_at", "_magnitude", "_status"))
 
 
+# Names of columns that reach a state processor must not begin with an underscore.
+SHARD = "shard_of_key"
+SHARDS = 512
+
+
 class LastKnown(StatefulProcessor):
-    """Keeps the last magnitude and status of a key in the state store.
+    """Keeps the last magnitude and status of each key of a shard in the state store.
 
-    Rows of a key arrive unordered within a micro-batch and are put in order here; the limit
-    that ``read_stream`` demands bounds how many there can be.
+    Keys are many and their rows few, and a call of Python, a batch of its results and a data frame
+    each cost more than the rows of a key; so one call has the keys of a shard. Their rows arrive
+    unordered within a micro-batch and are put in order here, nulls first; the limit that
+    ``read_stream`` demands bounds how many there can be. Only keys that are in the micro-batch are
+    read from the state, and only what changed is written.
     """
 
-    def __init__(self, order: Sequence[str], columns: Sequence[str]) -> None:
-        self.order, self.columns = list(order), list(columns)
+    def __init__(self, key: StructField, order: Sequence[str], columns: Sequence[str]) -> None:
+        self.key, self.order, self.columns = key, list(order), list(columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "magnitude double, status string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame],
-                        timer_values) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows)).sort_values(self.order, ignore_index=True)
-        magnitude, status = frame["magnitude"], frame["status"]
-        before_magnitude, before_status = magnitude.shift(1), status.shift(1)
-        known = self.last.exists()
-        if known:
-            stored = self.last.get()
-            before_magnitude.iloc[0], before_status.iloc[0] = stored[0], stored[1]
-        same = (((magnitude == before_magnitude)
-                 | (magnitude.isna() & before_magnitude.isna()))
-                & ((status == before_status) | (status.isna() & before_status.isna())))
+        self.last = handle.getMapState("last", StructType([self.key]), "magnitude double, status string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        name = self.key.name
+        frame = pd.concat(list(rows)).sort_values([name, *self.order], na_position="first", ignore_index=True)
+        values = frame[["magnitude", "status"]].astype(object)
+        values = values.where(values.notna(), None)
+        opens, closes = ~frame[name].duplicated(), ~frame[name].duplicated(keep="last")
+        before = values.shift(1)
+        keys = [None if pd.isna(value) else value for value in frame[name][opens].tolist()]
+        stored = [self.last.getValue((value,)) for value in keys]
+        before.loc[opens, ["magnitude", "status"]] = [tuple(pair or (None, None)) for pair in stored]
+        before = before.where(before.notna(), None)
+        same = ((values == before) | (values.isna() & before.isna())).all(axis=1)
         kind = pd.Series(REVISED, index=frame.index).mask(same, REPEATED)
-        if not known:
-            kind.iloc[0] = NEW
+        kind[opens] = kind[opens].where([pair is not None for pair in stored], NEW)
         revised = kind == REVISED
         frame["kind"] = kind
-        frame["previous_magnitude"] = before_magnitude.where(revised)
-        frame["previous_status"] = before_status.where(revised, None)
-        newest = frame.iloc[-1]
-        self.last.update((None if pd.isna(newest["magnitude"]) else float(newest["magnitude"]),
-                          None if pd.isna(newest["status"]) else str(newest["status"])))
+        frame["previous_magnitude"] = before["magnitude"].where(revised, None).astype("float64")
+        frame["previous_status"] = before["status"].where(revised, None)
+        for value, pair, newest in zip(keys, stored, values[closes].itertuples(index=False, name=None), strict=True):
+            if pair is None or tuple(pair) != newest:
+                self.last.updateValue((value,), newest)
         yield frame[self.columns]
 
     def close(self) -> None:
         pass
 
 
-def stream_revisions(messages: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def stream_revisions(messages: DataFrame, key: str, order: Sequence[str], shards: int = SHARDS) -> DataFrame:
     """The same as ``batch_revisions`` on a stream; state survives restarts and lost executors.
 
     Needs the RocksDB state store (see ``session.STATE_STORE``). Only the columns the result
-    has go to the state operator: key, order, magnitude (double), status.
+    has go to the state operator: key, order, magnitude (double), status. ``shards`` bounds the tasks
+    that can share the work; a stream keeps the number it was started with.
     """
     narrow = messages.select(key, *order, F.col("magnitude").cast("double").alias("magnitude"),
                              F.col("status").cast("string").alias("status"))
     schema = StructType.fromJson(narrow.schema.jsonValue())
     schema = (schema.add("kind", "string").add("previous_magnitude", "double")
               .add("previous_status", "string"))
-    return narrow.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=LastKnown(order, schema.names), outputStructType=schema,
+    sharded = narrow.withColumn(SHARD, F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
+    return sharded.groupBy(SHARD).transformWithStateInPandas(
+        statefulProcessor=LastKnown(narrow.schema[key], order, schema.names), outputStructType=schema,
         outputMode="Append", timeMode="None")
 
 

@@ -149,3 +149,20 @@ def test_an_idle_stream_is_healthy_and_a_running_one_is_heard(spark, tmp_path):
         assert (run, 0) in heard
     finally:
         spark.streams.removeListener(listener)
+
+
+def test_keys_share_calls_and_nulls_of_the_order_come_first(spark, tmp_path):
+    data = [(None if at % 41 == 0 else f"k{at % 40}", None if at > 150 else at // 2, at, float(at % 3), "p")
+            for at in range(1, 161)]
+    frame = spark.createDataFrame(data, "id string, ts long, at long, magnitude double, status string")
+    for low, high in ((0, 70), (150, 161)):
+        found = run(spark, frame.filter((F.col("at") >= low) & (F.col("at") < high)), tmp_path,
+                    lambda stream: revisions.stream_revisions(stream, "id", ["ts", "at"], shards=4))
+    # One slice brings both rows with and without a time; null keys are a key of their own.
+    mixed = run(spark, frame, f"{tmp_path}/whole", lambda stream: revisions.stream_revisions(
+        stream, "id", ["ts", "at"], shards=4))
+    expected = revisions.batch_revisions(frame, "id", ["ts", "at"])
+    assert rows(mixed.select(expected.columns)) == rows(expected)
+    state = spark.read.format("statestore").option("stateVarName", "last").load(f"{tmp_path}/state")
+    assert state.select("key").distinct().count() <= 4
+    assert state.count() == found.select("id").distinct().count() > 4
