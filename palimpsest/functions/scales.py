@@ -21,6 +21,8 @@ SCALE_RULES = (
     ("md", "duration", 5.0),
     ("mh", "duration", 5.0),
 )
+# Alternatives are tried from left to right, so the first rule that matches wins here too.
+PREFIXES = "^(" + "|".join(rule[0] for rule in SCALE_RULES) + ")"
 REFERENCE_FAMILY = "moment"
 UNKNOWN_FAMILY = "inconnue"
 UNKNOWN_SATURATION = 5.0
@@ -29,9 +31,11 @@ CEILING_LIMIT = 9.0
 
 
 def _first_rule(scale_type: Column, position: int) -> Column:
-    token = F.lower(F.trim(scale_type))
-    return F.coalesce(*[F.when(token.startswith(rule[0]), F.lit(rule[position]))
-                        for rule in SCALE_RULES])
+    """What the first matching rule says, else null. The text is put in lower case once: inside the
+    branches of a conditional, Spark would do it again for each rule."""
+    prefix = F.regexp_extract(F.lower(F.trim(scale_type)), PREFIXES, 1)
+    table = F.create_map(*[F.lit(item) for rule in SCALE_RULES for item in (rule[0], rule[position])])
+    return F.try_element_at(table, prefix)
 
 
 def family_of(scale_type: Column) -> Column:

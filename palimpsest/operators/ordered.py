@@ -18,6 +18,8 @@ from palimpsest.scratch import materialise
 RANGE = "_range"
 RANK = "_rank"
 WHOLE = "_whole"
+# Rows that one task sorts by key: some 130 MB of wide rows.
+ROWS_PER_SORT = 250_000
 
 
 def order_rows(frame: DataFrame, keys: Sequence[str], order: Sequence[Column], *,
@@ -61,8 +63,9 @@ def summarise_keys(frame: DataFrame, keys: Sequence[str], order: Sequence[str],
     of hot keys are combined on the map side instead and never meet in one task.
     """
     folds = dict(folds or {})
-    hot = find_hot_keys(frame if keys_of is None else keys_of, keys, rows_per_task)
-    cold = frame.filter(~hot.condition) if hot else frame
+    searched = frame if keys_of is None else keys_of
+    hot = find_hot_keys(searched, keys, rows_per_task)
+    cold = dealt(frame.filter(~hot.condition) if hot else frame, keys, searched.count())
     along = Window.partitionBy(*keys).orderBy(*order)
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     summary = cold.select(
@@ -79,6 +82,15 @@ def summarise_keys(frame: DataFrame, keys: Sequence[str], order: Sequence[str],
         *[fold.alias(name) for name, fold in folds.items()]))
 
 
+def dealt(frame: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """``frame`` in one partition for each ROWS_PER_SORT of its ``rows``, where the session's number of
+    shuffle partitions is smaller: that is fixed, and a task would sort ever more of a larger table."""
+    partitions = -(-rows // ROWS_PER_SORT)
+    if partitions <= int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return frame
+    return frame.repartition(partitions, *keys)
+
+
 class _Wanted:
     def __init__(self, rank, count, lag, lead, running, total):
         self.rank, self.count = rank, count

@@ -51,3 +51,9 @@ def test_points_lie_on_the_sphere(spark):
         assert math.isclose(math.sqrt(x * x + y * y + z * z), 2.0)
     heights = spark.createDataFrame([(None,), (-9.0,)], "s double").select(bar_height(F.col("s")))
     assert [round(row[0], 6) for row in heights.collect()] == [0.04, 0.584]
+
+
+def test_a_scale_is_put_in_lower_case_once(spark):
+    frame = spark.range(3).select(F.col("id").cast("string").alias("t"))
+    plan = frame.select(family_of(F.col("t")).alias("family"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1

@@ -107,3 +107,20 @@ def test_quantiles_of_a_whole_frame_and_of_nothing(spark):
     frame = spark.range(1, 11).withColumnRenamed("id", "v")
     assert exact_quantiles(frame, [], "v", {"m": 0.5}).first()["m"] == 5
     assert exact_quantiles(frame.filter("v > 99"), [], "v", {"m": 0.5}).first()["m"] is None
+
+
+def test_rows_of_a_sort_are_bounded_where_shuffle_partitions_are_few(spark, skewed, monkeypatch):
+    from palimpsest.operators import ordered
+
+    def ends():
+        return ordered.summarise_keys(skewed, ["k"], ["t", "i"], ["i"], ["i"], {"n": F.count(F.lit(1))})
+
+    expected = rows(ends())
+    few = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        monkeypatch.setattr(ordered, "ROWS_PER_SORT", 100, raising=False)
+        assert ends().rdd.getNumPartitions() == 30
+        assert rows(ends()) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", few)
