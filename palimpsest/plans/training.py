@@ -23,13 +23,18 @@ def report_rows(section: str, row: DataFrame) -> DataFrame:
         "section", "e.*")
 
 
+def untrained_rows(train: DataFrame, test: DataFrame) -> list[DataFrame]:
+    """Rows of the report that no model is needed for: the trivial answers and the size of the test."""
+    return [report_rows("references", scores.baseline_scores(train, test)),
+            report_rows("classification", test.agg(F.count(F.lit(1)).alias("taille_test")))]
+
+
 def model_report(train: DataFrame, test: DataFrame, shift: models.Fitted,
                  flag: models.Fitted | None) -> DataFrame:
     """Measures of both models and of the trivial answers, one row each. Without a classifier
     its sections are left out."""
     predicted = shift.model.transform(test)
     parts = {"regression": scores.error_scores(predicted),
-             "references": scores.baseline_scores(train, test),
              "gain": scores.gain_over_zero(predicted),
              "accord_de_signe": scores.sign_agreement(predicted),
              "bande_de_residus": scores.residual_band(predicted)}
@@ -38,9 +43,10 @@ def model_report(train: DataFrame, test: DataFrame, shift: models.Fitted,
         area = round(models.area_under_roc(flagged), 4)
         parts |= {"matrice": scores.confusion(flagged),
                   "reference": scores.majority_baseline(train, test),
-                  "classification": test.agg(F.count(F.lit(1)).alias("taille_test"))
-                  .withColumn("aire_sous_roc", F.lit(area))}
+                  "classification": train.sparkSession.range(1).select(F.lit(area).alias("aire_sous_roc"))}
+    references, size = untrained_rows(train, test)
     frames = [report_rows(name, frame) for name, frame in parts.items()]
+    frames += [references] if flag is None else [references, size]
     report = frames[0]
     for frame in frames[1:]:
         report = report.unionByName(frame)

@@ -133,3 +133,31 @@ def test_a_labelled_run_has_its_own_folders(spark, dataset, tmp_path):
     assert area["full"] > area["less"]
     assert spark.read.parquet(f"{root}/model_export").filter("threshold IS NOT NULL").count() > 0
     PipelineModel.load(f"{root}/models_ablation/revision_shift")
+
+
+def test_vectors_are_dealt_by_their_number(dataset, monkeypatch):
+    class Trees:
+        def fit(self, vectors):
+            self.partitions, self.rows = vectors.rdd.getNumPartitions(), vectors.count()
+            self.columns = vectors.columns
+            return PipelineModel(stages=[])
+
+    monkeypatch.setattr(models, "ROWS_PER_PARTITION", 10)
+    trees = Trees()
+    models.fit_trees(trees, "shift", dataset, FeatureSet().usable(dataset))
+    assert (trees.partitions, trees.rows, trees.columns) == (40, 400, ["features", "shift"])
+
+
+@pytest.mark.parametrize("name", ["feature_vectors", "model_report_facts"])
+def test_no_trees_are_fitted_where_none_are_needed(spark, sf, monkeypatch, name):
+    from catalogue import QUERIES
+    from catalogue import models as queries
+
+    def refuse(*_):
+        raise AssertionError("fitted")
+
+    monkeypatch.setattr(queries, "_CHAINS", {})
+    monkeypatch.setattr(models, "fit_trees", refuse, raising=False)
+    monkeypatch.setattr(models, "fit_flag", refuse)
+    monkeypatch.setattr(models, "fit_shift", refuse)
+    assert QUERIES[name](spark, sf).count()
