@@ -100,6 +100,9 @@ def live_features_query(spark, sf):
 KEY = "event_id || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey"
 
 
+LINES_PER_FILE = 200_000
+
+
 def version_documents(spark: SparkSession, sf: str) -> DataFrame:
     """O: one document per order line, with a product that may be dirty or withdrawn, and a
     second one for returned lines. Written as JSON lines and read with the fixed schema."""
@@ -132,8 +135,9 @@ def version_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.col("magnitude_type").alias("current_magnitude_type"), "place", "cohort",
         F.struct(origins.alias("origin")).alias("products"))).alias("value"))
     folder = new_folder(spark, "versions")
-    document.write.text(f"{folder}/batch=0000")
-    return read_versions(spark, f"{folder}/batch=*/*.txt")
+    # A compressed file is read by one task as a whole, so each has a bounded number of lines.
+    document.write.option("maxRecordsPerFile", LINES_PER_FILE).text(f"{folder}/batch=0000", compression="gzip")
+    return read_versions(spark, f"{folder}/batch=*/*.txt.gz")
 
 
 O = V + f""", o as (select *, {KEY} as code,

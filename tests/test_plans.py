@@ -89,3 +89,14 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
     lineitem = next(line for line in scans if "lineitem" in line)
     assert "l_returnflag" not in lineitem.split("ReadSchema")[1]
     assert "CartesianProduct" not in plan.toString()
+
+
+def test_version_documents_are_compressed_in_files_of_bounded_length(spark, sf, monkeypatch):
+    from catalogue import landing
+
+    monkeypatch.setattr(landing, "LINES_PER_FILE", 1000, raising=False)
+    documents = landing.version_documents(spark, sf)
+    files = documents.inputFiles()
+    assert all(name.endswith(".gz") for name in files)
+    assert max(spark.read.text(name).count() for name in files[:2]) <= 1000
+    assert documents.count() == spark.read.parquet(f"{sf}/lineitem.parquet").count()
