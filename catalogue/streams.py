@@ -114,7 +114,8 @@ select user_id, event_id, ts, magnitude, status, kind,
 def stream_reordered(spark, sf):
     """Late rows are put in order and keys are forgotten; what the watermark passed has come out."""
     out = late_slices(spark, sf, "reordered", lambda stream, path, checkpoint: append_parquet(
-        reorder.reordered_revisions(stream, "user_id", "ts", ["event_id"], DELAY, QUIET), path, checkpoint))
+        reorder.reordered_revisions(stream, "user_id", "ts", ["event_id"], DELAY, QUIET, revisions.SHARDS),
+        path, checkpoint))
     return spark.read.parquet(out)
 
 

@@ -97,6 +97,31 @@ def test_state_shrinks_when_keys_fall_silent(spark, tmp_path):
     assert found.where("id = 'on' and kind = 'nouveau'").count() == 1
 
 
+def test_keys_of_a_shard_share_calls_and_are_forgotten(spark, tmp_path):
+    rng = random.Random(6)
+    data = [(rng.choice([None, *range(40)]), at, minute(rng.randrange(400)), rng.choice([None, 1.0, 2.0]),
+             rng.choice(["p", None])) for at in range(400)] + [(99, 999, minute(9999), 0.0, "p")]
+    data.sort(key=lambda row: (row[2] + timedelta(minutes=rng.randrange(9)), row[1]))
+    schema = MESSAGES.replace("id string", "id long")
+    groups = []
+    for low, high in ((0, 150), (150, 300), (300, len(data))):
+        for folder, shards in (("one", None), ("dealt", 3)):
+            path = f"{tmp_path}/{folder}"
+            append(reordered_revisions(feed(spark, path, schema, data[low:high]), "id", "ts", ["at"], "10 minutes",
+                                       3600, shards), path)
+        state = spark.read.format("statestore").option("stateVarName", "waiting").load(f"{tmp_path}/dealt/state")
+        groups.append(state.select("key").distinct().count())
+    # Forty keys are put in order by at most three calls a micro-batch.
+    assert 1 <= min(groups) and max(groups) <= 3
+    found = spark.read.parquet(f"{tmp_path}/dealt/out")
+    assert found.count() == 400 and found.where("id is null").count() > 0
+    assert rows(found) == rows(spark.read.parquet(f"{tmp_path}/one/out"))
+    assert found.where("kind = 'nouveau'").count() > 41 and found.where("kind = 'repete'").count() > 0
+    # After a silence of all keys nothing is kept of them.
+    last = spark.read.format("statestore").option("stateVarName", "last").load(f"{tmp_path}/dealt/state")
+    assert last.count() == 0
+
+
 def test_sessions_merge_over_restarts(spark, tmp_path):
     def build(stream):
         return sessions(stream, ["id"], "ts", "10 minutes", {"n": F.count(F.lit(1)), "top": F.max("magnitude")}, "30 minutes")
