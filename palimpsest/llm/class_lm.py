@@ -47,6 +47,7 @@ ROUNDS = 2
 CONTEXT_SLICE = 3 << 20
 HELD_ROWS = 4096
 HELD_KEYS = 1 << 20
+MOVED_ROWS = 4096
 ADDED = 0.1
 STEPS = 16  # frequency steps in a factor of two, to find the head
 END = mix(np.array([0x656E64], np.uint64))[0]
@@ -66,6 +67,11 @@ def tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             np.repeat(np.arange(texts), words.counts + 1))
 
 
+def token_words(words: Words) -> np.ndarray:
+    """Fingerprints of all tokens."""
+    return np.insert(words.hashes, words.first[1:], END)
+
+
 def _added_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     distinct, first, place = np.unique(keys, return_index=True, return_inverse=True)
     return distinct, first, np.bincount(place, counts).astype(np.int64)
@@ -215,6 +221,21 @@ class Beside:
     number: int
     hot: int
 
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the head and classes, -1 where the head does not have the word."""
+        place = self.head.get(words).astype(np.int64)
+        own = np.where(place >= 0, self.classes[place] if len(self.classes) else 0, -1)
+        own[words == END] = self.end_class
+        return place, own
+
+
+def _beside(known: DataFrame, number: int, end_class: int, head_size: int, hot: int) -> Beside:
+    word, own, n = _head(known, head_size)
+    order = np.lexsort((word, -n))
+    word, own = word[order], own[order].astype(np.int64)
+    return Beside(Lookup(word, np.arange(len(word), dtype=np.int32)), word, own, end_class, number, min(hot, len(word)))
+
+
 
 SEEN = ("word", "at", "times", "beside", "side")
 SEEN_SCHEMA = "word long, at binary, times binary, beside long, side int"
@@ -265,10 +286,8 @@ def _count_beside(beside) -> callable:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for piece in slices(batch, "text", CONTEXT_SLICE):
-                words, _, _ = tokens(cut(piece.column("text"), NOT_SPACE, lower=True))
-                place = known.head.get(words).astype(np.int64)
-                own = np.where(place >= 0, known.classes[place] if len(known.classes) else 0, -1)
-                own[words == END] = known.end_class
+                words = token_words(cut(piece.column("text"), NOT_SPACE, lower=True))
+                place, own = known.find(words)
                 others, first = np.unique(words[place < 0], return_inverse=True)
                 place[place < 0] = len(known.words) + first
                 end = np.flatnonzero(words == END)[:1]
@@ -359,10 +378,7 @@ def contexts(texts: DataFrame, known: DataFrame, number: int, end_class: int, he
     """``known`` with ``at`` and ``times``, a written table: how often each class is before (its number)
     and after a word (``number`` and its number). A text begins after an end."""
     spark = texts.sparkSession
-    word, own, n = _head(known, head_size)
-    order = np.lexsort((word, -n))
-    word, own = word[order], own[order].astype(np.int64)
-    beside = Beside(Lookup(word, np.arange(len(word), dtype=np.int32)), word, own, end_class, number, min(hot, len(word)))
+    beside = _beside(known, number, end_class, head_size, hot)
     counted = materialise(texts.mapInArrow(_count_beside(spark.sparkContext.broadcast(beside)), SEEN_SCHEMA), "beside")
     nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (
         ("ending", "int"), ("n", "long"), ("class", "int"), ("hot", "boolean"))]
@@ -409,6 +425,45 @@ def class_bigrams(seen: DataFrame, number: int) -> np.ndarray:
     return out.reshape(number, number)
 
 
+def text_bigrams(texts: DataFrame, known: DataFrame, number: int, end_class: int, head_size: int) -> np.ndarray:
+    """The same as ``class_bigrams`` of ``contexts``, where no word moves any more: what stands beside
+    each word is not kept."""
+    names = ["before", "before_class", "word", "class", "far", "n"]
+    beside = texts.sparkSession.sparkContext.broadcast(_beside(known, number, end_class, head_size, 0))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head: Beside = beside.value
+        total = np.zeros(number * number, np.int64)
+        for batch in batches:
+            for piece in slices(batch, "text", CONTEXT_SLICE):
+                words = token_words(cut(piece.column("text"), NOT_SPACE, lower=True))
+                _, own = head.find(words)
+                before, before_own = _before(words, END), _before(own, end_class)
+                sure = (own >= 0) & (before_own >= 0)
+                total += np.bincount(before_own[sure] * number + own[sure], minlength=number * number)
+                left = np.flatnonzero(~sure)
+                # far: 1 the class before, 2 the class is not known yet.
+                far = 1 * (before_own[left] < 0) + 2 * (own[left] < 0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(before[left].view(np.int64)), pa.array(before_own[left].astype(np.int32)),
+                     pa.array(words[left].view(np.int64)), pa.array(own[left].astype(np.int32)),
+                     pa.array(far.astype(np.int32)), pa.array(np.ones(len(left), np.int64))], names)
+        pair = np.flatnonzero(total)
+        nothing = [pa.nulls(len(pair), pa.int64())] * 2
+        yield pa.RecordBatch.from_arrays(
+            [nothing[0], pa.array((pair // number).astype(np.int32)), nothing[1], pa.array((pair % number).astype(np.int32)),
+             pa.array(np.zeros(len(pair), np.int32)), pa.array(total[pair])], names)
+
+    counted = materialise(texts.mapInArrow(
+        count, "before long, before_class int, word long, class int, far int, n long"), "between")
+    rows = _look_up(_look_up(counted, known, 1, "before", "before_class"), known, 2, "word", "class").groupBy(
+        "before_class", "class").agg(F.sum("n").alias("n")).toArrow()
+    discard(counted)
+    out = np.zeros((number, number))
+    out[rows.column("before_class").to_numpy(), rows.column("class").to_numpy()] = rows.column("n").to_numpy()
+    return out
+
+
 def _likelihood(table_: np.ndarray) -> float:
     return float(_xlogx(table_).sum() - _xlogx(table_.sum(axis=0)).sum() - _xlogx(table_.sum(axis=1)).sum())
 
@@ -417,19 +472,27 @@ def best_classes(own: np.ndarray, n: np.ndarray, rows: np.ndarray, at: np.ndarra
                  table_: np.ndarray, classes: int) -> np.ndarray:
     """The class of each word that raises the likelihood of the class bigrams most, if only this word
     moved and its neighbours kept the cells apart. ``rows``, ``at``, ``times``: entries in order."""
-    number = len(table_)
-    before, context = at < number, at % number
-    cells = np.where(before[:, None], table_[context, :classes], table_[:classes, context].T)
-    inside = np.flatnonzero(own[rows] < classes)
-    cells[inside, own[rows[inside]]] -= times[inside]
-    cells = np.maximum(cells, 0)
+    # A line for each place: the cells of a class beside the word with every class of the word.
+    lines = np.concatenate([table_[:, :classes], table_.T[:, :classes]])
     gain = np.zeros((len(own), classes))
-    np.add.at(gain, rows, _xlogx(cells + times[:, None]) - _xlogx(cells))
     moved = np.flatnonzero(own < classes)
+    if len(rows):
+        # Most entries are alike, so gains are found once for each place and count.
+        kinds, like = np.unique((times << 8) + at, return_inverse=True)
+        cells, many = lines[kinds & 255], (kinds >> 8)[:, None]
+        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        gain[rows[first]] = np.add.reduceat(
+            (_xlogx(cells + many) - _xlogx(cells))[like], first, axis=0)
+        inside = np.flatnonzero(own[rows] < classes)
+        cells = np.maximum(lines[at[inside], own[rows[inside]]] - times[inside], 0)
+        stays = np.bincount(rows[inside], _xlogx(cells + times[inside]) - _xlogx(cells), len(own))
+        gain[moved, own[moved]] = stays[moved]
+    counts, like = np.unique(n, return_inverse=True)
     for sums in (table_.sum(axis=1)[:classes], table_.sum(axis=0)[:classes]):
-        rest = np.tile(sums, (len(own), 1))
-        rest[moved, own[moved]] -= n[moved]
-        gain -= _xlogx(rest + n[:, None]) - _xlogx(rest)
+        lost = (_xlogx(sums + counts[:, None]) - _xlogx(sums))[like]
+        rest = sums[own[moved]] - n[moved]
+        lost[moved, own[moved]] = _xlogx(rest + n[moved]) - _xlogx(rest)
+        gain -= lost
     best = gain.argmax(axis=1)
     stay = moved[gain[moved, best[moved]] <= gain[moved, own[moved]] + 1e-9]
     best[stay] = own[stay]
@@ -441,8 +504,8 @@ def _move(table_, classes: int, clustered_too: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                piece = batch.slice(low, 512)
+            for low in range(0, batch.num_rows, MOVED_ROWS):
+                piece = batch.slice(low, MOVED_ROWS)
                 own, n = piece.column("class").to_numpy().astype(np.int64), piece.column("n").to_numpy()
                 best = best_classes(own, n, *_entries(piece), table_.value, classes)
                 fixed = own == classes + ENDINGS if clustered_too else (own < classes) | (own == classes + ENDINGS)
@@ -476,19 +539,23 @@ def fit(texts: DataFrame, counts: DataFrame, head_size: int = HEAD, clustered: i
         (F.col("first").isNotNull() | (F.col("ending") == ENDINGS)).alias("hot")), "classes")
     end_class = classes + ENDINGS
     seen = contexts(texts, known, number, end_class, head_size, clustered)
-    between = class_bigrams(seen, number)
+    # Units are words and endings, so their bigrams add up to those of the classes they begin with.
+    between = np.zeros((number, number))
+    np.add.at(between, (of[:, None], of[None, :]), bigrams.reshape(units, units))
     for turn in range(ROUNDS):
         move = _move(spark.sparkContext.broadcast(between), classes, turn > 0)
         moved = materialise(seen.mapInArrow(move, WORD_SCHEMA), "classes")
         discard(seen)
-        seen = contexts(texts, moved, number, end_class, head_size, clustered)
-        after = class_bigrams(seen, number)
+        if turn + 1 < ROUNDS:
+            seen = contexts(texts, moved, number, end_class, head_size, clustered)
+            after = class_bigrams(seen, number)
+        else:
+            after = text_bigrams(texts, moved, number, end_class, head_size)
         if turn and _likelihood(after) <= _likelihood(between):
             discard(moved)
             break
         discard(known)
         known, between = moved, after
-    discard(seen)
     # After a word that training does not have, classes are as frequent as anywhere.
     after = between.copy()
     after[classes:classes + ENDINGS] = between.sum(axis=0)

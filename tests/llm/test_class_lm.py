@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm import class_lm
 from palimpsest.llm.class_lm import (ENDINGS, _entries, _likelihood, _merge_seen, best_classes, class_bigrams, contexts,
-                                     exchange, fit, score_texts, word_counts)
+                                     exchange, fit, score_texts, text_bigrams, word_counts)
 from palimpsest.llm.words import NOT_SPACE, cut
 
 from llm_samples import ODD_ROWS, words
@@ -153,6 +153,7 @@ def test_classes_beside_words_against_brute_force(spark, head):
     assert got == want and len(word) == len(set(word)) == len(own)
     between = class_bigrams(seen, 20)
     assert between.sum() == sum(len(found) for found, _ in token_rows(texts))
+    assert (text_bigrams(frame, known, 20, own[end], head) == between).all()
 
 
 def test_rows_of_a_word_that_is_everywhere_are_added_up(spark, monkeypatch):
@@ -204,6 +205,29 @@ def test_a_word_without_a_class_takes_the_smallest_of_equal_ones():
     assert found.tolist() == [0]
 
 
+def test_gains_found_once_for_like_entries_choose_as_entry_by_entry():
+    rng = np.random.default_rng(5)
+    classes, number, size = 6, 9, 500
+    table_ = rng.integers(0, 3000, (number, number)).astype(float)
+    rows = np.repeat(np.arange(size), rng.integers(1, 7, size))
+    at, times = rng.integers(0, 2 * number, len(rows)), rng.integers(1, 400, len(rows)) ** (rng.random(len(rows)) < 0.5)
+    own, n = rng.integers(0, number, size), np.bincount(rows, times, size).astype(np.int64)
+    xlogx = class_lm._xlogx
+    for word, best in enumerate(best_classes(own, n, rows, at, times, table_, classes)):
+        gains = []
+        for to in range(classes):
+            gain = 0.0
+            for place, count in zip(at[rows == word], times[rows == word]):
+                cell = table_[place, to] if place < number else table_[to, place - number]
+                cell = max(cell - count, 0) if own[word] == to else cell
+                gain += xlogx(cell + count) - xlogx(cell)
+            for total in (table_.sum(axis=1)[to], table_.sum(axis=0)[to]):
+                total -= n[word] if own[word] == to else 0
+                gain -= xlogx(total + n[word]) - xlogx(total)
+            gains.append(gain)
+        assert gains[best] >= max(gains) - 1e-6
+
+
 @pytest.mark.parametrize("head", [1 << 20, 25])
 def test_scores_against_brute_force(spark, make_docs, head):
     texts = [(at, " ".join(words(at % 9, 30) + words(at, 6)).title()) for at in range(60)] + [
