@@ -7,14 +7,16 @@ their last two bytes. Then, ``ROUNDS`` times at most, words choose in tasks the
 the likelihood most, on the classes before and after them. The first round gives every word its
 class; a later one that does not raise the likelihood is not taken and ends the exchange. How often
 a word has which classes beside it is counted while the text is cut, against the broadcast classes of
-frequent words; a task sends one packed row a word and slice, and only words beside a rarer one meet
-its class in a join. The end of a text has a class of its own; words that training does not have, and only these,
-belong to the ending classes. A text's probability is the product, over its tokens, of the
+frequent words. Words are dealt into buckets by their fingerprints; a task sends one row a bucket and
+slice, and a bucket is added up part by part. Only words beside a rarer one go by the bucket of that one
+first, where its class is. The end of a text has a class of its own; words that training does not have, and
+only these, belong to the ending classes. A text's probability is the product, over its tokens, of the
 probability of the class after the class before, and of the word in its class. Words are known by
 64-bit fingerprints.
 
 The counts and classes of at most ``HEAD`` frequent words are broadcast; pairs with other words meet
-theirs in joins. So the broadcast is bounded and no word or document is left out.
+theirs in their buckets or in joins. So the broadcast is bounded and no word or document is left out. A
+broadcast is given back as soon as what was made with it is written.
 
 Defined cases. A null or empty text is its end token alone. Rows that repeat a document are scored
 and counted each. A null doc_id counts as the empty id for the fold. Without training documents
@@ -25,6 +27,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.lookup import Lookup
 from palimpsest.llm.registry import query, table
-from palimpsest.llm.words import NOT_SPACE, Words, cut, joined, mix, slices
+from palimpsest.llm.words import NOT_SPACE, Words, cut, joined, mix, runs, slices
 from palimpsest.scratch import discard, materialise
 
 HEAD = 1 << 20
@@ -232,13 +236,17 @@ class Beside:
 def _beside(known: DataFrame, number: int, end_class: int, head_size: int, hot: int) -> Beside:
     word, own, n = _head(known, head_size)
     order = np.lexsort((word, -n))
+    # After the hot words in the order of their fingerprints, as blocks need them.
+    order = np.r_[order[:hot], order[hot:][np.argsort(word[order[hot:]])]]
     word, own = word[order], own[order].astype(np.int64)
     return Beside(Lookup(word, np.arange(len(word), dtype=np.int32)), word, own, end_class, number, min(hot, len(word)))
 
 
-
-SEEN = ("word", "at", "times", "beside", "side")
-SEEN_SCHEMA = "word long, at binary, times binary, beside long, side int"
+# A block: of words of one bucket, in order, how many places each has, these and their counts; or, where
+# ``sizes`` is null, words of unknown class, the sides they stand on and the words they stand beside.
+BLOCK = ("bucket", "words", "sizes", "at", "times")
+BLOCK_SCHEMA = "bucket int, words binary, sizes binary, at binary, times binary"
+FACTS = ["word", "ending", "n", "class", "hot"]
 WORD_SCHEMA = "word long, ending int, n long, class int, hot boolean"
 
 
@@ -257,15 +265,42 @@ def _all_bytes(values: pa.Array, kind: str) -> np.ndarray:
     return np.frombuffer(data or b"", np.uint8)[at[0]:at[-1]].view(kind) if at[-1] > at[0] else np.zeros(0, kind)
 
 
-def _packed(keys: np.ndarray, times: np.ndarray, word_of) -> pa.RecordBatch:
-    """A row a word from sorted distinct keys (word number times 256 plus place) and their counts."""
+def _bucket_bits(words: int) -> int:
+    """So many first bits of a fingerprint name its bucket that one has about 8,192 words at most."""
+    return min(20, max(8, (words >> 13).bit_length()))
+
+
+def _cut_up(words: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of words in order, and where each begins."""
+    bucket = (words >> np.uint64(64 - bits)).astype(np.int32)
+    first = runs(bucket)
+    return bucket[first], np.r_[first, len(words)].astype(np.int64)
+
+
+def _packed(keys: np.ndarray, times: np.ndarray, names: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Blocks from sorted distinct keys (number of a word, in order, times 256 plus place) and their counts."""
     number = keys >> 8
-    first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    begin = np.r_[first, len(keys)]
+    first = runs(number)
+    begin = np.r_[first, len(keys)].astype(np.int64)
+    words = names[number[first]]
+    bucket, cuts = _cut_up(words, bits)
+    kind = next(kind for kind in ("<u1", "<u2", "<u4", "<u8") if times.max(initial=0) <= np.iinfo(kind).max)
     return pa.RecordBatch.from_arrays(
-        [pa.array(word_of(number[first]).view(np.int64)), _binary((keys & 255).astype(np.uint8), begin),
-         _binary(times.astype("<u8"), begin), pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.int32())],
-        list(SEEN))
+        [pa.array(bucket), _binary(words, cuts), _binary(np.diff(begin).astype("<u2"), cuts),
+         _binary((keys & 255).astype(np.uint8), begin[cuts]), _binary(times.astype(kind), begin[cuts])], list(BLOCK))
+
+
+def _opened(blocks: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, how many places each has, the places, and their counts, of some blocks."""
+    words, sizes, at = (_all_bytes(blocks.column(name), kind) for name, kind in (
+        ("words", "<u8"), ("sizes", "<u2"), ("at", "u1")))
+    places = pc.binary_length(blocks.column("at")).to_numpy()
+    wide = pc.binary_length(blocks.column("times")).to_numpy() // places  # bytes of a count
+    times = np.zeros(len(at), np.int64)
+    width = np.repeat(wide, places)
+    for kind in np.unique(wide):
+        times[width == kind] = _all_bytes(blocks.column("times").filter(pa.array(wide == kind)), f"<u{kind}")
+    return words, sizes, at, times
 
 
 def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -278,8 +313,31 @@ def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(times, first)
 
 
-def _count_beside(beside) -> callable:
-    """Rows of words with the classes beside them, and rows of words beside one of unknown class."""
+def _added_blocks(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What ``_opened`` gave several times, as one: words in order, places of a word once."""
+    words, sizes, at, times = (np.concatenate(x) for x in zip(*parts))
+    names, number = np.unique(words, return_inverse=True)
+    keys, times = _summed((np.repeat(number, sizes) << 8) + at, times)
+    return names, np.bincount(keys >> 8, minlength=len(names)), (keys & 255).astype(np.uint8), times
+
+
+def _bucket_by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[tuple[pa.RecordBatch, pa.RecordBatch]]]:
+    """For each bucket the facts and the blocks of it, part by part, from rows in the order of their buckets."""
+    def parts():
+        for batch in batches:
+            bucket = batch.column("bucket").to_numpy()
+            first = runs(bucket)
+            for low, high in zip(first, [*first[1:], len(bucket)]):
+                part = batch.slice(low, high - low)
+                fact = pc.is_valid(part.column("word"))
+                yield bucket[low], (part.filter(fact).select(FACTS), part.filter(pc.invert(fact)).select(BLOCK))
+
+    for _, found in groupby(parts(), itemgetter(0)):
+        yield (part for _, part in found)
+
+
+def _count_beside(beside, bits: int) -> callable:
+    """Blocks of words with the classes beside them, and of words of unknown class with what they stand beside."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Beside = beside.value
         cells = np.zeros(known.hot << 8, np.int64)
@@ -301,35 +359,86 @@ def _count_beside(beside) -> callable:
                 hot = sure & (word < known.hot)
                 cells += np.bincount(key[hot], minlength=len(cells))
                 keys, times = np.unique(key[sure & ~hot], return_counts=True)
-                names = np.concatenate([known.words, others])
                 rare = int(np.searchsorted(keys, len(known.words) << 8))
-                yield _packed(keys[rare:], times[rare:], lambda numbers: names[numbers])
+                yield _packed(keys[rare:] - (len(known.words) << 8), times[rare:], others, bits)
                 # Words of the head are added up over slices, as far as that is bounded.
                 held.append((keys[:rare], times[:rare]))
-                if sum(len(part) for part, _ in held) > 2 * HELD_KEYS:
-                    keys, times = _summed(*map(np.concatenate, zip(*held)))
-                    held = [(keys, times)]
-                    if len(keys) > HELD_KEYS:
-                        yield _packed(keys, times, lambda numbers: known.words[numbers])
-                        held = []
                 far = np.flatnonzero(~sure)
                 other = np.concatenate([np.r_[words[end], words[:-1]], words])[far]
+                far, other = far[order := np.argsort(other)], other[order]
+                of = np.concatenate([words, np.r_[words[end], words[:-1]]])[far]
+                bucket, cuts = _cut_up(other, bits)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[word[far]].view(np.int64)), pa.nulls(len(far), pa.binary()),
-                     pa.nulls(len(far), pa.binary()), pa.array(other.view(np.int64)),
-                     pa.array((far >= len(place)).astype(np.int32))], list(SEEN))
+                    [pa.array(bucket), _binary(other, cuts), pa.nulls(len(bucket), pa.binary()),
+                     _binary((far >= len(place)).astype(np.uint8), cuts), _binary(of, cuts)], list(BLOCK))
+                del words, place, own, before, before_own, word, side, key, sure, hot, keys, times, first, far, other, of
+                if sum(len(part) for part, _ in held) > 2 * HELD_KEYS:
+                    held = [_summed(*map(np.concatenate, zip(*held)))]
+                    if len(held[0][0]) > HELD_KEYS:
+                        yield _packed(*held.pop(), known.words, bits)
         if held:
-            keys, times = _summed(*map(np.concatenate, zip(*held)))
-            yield _packed(keys, times, lambda numbers: known.words[numbers])
+            yield _packed(*_summed(*map(np.concatenate, zip(*held))), known.words, bits)
+        order = np.argsort(known.words[:known.hot])
+        cells = cells.reshape(known.hot, 256)[order].ravel()
         keys = np.flatnonzero(cells)
-        yield _packed(keys, cells[keys], lambda numbers: known.words[numbers])
+        yield _packed(keys, cells[keys], known.words[order], bits)
 
     return count
 
 
+def _count_far(number: int, bits: int) -> callable:
+    """Blocks of words with the classes beside them, from the facts and the blocks of words of unknown class."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for bucket in _bucket_by_bucket(batches):
+            facts, blocks = zip(*bucket)
+            word, own = (np.concatenate([part.column(name).to_numpy() for part in facts]) for name in ("word", "class"))
+            order = np.argsort(word := word.view(np.uint64))
+            beside, side, of = (np.concatenate([_all_bytes(part.column(name), kind) for part in blocks])
+                                for name, kind in (("words", "<u8"), ("at", "u1"), ("times", "<u8")))
+            if not len(beside):
+                continue
+            place = own[order[np.searchsorted(word, beside, sorter=order)]] + side.astype(np.int64) * number
+            held.append((of, np.ones(len(of), np.int64), place, np.ones(len(of), np.int64)))
+            if sum(len(part[2]) for part in held) > HELD_KEYS:
+                yield packed(held)
+                held = []
+        if held:
+            yield packed(held)
+
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        names, sizes, at, times = _added_blocks(held)
+        return _packed((np.repeat(np.arange(len(names)), sizes) << 8) + at, times, names, bits)
+
+    return count
+
+
+def _merge_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of their buckets: one row a word, from its facts and all blocks with it."""
+    return _merge_seen(_rows_of_words(batches))
+
+
+def _rows_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each word a row of its counts and one of its facts, side by side."""
+    for bucket in _bucket_by_bucket(batches):
+        facts, held, most = [], [], 2 * HELD_KEYS
+        for fact, blocks in bucket:
+            facts.append(fact)
+            held.append(_opened(blocks))
+            if sum(len(part[2]) for part in held) > most:  # words that are everywhere
+                held = [_added_blocks(held)]
+                most = 2 * max(HELD_KEYS, len(held[0][2]))
+        names, sizes, at, times = _added_blocks(held)
+        begin = np.r_[0, np.cumsum(sizes)]
+        counts = pa.table({"word": names.view(np.int64), "at": _binary(at, begin), "times": _binary(times.astype("<u8"), begin)})
+        rows = pa.concat_tables([counts, pa.Table.from_batches(facts)], promote_options="default")
+        order = np.argsort(rows.column("word").to_numpy())
+        yield rows.take(pa.array(order)).combine_chunks().to_batches()[0]
+
+
 def _merge_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in the order of their words: one row a word, from its facts and all counts of it."""
-    names = ["word", "ending", "n", "class", "hot"]
+    names = FACTS
     held: pa.Table | None = None
 
     def merged(rows: pa.Table) -> pa.RecordBatch:
@@ -374,29 +483,26 @@ def _added_rows(rows: pa.Table) -> pa.Table:
     return pa.concat_tables([pa.Table.from_pylist([one], rows.schema), rows.filter(rows.column("n").is_valid())])
 
 
-def contexts(texts: DataFrame, known: DataFrame, number: int, end_class: int, head_size: int, hot: int) -> DataFrame:
+def contexts(texts: DataFrame, known: DataFrame, number: int, end_class: int, head_size: int, hot: int,
+             bits: int = 8) -> DataFrame:
     """``known`` with ``at`` and ``times``, a written table: how often each class is before (its number)
     and after a word (``number`` and its number). A text begins after an end."""
     spark = texts.sparkSession
-    beside = _beside(known, number, end_class, head_size, hot)
-    counted = materialise(texts.mapInArrow(_count_beside(spark.sparkContext.broadcast(beside)), SEEN_SCHEMA), "beside")
-    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (
-        ("ending", "int"), ("n", "long"), ("class", "int"), ("hot", "boolean"))]
-    near = counted.where("beside is null").select("word", "at", "times", *nothing)
-    place = F.col("class") + F.col("side") * number
-    far = counted.where("beside is not null").select(F.col("word").alias("of"), "beside", "side").join(
-        known.select(F.col("word").alias("beside_word"), "class"), F.col("beside") == F.col("beside_word")).select(
-        F.col("of").alias("word"), place.alias("place")).groupBy("word", "place").agg(
-        F.count(F.lit(1)).alias("each")).select(
-        "word", F.unhex(F.lpad(F.hex("place"), 2, "0")).alias("at"),
-        # The count as eight bytes, the lowest first.
-        F.unhex(F.concat(*[F.lpad(F.hex(F.shiftright("each", 8 * byte).bitwiseAND(F.lit(255))), 2, "0")
-                           for byte in range(8)])).alias("times"), *nothing)
-    facts = known.select("word", F.lit(None).cast("binary").alias("at"), F.lit(None).cast("binary").alias("times"),
-                         "ending", "n", "class", "hot")
-    seen = materialise(near.unionAll(far).unionAll(facts).repartition("word").sortWithinPartitions("word").mapInArrow(
-        _merge_seen, WORD_SCHEMA + ", at binary, times binary"), "contexts")
+    beside = spark.sparkContext.broadcast(_beside(known, number, end_class, head_size, hot))
+    counted = materialise(texts.mapInArrow(_count_beside(beside, bits), BLOCK_SCHEMA), "beside")
+    kinds = dict(part.split() for part in WORD_SCHEMA.split(", "))
+    facts = known.select(F.shiftrightunsigned("word", 64 - bits).cast("int").alias("bucket"),
+                         *[F.lit(None).cast("binary").alias(name) for name in BLOCK[1:]], *FACTS)
+
+    def by_bucket(blocks: DataFrame) -> DataFrame:
+        blocks = blocks.select(*BLOCK, *[F.lit(None).cast(kinds[name]).alias(name) for name in FACTS])
+        return blocks.unionAll(facts).repartition("bucket").sortWithinPartitions("bucket")
+
+    far = by_bucket(counted.where("sizes is null")).mapInArrow(_count_far(number, bits), BLOCK_SCHEMA)
+    seen = materialise(by_bucket(counted.where("sizes is not null").unionAll(far)).mapInArrow(
+        _merge_blocks, WORD_SCHEMA + ", at binary, times binary"), "contexts")
     discard(counted)
+    beside.destroy()  # each executor and the driver hold it in a file
     return seen
 
 
@@ -459,6 +565,7 @@ def text_bigrams(texts: DataFrame, known: DataFrame, number: int, end_class: int
     rows = _look_up(_look_up(counted, known, 1, "before", "before_class"), known, 2, "word", "class").groupBy(
         "before_class", "class").agg(F.sum("n").alias("n")).toArrow()
     discard(counted)
+    beside.destroy()
     out = np.zeros((number, number))
     out[rows.column("before_class").to_numpy(), rows.column("class").to_numpy()] = rows.column("n").to_numpy()
     return out
@@ -500,7 +607,7 @@ def best_classes(own: np.ndarray, n: np.ndarray, rows: np.ndarray, at: np.ndarra
 
 
 def _move(table_, classes: int, clustered_too: bool):
-    names = ["word", "ending", "n", "class", "hot"]
+    names = FACTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -528,7 +635,9 @@ def fit(texts: DataFrame, counts: DataFrame, head_size: int = HEAD, clustered: i
     clustered = len(first)
     unit = Lookup(first.view(np.uint64), np.arange(clustered))
     units, number = clustered + ENDINGS + 1, classes + ENDINGS + 1
-    rows = unit_bigrams(texts, spark.sparkContext.broadcast(unit), clustered).toArrow()
+    sent = spark.sparkContext.broadcast(unit)
+    rows = unit_bigrams(texts, sent, clustered).toArrow()
+    sent.destroy()
     bigrams = np.zeros(units * units)
     bigrams[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
     of = exchange(bigrams.reshape(units, units), clustered, classes)
@@ -538,16 +647,18 @@ def fit(texts: DataFrame, counts: DataFrame, head_size: int = HEAD, clustered: i
         "word", "ending", "n", F.coalesce("first", F.col("ending") + classes).alias("class"),
         (F.col("first").isNotNull() | (F.col("ending") == ENDINGS)).alias("hot")), "classes")
     end_class = classes + ENDINGS
-    seen = contexts(texts, known, number, end_class, head_size, clustered)
+    bits = _bucket_bits(sums["words"])
+    seen = contexts(texts, known, number, end_class, head_size, clustered, bits)
     # Units are words and endings, so their bigrams add up to those of the classes they begin with.
     between = np.zeros((number, number))
     np.add.at(between, (of[:, None], of[None, :]), bigrams.reshape(units, units))
     for turn in range(ROUNDS):
-        move = _move(spark.sparkContext.broadcast(between), classes, turn > 0)
-        moved = materialise(seen.mapInArrow(move, WORD_SCHEMA), "classes")
+        sent = spark.sparkContext.broadcast(between)
+        moved = materialise(seen.mapInArrow(_move(sent, classes, turn > 0), WORD_SCHEMA), "classes")
+        sent.destroy()
         discard(seen)
         if turn + 1 < ROUNDS:
-            seen = contexts(texts, moved, number, end_class, head_size, clustered)
+            seen = contexts(texts, moved, number, end_class, head_size, clustered, bits)
             after = class_bigrams(seen, number)
         else:
             after = text_bigrams(texts, moved, number, end_class, head_size)
@@ -643,10 +754,12 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hea
     training = rows.where(~F.col("held_out")).select("text")
     counts = materialise(word_counts(training), "counts")
     model, known = fit(training, counts, head_size, clustered, classes)
+    sent = spark.sparkContext.broadcast(model)
     scored = materialise(rows.mapInArrow(
-        _score(spark.sparkContext.broadcast(model)),
+        _score(sent),
         "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
         "before long, before_class int, word long, class int, far int, n long"), "scored")
+    sent.destroy()
     number = len(model.log_transition)
     place = np.arange(number * number)
     between = F.broadcast(spark.createDataFrame(pa.table({

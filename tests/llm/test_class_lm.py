@@ -245,3 +245,91 @@ def test_scores_against_brute_force(spark, make_docs, head):
             score += model.log_transition[before, own] + (math.log10(n / size[own]) if n else 0.0)
             before = own
         assert math.isclose(rows[key].score, score, abs_tol=1e-6)
+
+
+def test_a_slice_sends_a_row_a_bucket_and_not_a_row_a_word(spark, monkeypatch):
+    rows, write = [], class_lm.materialise
+
+    def counting(frame, label):
+        out = write(frame, label)
+        if label == "beside":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(class_lm, "materialise", counting)
+    texts = spark.createDataFrame([(" ".join(f"w{word}" for word in range(6000)),)], "text string").coalesce(1)
+    known = word_counts(texts).selectExpr("word", "ending", "n", "3 as class", "false as hot")
+    seen = contexts(texts, known, 20, 3, 1 << 20, 10)
+    assert seen.count() == 6001
+    assert 0 < rows[0] <= 3 * 256
+
+
+def test_broadcasts_are_given_back(spark, make_docs):
+    import os
+    folder = spark.sparkContext._temp_dir
+    docs = make_docs([(at, " ".join(words(at, 30))) for at in range(20)])
+    there = set(os.listdir(folder))
+    assert score_texts(docs, clustered=8, classes=4).count() == 20
+    assert set(os.listdir(folder)) <= there
+
+
+def entries_of(parts):
+    out = Counter()
+    for names, sizes, at, times in parts:
+        for word, place, count in zip(np.repeat(names, sizes).tolist(), at.tolist(), times.tolist()):
+            out[word, place] += count
+    return out
+
+
+def test_blocks_hold_counts_of_any_size():
+    import pyarrow as pa
+    rng = np.random.default_rng(8)
+    names = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2))
+    want, blocks = Counter(), []
+    for most in (200, 60_000, 1 << 30, 1 << 40):
+        keys = np.unique((rng.integers(0, len(names), 900) << 8) + rng.integers(0, 194, 900))
+        times = rng.integers(1, most, len(keys))
+        want.update({(int(names[key >> 8]), int(key & 255)): int(n) for key, n in zip(keys, times)})
+        blocks.append(class_lm._packed(keys, times, names, 3))
+        assert blocks[-1].num_rows == 8
+    blocks = pa.Table.from_batches(blocks).combine_chunks().to_batches()[0]
+    opened = class_lm._opened(blocks)
+    assert entries_of([opened]) == want
+    added = class_lm._added_blocks([opened, class_lm._opened(blocks.slice(8, 8))])
+    again = Counter(want)
+    again.update(entries_of([class_lm._opened(blocks.slice(8, 8))]))
+    assert entries_of([added]) == again and (np.diff(added[0].astype(float)) > 0).all()
+    assert entries_of([class_lm._opened(blocks.slice(0, 0))]) == {}
+
+
+@pytest.mark.parametrize("held", [1, 1 << 20])
+def test_words_that_are_everywhere_are_added_up_as_they_come(monkeypatch, held):
+    """Counted slice by slice and given out early, then merged in parts: the same counts."""
+    import pyarrow as pa
+    from types import SimpleNamespace
+    monkeypatch.setattr(class_lm, "HELD_KEYS", held)
+    monkeypatch.setattr(class_lm, "CONTEXT_SLICE", 300)
+    texts = [" ".join(words(at % 9, 30) + words(at, 6)) for at in range(40)]
+    found = [np.array(token, np.uint64) for token, _ in token_rows(texts)]
+    distinct, n = np.unique(np.concatenate(found), return_counts=True)
+    own = (distinct % np.uint64(5)).astype(np.int64)
+    end = int(own[distinct == class_lm.END][0])
+    of = dict(zip(distinct.tolist(), own.tolist()))
+    beside = class_lm.Beside(class_lm.Lookup(distinct, np.arange(len(distinct), dtype=np.int32)), distinct, own, end, 20, 4)
+    blocks = list(class_lm._count_beside(SimpleNamespace(value=beside), 2)(
+        iter([pa.RecordBatch.from_pydict({"text": texts[:25]}), pa.RecordBatch.from_pydict({"text": texts[25:]})])))
+    want = Counter()
+    for token in found:
+        token = token.tolist()
+        for before, word in zip([int(class_lm.END), *token[:-1]], token):
+            want[word, of[before]] += 1
+            want[before, 20 + of[word]] += 1
+    rows = pa.concat_tables([pa.Table.from_batches(blocks), pa.table({
+        "bucket": (distinct >> np.uint64(62)).astype(np.int32), "word": distinct.view(np.int64),
+        "ending": np.zeros(len(n), np.int32), "n": n, "class": own.astype(np.int32), "hot": np.zeros(len(n), bool)})],
+        promote_options="default").sort_by("bucket")
+    seen = pa.Table.from_batches(class_lm._merge_blocks(iter(rows.to_batches(max_chunksize=7)))).combine_chunks().to_batches()[0]
+    word = seen.column("word").to_numpy().view(np.uint64)
+    got = Counter({(int(word[row]), int(place)): int(times) for row, place, times in zip(*_entries(seen))})
+    assert got == want and sorted(word.tolist()) == distinct.tolist()
+    assert dict(zip(word.tolist(), seen.column("n").to_pylist())) == dict(zip(distinct.tolist(), n.tolist()))
