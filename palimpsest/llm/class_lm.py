@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.lookup import Lookup
 from palimpsest.llm.registry import query, table
-from palimpsest.llm.words import NOT_SPACE, Words, cut, joined, mix, runs, slices
+from palimpsest.llm.words import NOT_SPACE, Words, cut, joined, mix, release_memory, runs, slices
 from palimpsest.scratch import discard, materialise
 
 HEAD = 1 << 20
@@ -48,9 +48,9 @@ CLASSES = 64
 ENDINGS = 32
 SWEEPS = 4
 ROUNDS = 2
-CONTEXT_SLICE = 3 << 20
+CONTEXT_SLICE = 2 << 20
 HELD_ROWS = 4096
-HELD_KEYS = 1 << 20
+HELD_KEYS = 1 << 18
 MOVED_ROWS = 4096
 ADDED = 0.1
 STEPS = 16  # frequency steps in a factor of two, to find the head
@@ -376,6 +376,7 @@ def _count_beside(beside, bits: int) -> callable:
                     held = [_summed(*map(np.concatenate, zip(*held)))]
                     if len(held[0][0]) > HELD_KEYS:
                         yield _packed(*held.pop(), known.words, bits)
+                release_memory()
         if held:
             yield _packed(*_summed(*map(np.concatenate, zip(*held))), known.words, bits)
         order = np.argsort(known.words[:known.hot])
@@ -387,22 +388,27 @@ def _count_beside(beside, bits: int) -> callable:
 
 
 def _count_far(number: int, bits: int) -> callable:
-    """Blocks of words with the classes beside them, from the facts and the blocks of words of unknown class."""
+    """Blocks of words with the classes beside them, from the facts and the blocks of words of unknown class;
+    the facts of a bucket come before its blocks."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for bucket in _bucket_by_bucket(batches):
-            facts, blocks = zip(*bucket)
-            word, own = (np.concatenate([part.column(name).to_numpy() for part in facts]) for name in ("word", "class"))
-            order = np.argsort(word := word.view(np.uint64))
-            beside, side, of = (np.concatenate([_all_bytes(part.column(name), kind) for part in blocks])
-                                for name, kind in (("words", "<u8"), ("at", "u1"), ("times", "<u8")))
-            if not len(beside):
-                continue
-            place = own[order[np.searchsorted(word, beside, sorter=order)]] + side.astype(np.int64) * number
-            held.append((of, np.ones(len(of), np.int64), place, np.ones(len(of), np.int64)))
-            if sum(len(part[2]) for part in held) > HELD_KEYS:
-                yield packed(held)
-                held = []
+            facts, word = [], None
+            for fact, blocks in bucket:
+                facts.append(fact)
+                if not blocks.num_rows:
+                    continue
+                if word is None:
+                    word, own = (np.concatenate([part.column(name).to_numpy() for part in facts]) for name in ("word", "class"))
+                    order = np.argsort(word := word.view(np.uint64))
+                beside, side, of = (_all_bytes(blocks.column(name), kind) for name, kind in (
+                    ("words", "<u8"), ("at", "u1"), ("times", "<u8")))
+                place = own[order[np.searchsorted(word, beside, sorter=order)]] + side.astype(np.int64) * number
+                once = np.ones(len(of), np.int64)
+                held.append((of, once, place, once))
+                if sum(len(part[2]) for part in held) > HELD_KEYS:
+                    yield packed(held)
+                    held = []
         if held:
             yield packed(held)
 
@@ -496,7 +502,7 @@ def contexts(texts: DataFrame, known: DataFrame, number: int, end_class: int, he
 
     def by_bucket(blocks: DataFrame) -> DataFrame:
         blocks = blocks.select(*BLOCK, *[F.lit(None).cast(kinds[name]).alias(name) for name in FACTS])
-        return blocks.unionAll(facts).repartition("bucket").sortWithinPartitions("bucket")
+        return blocks.unionAll(facts).repartition("bucket").sortWithinPartitions("bucket", F.col("word").isNull())
 
     far = by_bucket(counted.where("sizes is null")).mapInArrow(_count_far(number, bits), BLOCK_SCHEMA)
     seen = materialise(by_bucket(counted.where("sizes is not null").unionAll(far)).mapInArrow(

@@ -333,3 +333,30 @@ def test_words_that_are_everywhere_are_added_up_as_they_come(monkeypatch, held):
     got = Counter({(int(word[row]), int(place)): int(times) for row, place, times in zip(*_entries(seen))})
     assert got == want and sorted(word.tolist()) == distinct.tolist()
     assert dict(zip(word.tolist(), seen.column("n").to_pylist())) == dict(zip(distinct.tolist(), n.tolist()))
+
+
+@pytest.mark.parametrize("held", [1, 1 << 20])
+def test_words_beside_a_rarer_one_are_counted_part_by_part(monkeypatch, held):
+    import pyarrow as pa
+    monkeypatch.setattr(class_lm, "HELD_KEYS", held)
+    rng = np.random.default_rng(9)
+    names = np.unique(rng.integers(0, 1 << 63, 40, dtype=np.uint64) * np.uint64(2))
+    own = rng.integers(0, 20, len(names)).astype(np.int32)
+    beside, of, side = (rng.integers(0, size, 500) for size in (len(names), len(names), 2))
+    begin = np.arange(0, 501, 5)
+    beside.sort()
+    bucket = (names >> np.uint64(62)).astype(np.int32)
+    same = bucket[beside[begin[:-1]]] == bucket[beside[begin[1:] - 1]]  # a block is of one bucket
+    kept = np.repeat(same, 5)
+    blocks = pa.table({"bucket": bucket[beside[begin[:-1]]], "words": class_lm._binary(names[beside], begin),
+                       "at": class_lm._binary(side.astype(np.uint8), begin), "times": class_lm._binary(names[of], begin)})
+    facts = pa.table({"bucket": bucket, "word": names.view(np.int64), "class": own})
+    nulls = pa.table({name: pa.array([], kind) for name, kind in (
+        ("sizes", pa.binary()), ("ending", pa.int32()), ("n", pa.int64()), ("hot", pa.bool_()))})
+    rows = pa.concat_tables([facts, blocks.filter(pa.array(same)), nulls], promote_options="default")
+    rows = rows.take(pa.array(np.argsort(rows.column("bucket").to_numpy(), kind="stable")))
+    found = list(class_lm._count_far(20, 2)(iter(rows.to_batches(max_chunksize=3))))
+    want = Counter((int(names[word]), int(own[other]) + 20 * int(at))
+                   for other, word, at in zip(beside[kept], of[kept], side[kept]))
+    assert entries_of([class_lm._opened(part) for part in found]) == want
+    assert len(found) == 1 or held == 1
