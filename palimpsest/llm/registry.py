@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from palimpsest import session
 from palimpsest.session import apply_runtime_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,21 +15,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-_SHIPPED: set[str] = set()
-
-
 # Bytes of one Arrow batch: the operators hold a few copies of a batch beside what they compute.
 BATCH_BYTES = 16 << 20
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, as --py-files would, and bound their batches."""
+    """Send this package to the Python workers, and bound their batches."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    if spark.sparkContext.applicationId not in _SHIPPED:
-        package = Path(__file__).resolve().parent.parent
-        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
-        spark.sparkContext.addPyFile(archive)
-        _SHIPPED.add(spark.sparkContext.applicationId)
+    session.ship_package(spark)
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Values every job needs; partition counts and memory belong to the cluster.
@@ -34,3 +38,15 @@ def apply_runtime_settings(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, as --py-files would, once an application."""
+    if spark.sparkContext.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(spark.sparkContext.applicationId)
