@@ -43,12 +43,11 @@ BLOCK_ROWS = 1 << 17
 # Trees that are added while blocks are read, before their sum is written.
 PENDING = 4
 # Bytes of blocks that a task reads.
-TASK_BYTES = 32 << 20
+TASK_BYTES = 64 << 20
 # A row's place among the ends of a tree is a byte.
 DEEPEST = 8
-# Gains that differ by less than this share of the impurity are equal.
+# Gains that differ by less than this share of the mean square are equal.
 TIE = 1e-12
-EPSILON = 2.0 ** -52
 BLOCK = "block long, label binary, margin binary, codes binary"
 SUMS = "part int, sums binary"
 REFUSED = ("weightCol", "validationIndicatorCol")
@@ -270,7 +269,6 @@ def pack(layout: Layout, label: str, signed: bool) -> Callable:
 class Node:
     """A node while its tree grows: rows, sum and sum of squares of what the tree is fitted to."""
 
-    depth: int
     rows: float = 0.0
     total: float = 0.0
     squares: float = 0.0
@@ -340,14 +338,14 @@ def negative_gradient(loss: str, label: np.ndarray, margin: np.ndarray) -> np.nd
 
 @dataclass(frozen=True)
 class Pass:
-    """One level of one tree, as tasks see it."""
+    """Some nodes of one level of one tree, as tasks see them. ``kinds``: rows and sums, or squares too."""
 
     layout: Layout
     trees: list
     branch: object
     nodes: int
     loss: str | None
-    squares: bool
+    kinds: int
     share: float
     seed: tuple[int, ...]
 
@@ -362,39 +360,38 @@ def _blocks(batches: Iterator[pa.RecordBatch], dtype) -> Iterator[tuple]:
 
 
 def add_up(level: Pass) -> Callable:
-    """Rows, sums and, if asked for, sums of squares by node and state, of the blocks of a task;
-    behind them the squares by node."""
-    layout, nodes = level.layout, level.nodes
+    """Rows, sums and squares by node, and behind them by kind, node and state, of the blocks of a
+    task. Only rows that are drawn and in one of the nodes are looked at closely."""
+    layout, nodes, kinds = level.layout, level.nodes, level.kinds
     sizes = [int(np.prod(shape)) for shape in layout.shapes]
-    kinds = 3 if level.squares else 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = [np.zeros((kinds, (nodes + 1) * size)) for size in sizes]
-        totals = np.zeros((3, nodes + 1))
+        sums = [np.zeros((kinds, nodes * size)) for size in sizes]
+        totals = np.zeros((3, nodes))
         for number, labels, margin, packed in _blocks(batches, layout.dtype):
             drawn = np.random.Generator(np.random.SFC64([*level.seed, number]))
             for start in range(0, len(labels), CHUNK):
                 chunk = slice(start, start + CHUNK)
-                codes, label = packed[:, chunk].astype(np.intp), labels[chunk]
-                wanted = label
-                if level.loss is not None:
-                    wanted = negative_gradient(level.loss, label, margins(margin[chunk], level.trees, codes))
-                # Rows that are not drawn, or whose node is finished, count in a node behind the others.
-                node = np.broadcast_to(walk(level.branch, codes), label.shape).astype(np.intp)
+                lines, wanted = packed[:, chunk], labels[chunk]
+                node = np.broadcast_to(walk(level.branch, lines), wanted.shape)
+                kept = node < nodes
                 if level.share < 1:
-                    node = np.where(drawn.random(len(label), np.float32) < level.share, node, nodes)
-                squared = wanted * wanted
-                for kind, weights in enumerate((None, wanted, squared)):
-                    totals[kind] += np.bincount(node, weights, nodes + 1)
-                for size, line, found in zip(sizes, codes, sums, strict=True):
-                    at = node * size + line
-                    length = (nodes + 1) * size
-                    found[0] += np.bincount(at, minlength=length)
-                    found[1] += np.bincount(at, wanted, length)
-                    if level.squares:
-                        found[2] += np.bincount(at, squared, length)
-        kept = [found.reshape(kinds, nodes + 1, size)[:, :nodes] for found, size in zip(sums, sizes, strict=True)]
-        flat = [totals[:, :nodes].ravel()] + ([layout.by_field(kept).ravel()] if kept else [])
+                    kept &= drawn.random(len(wanted), np.float32) < level.share
+                kept = np.flatnonzero(kept)
+                lines, wanted = [line.take(kept) for line in lines], wanted.take(kept)
+                if level.loss is not None:
+                    wanted = negative_gradient(
+                        level.loss, wanted, margins(margin[chunk].take(kept), level.trees, lines))
+                node = node.take(kept).astype(np.intp)
+                weights = (None, wanted, wanted * wanted)
+                for total, weight in zip(totals, weights, strict=True):
+                    total += np.bincount(node, weight, nodes)
+                for size, line, found in zip(sizes, lines, sums, strict=True):
+                    at = node * size + line if nodes > 1 else line.astype(np.intp)
+                    for total, weight in zip(found, weights, strict=False):
+                        total += np.bincount(at, weight, nodes * size)
+        by_code = [found.reshape(kinds, nodes, size) for found, size in zip(sums, sizes, strict=True)]
+        flat = [totals.ravel()] + ([layout.by_field(by_code).ravel()] if by_code else [])
         yield pa.RecordBatch.from_pylist(
             [{"part": TaskContext.get().partitionId(), "sums": np.concatenate(flat).tobytes()}],
             pa.schema([("part", pa.int32()), ("sums", pa.binary())]))
@@ -408,7 +405,7 @@ def advance(layout: Layout, trees: list) -> Callable:
         for batch in batches:
             after = []
             for _, labels, margin, packed in _blocks(iter([batch]), layout.dtype):
-                parts = [margins(margin[start:start + CHUNK], trees, packed[:, start:start + CHUNK].astype(np.intp))
+                parts = [margins(margin[start:start + CHUNK], trees, packed[:, start:start + CHUNK])
                          for start in range(0, len(labels), CHUNK)]
                 after.append(np.concatenate(parts).tobytes())
             yield batch.set_column(2, "margin", pa.array(after, pa.binary()))
@@ -419,6 +416,9 @@ def advance(layout: Layout, trees: list) -> Callable:
 def choose_split(layout: Layout, node: Node, sums: np.ndarray, fewest: int, least: float) -> tuple | None:
     """The best split of a node by its sums by state: gain, rows, sum and squares on its left, the
     field, which of its states go left, and slot, threshold and category. None where no split gains."""
+    tie = TIE * node.squares / node.rows if node.rows else 0.0
+    if node.impurity <= tie:
+        return None
     left, at = [], 0
     places: list[tuple[int, int]] = []
     for number, known in enumerate(layout.fields):
@@ -435,7 +435,6 @@ def choose_split(layout: Layout, node: Node, sums: np.ndarray, fewest: int, leas
     with np.errstate(divide="ignore", invalid="ignore"):
         gains = (s * s / n + (node.total - s) ** 2 / (node.rows - n) - node.total * node.total / node.rows) / node.rows
     gains = np.where(valid, gains, -np.inf)
-    tie = TIE * node.impurity
     if gains.max() <= tie or gains.max() < least:
         return None
     best = int(np.argmax(gains >= gains.max() - tie))
@@ -444,7 +443,7 @@ def choose_split(layout: Layout, node: Node, sums: np.ndarray, fewest: int, leas
     if known.thresholds is not None:
         return gains[best], side, number, np.arange(known.states) <= i, (known.slot, known.thresholds[i], None)
     goes_left, category = np.arange(known.states) == i + 1, 1
-    rest = np.array([node.rows, node.total, node.squares])[:len(side)] - side
+    rest = np.array([node.rows, node.total, node.squares]) - side
     if rest[1] / rest[0] <= side[1] / side[0]:
         goes_left, category, side = ~goes_left, 0, rest
     return gains[best], side, number, goes_left, (known.slot + i, None, category)
@@ -479,11 +478,13 @@ class Blocks:
         self.write(self.frame.mapInArrow(advance(self.layout, trees), BLOCK))
 
     def count(self, level: Pass) -> tuple[np.ndarray, np.ndarray]:
-        """Rows, sums and squares by node, and by kind, node and state."""
+        """Rows, sums and squares by node, and by kind, node and state. Where squares were not
+        counted each is one, so they are the rows."""
         found = sorted(self.frame.mapInArrow(add_up(level), SUMS).collect())
         added = np.sum([np.frombuffer(row["sums"]) for row in found], axis=0)
         totals = added[:3 * level.nodes].reshape(3, level.nodes)
-        return totals, added[3 * level.nodes:].reshape(3 if level.squares else 2, level.nodes, -1)
+        sums = added[3 * level.nodes:].reshape(level.kinds, level.nodes, -1)
+        return totals, sums if level.kinds == 3 else np.concatenate([sums, sums[:1]])
 
     def close(self) -> None:
         if self.frame is not None:
@@ -534,39 +535,42 @@ class BoostedTrees:
         return grown
 
     def grow(self, blocks: Blocks, number: int, pending: list) -> Node:
-        deepest = self.parameter("maxDepth")
+        """One tree. Of two children only the one with fewer rows is counted; the other has the rest
+        of what their parent has."""
         loss = "logistic" if isinstance(self.trees, GBTClassifier) else self.parameter("lossType")
-        root = Node(0)
-        active = [root]
-        for depth in range(deepest):
-            order = {id(node): at for at, node in enumerate(active)}
-            last = depth == deepest - 1
+        root = Node()
+        level: list[tuple] = [(root, None, None)]
+        for _ in range(self.parameter("maxDepth")):
+            order = {id(fewer): at for at, (fewer, _, _) in enumerate(level)}
             totals, sums = blocks.count(Pass(
-                blocks.layout, pending, root.branch(lambda node: order.get(id(node), len(order))), len(active),
-                loss if number else None, last, self.parameter("subsamplingRate"),
-                (self.parameter("seed") & (1 << 64) - 1, number)))
+                blocks.layout, pending, root.branch(lambda node: order.get(id(node), len(order))), len(level),
+                loss if number else None, 2 if number and loss == "absolute" else 3,
+                self.parameter("subsamplingRate"), (self.parameter("seed") & (1 << 64) - 1, number)))
             below = []
-            for at, node in enumerate(active):
-                node.rows, node.total, node.squares = map(float, totals[:, at])
-                if node.impurity >= EPSILON:
-                    below += self.divide(blocks.layout, node, sums[:, at], last)
-            active = below
-            if not active or last:
+            for at, (fewer, more, parent) in enumerate(level):
+                if more is None:
+                    fewer.rows, fewer.total, fewer.squares = map(float, totals[:, at])
+                below += self.divide(blocks.layout, fewer, sums[:, at])
+                if more is not None:
+                    below += self.divide(blocks.layout, more, parent - sums[:, at])
+            level = below
+            if not level:
                 break
         return root.pruned()
 
-    def divide(self, layout: Layout, node: Node, sums: np.ndarray, last: bool) -> list[Node]:
+    def divide(self, layout: Layout, node: Node, sums: np.ndarray) -> list[tuple]:
+        """The children of a node, if a split gains: the one with fewer rows, the other, and the
+        node's sums."""
         found = choose_split(layout, node, sums, self.parameter("minInstancesPerNode"), self.parameter("minInfoGain"))
         if found is None:
             return []
         node.gain, side, number, goes_left, node.split = found
         node.lookup = layout.lookup(number, goes_left)
-        node.left, node.right = Node(node.depth + 1), Node(node.depth + 1)
-        if last:
-            whole = (node.rows, node.total, node.squares)
-            for child, of in ((node.left, side), (node.right, np.array(whole) - side)):
-                child.rows, child.total, child.squares = map(float, of)
-        return [node.left, node.right]
+        node.left, node.right = Node(), Node()
+        whole = np.array([node.rows, node.total, node.squares])
+        for child, of in ((node.left, side), (node.right, whole - side)):
+            child.rows, child.total, child.squares = map(float, of)
+        return [(*sorted((node.left, node.right), key=lambda child: child.rows), sums)]
 
     def model(self, spark: SparkSession, layout: Layout, grown: list[Node]):
         """Spark's own model of these trees, as its estimator would return it."""

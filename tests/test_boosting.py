@@ -73,3 +73,57 @@ def test_trees_are_those_of_spark(vectors, monkeypatch, trees):
     assert np.allclose(*both)
     assert own.extractParamMap().keys() == theirs.extractParamMap().keys()
     assert {p.name: v for p, v in own.extractParamMap().items()} == {p.name: v for p, v in theirs.extractParamMap().items()}
+
+
+def test_reads_are_few_and_small(vectors, monkeypatch):
+    """A tree takes one read of the packed rows a level, each row a few bytes."""
+    read, sizes = [], []
+    count = boosting.Blocks.count
+
+    def counted(self, level):
+        read.append(level.nodes)
+        sizes.append(self.frame.agg(F.sum(F.length("codes"))).first()[0])
+        return count(self, level)
+
+    monkeypatch.setattr(boosting.Blocks, "count", counted)
+    BoostedTrees(GBTRegressor(labelCol="shift", lossType="absolute", **WHOLE)).fit(vectors)
+    assert len(read) == WHOLE["maxIter"] * WHOLE["maxDepth"]
+    # Of two children only one is counted.
+    assert max(read) == 2
+    assert max(sizes) / vectors.count() <= 2 * 18
+
+
+def test_rows_are_drawn_anew_for_each_tree(vectors):
+    trees = GBTRegressor(labelCol="shift", lossType="squared", **{**WHOLE, "subsamplingRate": 0.5})
+    made = BoostedTrees(trees).fit(vectors)
+    rows = [tree._call_java("rootNode").impurityStats().count() for tree in made.trees]
+    assert len(set(rows)) > 1 and all(1300 < n < 1700 for n in rows)
+
+
+@pytest.mark.parametrize("change", ["null label", "label of a class", "two words", "not finite"])
+def test_rows_that_cannot_be_learned_from_are_refused(spark, vectors, change):
+    trees = GBTClassifier(labelCol="sous_estime", **{**WHOLE, "maxIter": 1})
+    if change == "null label":
+        vectors = vectors.withColumn("sous_estime", F.lit(None).cast("double"))
+    elif change == "label of a class":
+        vectors = vectors.withColumn("sous_estime", F.lit(2.0))
+    else:
+        row = vectors.first()["features"].toArray()
+        row[-12:] = 1.0
+        if change == "not finite":
+            row[:] = np.nan
+        broken = spark.createDataFrame([(Vectors.dense(row), 1.0)], ["features", "sous_estime"])
+        metadata = vectors.schema["features"].metadata
+        vectors = broken.withColumn("features", F.col("features").alias("features", metadata=metadata))
+    with pytest.raises(Exception, match="null|0 and 1|two words|not finite"):
+        BoostedTrees(trees).fit(vectors)
+
+
+def test_thresholds_and_trees_of_few_values(spark):
+    assert list(boosting.find_thresholds(np.array([3.0, 1.0, 1.0, 2.0]), 32)) == [1.5, 2.5]
+    assert list(boosting.find_thresholds(np.full(5, 4.0), 32)) == []
+    assert len(boosting.find_thresholds(np.arange(1000.0), 32)) == 31
+    same = spark.createDataFrame([(Vectors.dense([1.0, 1.0]), 2.0)] * 4, ["features", "shift"])
+    made = BoostedTrees(GBTRegressor(labelCol="shift", lossType="squared", **WHOLE)).fit(same)
+    assert all(tree.numNodes == 1 for tree in made.trees)
+    assert made.transform(same).first()["prediction"] == 2.0
