@@ -42,8 +42,9 @@ CHUNK = 1 << 15
 BLOCK_ROWS = 1 << 17
 # Trees that are added while blocks are read, before their sum is written.
 PENDING = 4
-# Bytes of blocks that a task reads.
+# Bytes of blocks that a task reads at most, and how many are worth a task of their own.
 TASK_BYTES = 64 << 20
+FEWEST_BYTES = 2 << 20
 # A row's place among the ends of a tree is a byte.
 DEEPEST = 8
 # Gains that differ by less than this share of the mean square are equal.
@@ -458,8 +459,9 @@ class Blocks:
         self.reader.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
 
     def write(self, frame: DataFrame) -> None:
-        """The table anew, to be read by as many tasks as fill the cores about evenly: Spark would
-        pack files up to 128 MB, which are few tasks, and count 4 MB for the opening of each."""
+        """The table anew, to be read by as many tasks as fill the cores about evenly, fewer where
+        there is little to read: Spark would pack files up to 128 MB, which are few tasks, and count
+        4 MB for the opening of each."""
         path, before = new_folder(self.spark, "blocks"), self.frame
         frame.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(path)
         self.frame = self.reader.read.schema(BLOCK).parquet(path)
@@ -467,7 +469,7 @@ class Blocks:
         folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         size = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
         cores = self.spark.sparkContext.defaultParallelism
-        tasks = cores * -(-size // (TASK_BYTES * cores))
+        tasks = max(min(cores * -(-size // (TASK_BYTES * cores)), size // FEWEST_BYTES), 1)
         together = int(-(-files // tasks) * size / files * 1.05) + 1
         for name, value in (("openCostInBytes", 0), ("minPartitionNum", 1), ("maxPartitionBytes", together)):
             self.reader.conf.set(f"spark.sql.files.{name}", str(value))
@@ -576,23 +578,26 @@ class BoostedTrees:
         """Spark's own model of these trees, as its estimator would return it."""
         gateway = spark.sparkContext._gateway
         ml = spark.sparkContext._jvm.org.apache.spark.ml
+        # Each name is looked up in the JVM.
+        number, inner, leaf = gateway.jvm.double, ml.tree.InternalNode, ml.tree.LeafNode
+        continuous, categorical = ml.tree.ContinuousSplit, ml.tree.CategoricalSplit
+        variance = gateway.jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator
 
         def doubles(values):
-            array = gateway.new_array(gateway.jvm.double, len(values))
+            array = gateway.new_array(number, len(values))
             for at, value in enumerate(values):
                 array[at] = float(value)
             return array
 
         def node_of(node: Node):
-            stats = gateway.jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(
-                doubles([node.rows, node.total, node.squares]), int(node.rows))
+            stats = variance(doubles([node.rows, node.total, node.squares]), int(node.rows))
             if node.split is None:
-                return ml.tree.LeafNode(node.value, node.impurity, stats)
+                return leaf(node.value, node.impurity, stats)
             slot, threshold, category = node.split
-            split = (ml.tree.ContinuousSplit(slot, float(threshold)) if category is None
-                     else ml.tree.CategoricalSplit(slot, doubles([category]), 2))
-            return ml.tree.InternalNode(node.value, node.impurity, float(node.gain), node_of(node.left),
-                                        node_of(node.right), split, stats)
+            split = (continuous(slot, float(threshold)) if category is None
+                     else categorical(slot, doubles([category]), 2))
+            return inner(node.value, node.impurity, float(node.gain), node_of(node.left), node_of(node.right),
+                         split, stats)
 
         one = ml.regression.DecisionTreeRegressionModel
         forest = gateway.new_array(one, len(grown))
